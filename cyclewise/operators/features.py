@@ -127,6 +127,7 @@ def window_features(
     unit: str = UNIT,
     pos: str = CYCLE,
     segment_rows: int = DEFAULT_SEGMENT_ROWS,
+    lag_fill: bool = True,
 ) -> DataFrame:
     """Rolling mean / sample std / min / max, back-filled lags, first differences.
 
@@ -136,7 +137,8 @@ def window_features(
     * rolling: at least one row, std of a single row is 0.
     * lag k: ``x[i-k]``; the first k rows take the next known lag of the same
       engine (back-fill); a lag still empty takes the table-wide mean of that
-      lag column.
+      lag column (``lag_fill=False`` leaves it NULL: used when every
+      ``unit`` is a separate request whose data must not mix).
     * diff: ``x[i] - x[i-1]``, first row 0.
     """
     windows = sorted(set(windows))
@@ -156,7 +158,7 @@ def window_features(
         has_nulls = any((summ[f"z{i}"] or 0) > 0 for i in range(len(sensors)))
         min_n = summ["min_n"]
     if has_nulls:
-        return _window_features_with_gaps(df, sensors, windows, lags, unit, pos, seg_rows, halo)
+        return _window_features_with_gaps(df, sensors, windows, lags, unit, pos, seg_rows, halo, lag_fill)
 
     base = df.columns
     x = _halo_rows(df, pos, seg_rows, halo)
@@ -172,7 +174,7 @@ def window_features(
     out = x.select(*base, "_seg", "_wseg", *cols).filter(F.col("_seg") == F.col("_wseg")).drop("_seg", "_wseg")
 
     short = [k for k in lags if min_n is not None and min_n <= k]
-    if not short:
+    if not short or not lag_fill:
         return out
     # Engines with <= k rows keep an empty lag k.  Its fill value is the mean of
     # the back-filled column, which has a closed form per engine:
@@ -194,7 +196,7 @@ def window_features(
     )
 
 
-def _window_features_with_gaps(df, sensors, windows, lags, unit, pos, seg_rows, halo) -> DataFrame:
+def _window_features_with_gaps(df, sensors, windows, lags, unit, pos, seg_rows, halo, lag_fill=True) -> DataFrame:
     """General form for series with missing readings.
 
     Back-fill of lag k at row i = first known ``x[p]`` with ``p >= i-k`` and
@@ -235,6 +237,8 @@ def _window_features_with_gaps(df, sensors, windows, lags, unit, pos, seg_rows,
             lag_cols.append(f"{s}_lag_{k}")
         cols.append(F.coalesce(F.col(s) - F.lag(s, 1).over(w), F.lit(0.0)).alias(f"{s}_diff"))
     pre = x.select(*base, "_seg", "_wseg", *cols).filter(F.col("_seg") == F.col("_wseg")).drop("_seg", "_wseg")
+    if not lag_fill:
+        return pre
     pre = cut_lineage(pre)
     means = pre.agg(*[F.avg(c).alias(c) for c in lag_cols]).first()
     return pre.select(
@@ -305,7 +309,7 @@ def fit_transform(
 
 def transform(
     df: DataFrame, state: FeatureState | None, unit: str = UNIT, pos: str = CYCLE,
-    segment_rows: int = DEFAULT_SEGMENT_ROWS,
+    segment_rows: int = DEFAULT_SEGMENT_ROWS, lag_fill: bool = True,
 ) -> DataFrame:
     """Same steps with frozen state and no RUL; refuses an unfitted state."""
     if state is None or not state.scaler or state.sensor_cols is None:
@@ -315,7 +319,8 @@ def transform(
     sensors = [c for c in state.sensor_cols if c in out.columns]
     out = minmax_transform(out, {s: state.scaler[s] for s in sensors})
     return window_features(
-        out, sensors, cfg["rolling_window_sizes"], cfg["lag_steps"], unit=unit, pos=pos, segment_rows=segment_rows
+        out, sensors, cfg["rolling_window_sizes"], cfg["lag_steps"], unit=unit, pos=pos, segment_rows=segment_rows,
+        lag_fill=lag_fill,
     )
 
 
@@ -333,3 +338,14 @@ def feature_matrix(df: DataFrame, state: FeatureState, keys: list[str] = KEYS) -
     """Keys + features in canonical (sorted) order + target when present."""
     keep = list(keys) + ([TARGET] if TARGET in df.columns else [])
     return align_features(df, state.feature_columns, keep)
+
+
+def fit_state(df: DataFrame, config: dict | None = None) -> FeatureState:
+    """The fitted state alone (scaler bounds, sensors, feature list): one aggregate, no window pass."""
+    cfg = _cfg(config)
+    kept = drop_sensors(df, cfg.get("drop_sensors", []))
+    sensors = [c for c in kept.columns if c.startswith("s_")]
+    rows = minmax_fit(kept, sensors).collect()
+    scaler = {r["sensor"]: (r["data_min"], r["data_max"]) for r in rows}
+    feats = feature_names(sensors, cfg["rolling_window_sizes"], cfg["lag_steps"])
+    return FeatureState(cfg, sensors, scaler, feats)

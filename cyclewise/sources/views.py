@@ -7,10 +7,10 @@ query needs in front of it.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cyclewise.config import CYCLE, UNIT
+from cyclewise.config import CYCLE, SENSOR_BOUNDS, SENSORS, SETTINGS, UNIT
 from cyclewise.operators.ordering import dense_positions
 
 
@@ -157,3 +157,135 @@ def with_views(names: list[str], body: str, extra: list[tuple[str, str]] | None
     ctes = [f"{n} AS ({SQL_VIEWS[n].strip()})" for n in order]
     ctes += [f"{n} AS ({q.strip()})" for n, q in (extra or [])]
     return "WITH " + ",\n".join(ctes) + "\n" + body.strip()
+
+
+# ------------------------------------------------------------ full 26-column views
+# Sensors not mapped from a table column are filled by an arithmetic rule on the
+# keys, inside the plausible range, so the gates and the drift check see all 21.
+def _frac_rule(i: int) -> Column:
+    mix = F.col(UNIT).cast("long") * F.lit(31) + F.col(CYCLE).cast("long") * F.lit(17) + F.lit(7 * i)
+    return F.pmod(mix, F.lit(100)).cast("double") / F.lit(100.0)
+
+
+def _in_range(name: str, frac: Column) -> Column:
+    lo, hi = SENSOR_BOUNDS[name]
+    return (F.lit(lo) + F.lit(hi - lo) * frac).alias(name)
+
+
+def _full_select(mapped: dict[str, Column]) -> list[Column]:
+    cols = [F.col(UNIT), F.col(CYCLE), *[F.col(s) for s in SETTINGS]]
+    for i, s in enumerate(SENSORS, start=1):
+        if s == "s_1":
+            cols.append(F.lit(518.67).alias(s))
+        elif s in mapped:
+            cols.append(_in_range(s, mapped[s]))
+        else:
+            cols.append(_in_range(s, _frac_rule(i)))
+    return cols
+
+
+def fleet_full(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All 26 raw columns over the lineitem fleet; s_2/s_3/s_4/s_7 follow the line values."""
+    base = fleet_lineitem(spark, sf_dir)
+    mapped = {
+        "s_2": (F.col("s_2") - F.lit(1.0)) / F.lit(49.0),
+        "s_3": F.col("s_4") * F.lit(10.0),
+        "s_4": F.col("s_7") * F.lit(12.5),
+        "s_7": F.least(F.col("s_3") / F.lit(105000.0), F.lit(1.0)),
+    }
+    return base.select(*_full_select(mapped))
+
+
+def events_full(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All 26 raw columns over the events fleet (short series); s_2/s_3 follow value and props.k."""
+    base = fleet_events(spark, sf_dir)
+    mapped = {"s_2": F.col("s_2") / F.lit(500.0), "s_3": F.col("s_3") / F.lit(100.0)}
+    return base.select(*_full_select(mapped))
+
+
+def with_defects(df: DataFrame, null_every: int = 97, high_every: int = 89) -> DataFrame:
+    """Gate fixtures: s_2 missing where cycle % 97 = 0, s_4 tripled where cycle % 89 = 0
+    (23 and 29 for the short events series)."""
+    return df.withColumn("s_2", F.when(F.col(CYCLE) % null_every != 0, F.col("s_2"))).withColumn(
+        "s_4", F.when(F.col(CYCLE) % high_every == 0, F.col("s_4") * F.lit(3.0)).otherwise(F.col("s_4"))
+    )
+
+
+def request_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One scoring request per events engine: ``(request_id, pos, time_cycles, settings, sensors)``.
+
+    ``pos`` is the arrival position; every 7th request swaps cycles 2 and 3,
+    every 11th keeps only its first 3 cycles.
+    """
+    ev = events_full(spark, sf_dir).withColumnRenamed(UNIT, "request_id")
+    rid, c = F.col("request_id"), F.col(CYCLE)
+    swap = rid % 7 == 0
+    pos = F.when(swap & (c == 2), F.lit(3)).when(swap & (c == 3), F.lit(2)).otherwise(c)
+    ev = ev.filter((rid % 11 != 0) | (c <= 3))
+    return ev.select("request_id", pos.cast("int").alias("pos"), CYCLE, *SETTINGS, *SENSORS)
+
+
+def request_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(request_id, body)``: the JSON body ``{"readings": [...]}`` of each request, in arrival order.
+
+    A request is bounded by its producer (one call's readings), so collecting
+    one request into one row is the request itself, not an unbounded group.
+    """
+    rows = request_rows(spark, sf_dir)
+    reading = F.struct(CYCLE, *SETTINGS, *SENSORS)
+    grouped = rows.groupBy("request_id").agg(F.sort_array(F.collect_list(F.struct("pos", reading.alias("r")))).alias("_rs"))
+    return grouped.select(
+        "request_id", F.to_json(F.struct(F.transform("_rs", lambda x: x["r"]).alias("readings"))).alias("body")
+    )
+
+
+# ------------------------------------------------------------ SQL forms (full views)
+def _sql_in_range(name: str, frac: str) -> str:
+    lo, hi = SENSOR_BOUNDS[name]
+    return f"(CAST({lo!r} AS DOUBLE) + CAST({hi - lo!r} AS DOUBLE) * ({frac})) AS {name}"
+
+
+def _sql_full_select(mapped: dict[str, str]) -> str:
+    cols = [UNIT, CYCLE, *SETTINGS]
+    for i, s in enumerate(SENSORS, start=1):
+        if s == "s_1":
+            cols.append("CAST(518.67 AS DOUBLE) AS s_1")
+        elif s in mapped:
+            cols.append(_sql_in_range(s, mapped[s]))
+        else:
+            rule = f"CAST((CAST(unit_number AS BIGINT) * 31 + CAST(time_cycles AS BIGINT) * 17 + {7 * i}) % 100 AS DOUBLE) / 100.0"
+            cols.append(_sql_in_range(s, rule))
+    return ", ".join(cols)
+
+
+SQL_VIEWS["fleet_full"] = "SELECT " + _sql_full_select({
+    "s_2": "(s_2 - 1.0) / 49.0",
+    "s_3": "s_4 * 10.0",
+    "s_4": "s_7 * 12.5",
+    "s_7": "least(s_3 / 105000.0, 1.0)",
+}) + " FROM fleet_lineitem"
+SQL_VIEWS["events_full"] = "SELECT " + _sql_full_select({"s_2": "s_2 / 500.0", "s_3": "s_3 / 100.0"}) + " FROM fleet_events"
+SQL_VIEWS["full_defects"] = """
+SELECT * REPLACE (CASE WHEN time_cycles % 97 <> 0 THEN s_2 END AS s_2,
+                  CASE WHEN time_cycles % 89 = 0 THEN s_4 * 3.0 ELSE s_4 END AS s_4)
+FROM fleet_full"""
+SQL_VIEWS["events_defects"] = (
+    SQL_VIEWS["full_defects"].replace("fleet_full", "events_full").replace("% 97", "% 23").replace("% 89", "% 29")
+)
+SQL_VIEWS["full_train"] = "SELECT * FROM fleet_full WHERE unit_number % 5 <> 0"
+SQL_VIEWS["request_rows"] = """
+SELECT unit_number AS request_id,
+       CAST(CASE WHEN unit_number % 7 = 0 AND time_cycles = 2 THEN 3
+                 WHEN unit_number % 7 = 0 AND time_cycles = 3 THEN 2
+                 ELSE time_cycles END AS INTEGER) AS pos,
+       * EXCLUDE (unit_number)
+FROM events_full
+WHERE unit_number % 11 <> 0 OR time_cycles <= 3"""
+_DEPS.update({
+    "fleet_full": ["fleet_lineitem"],
+    "events_full": ["fleet_events"],
+    "full_defects": ["fleet_full"],
+    "events_defects": ["events_full"],
+    "full_train": ["fleet_full"],
+    "request_rows": ["events_full"],
+})
