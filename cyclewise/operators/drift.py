@@ -321,3 +321,34 @@ def drift_impact(pairs: DataFrame, ref: str = "ref_pred", drifted: str = "drift_
         F.avg(ref).alias("reference_pred_mean"),
         F.avg(drifted).alias("drifted_pred_mean"),
     ).withColumn("median_prediction_change", F.lit(med).cast("double"))
+
+
+# ------------------------------------------------------------------ report table (M12)
+def side_histogram(stacked: DataFrame, bins: int = 20) -> DataFrame:
+    """Per feature and side, counts in ``bins`` equal-width bins over the feature's range on both sides.
+
+    ``(feature, side, bin, bin_lo, bin_hi, n)``, empty bins included.
+    """
+    rng = sized_broadcast(stacked.groupBy("feature").agg(F.min("value").alias("_lo"), F.max("value").alias("_hi")), 1_000_000)
+    w = F.col("_hi") - F.col("_lo")
+    b = F.when(w > 0, F.least(F.floor((F.col("value") - F.col("_lo")) / w * F.lit(bins)), F.lit(bins - 1))).otherwise(0)
+    counts = stacked.join(rng, "feature").groupBy("feature", "side", b.cast("int").alias("bin")).agg(F.count(F.lit(1)).alias("n"))
+    grid = rng.select(
+        "feature", "_lo", "_hi",
+        F.explode(F.array(F.lit(REF), F.lit(CUR))).alias("side"),
+    ).select("*", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
+    step = (F.col("_hi") - F.col("_lo")) / F.lit(bins)
+    return grid.join(counts, ["feature", "side", "bin"], "left").select(
+        "feature", "side", "bin",
+        (F.col("_lo") + step * F.col("bin")).alias("bin_lo"),
+        (F.col("_lo") + step * (F.col("bin") + 1)).alias("bin_hi"),
+        F.coalesce(F.col("n"), F.lit(0)).cast("long").alias("n"),
+    )
+
+
+def drift_report_table(ref: DataFrame, cur: DataFrame, features: list[str], bins: int = 20, cfg: dict | None = None) -> DataFrame:
+    """Data behind the drift report: side-by-side histograms with the automatic test's verdict per feature."""
+    st = stack_sides(ref, cur, features)
+    hist = side_histogram(st, bins)
+    verdict = drift_table(feature_stats(value_counts(st)), "auto", cfg)
+    return hist.join(sized_broadcast(verdict, 1_000_000), "feature")
