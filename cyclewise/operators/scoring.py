@@ -69,7 +69,8 @@ def score_requests(rows: DataFrame, state: fe.FeatureState, model, req: str = RE
     feats = fe.transform(good.drop("pos"), state, unit=req, pos=CYCLE, lag_fill=False)
     last = md.last_rows(feats, req, CYCLE)
     scored = md.predict(model, fe.align_features(last, state.feature_columns, [req]), state.feature_columns, "_p")
-    pred = F.bround(F.greatest(F.col("_p"), F.lit(0.0)), 2)
+    # floored at 0, so half-up on the binary value (x*100 + 0.5); identical in any IEEE engine
+    pred = F.floor(F.greatest(F.col("_p"), F.lit(0.0)) * F.lit(100.0) + F.lit(0.5)) / F.lit(100.0)
     warns = F.filter(
         F.array(
             F.when(F.coalesce(F.col("n_issues"), F.lit(0)) > 0, F.format_string(VALIDATION_WARNING, F.col("n_issues"))),

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cyclewise.plans import q_drift, q_features, q_metrics, q_sources, q_validate  # noqa: F401  (register queries)
+from cyclewise.plans import q_drift, q_features, q_metrics, q_scoring, q_sources, q_validate  # noqa: F401  (register queries)
 from cyclewise.plans.registry import ORACLES, QUERIES
 
 

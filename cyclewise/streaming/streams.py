@@ -11,12 +11,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cyclewise.config import DRIFT_MIN_READINGS
+from cyclewise.operators import drift as dr
 from cyclewise.operators import features as fe
 from cyclewise.operators import scoring as sc
 from cyclewise.session import scratch_path
 
 
-def _run(stream: DataFrame, handler, name: str, spark: SparkSession, trigger_once: bool = True) -> None:
+def _run(stream: DataFrame, handler, name: str, spark: SparkSession) -> None:
     q = (
         stream.writeStream.foreachBatch(handler)
         .option("checkpointLocation", scratch_path(spark, f"{name}-checkpoint"))
@@ -47,20 +49,39 @@ def stream_score(spark: SparkSession, source_dir: str, schema, state: fe.Feature
 
 def stream_drift(spark: SparkSession, source_dir: str, schema, baseline: DataFrame, state: fe.FeatureState,
                  sink: str, split: str = "split", stattest: str = "ks", max_files_per_trigger: int = 1) -> DataFrame:
-    """Each micro-batch of readings is drift-checked against the stored baseline; rows
-    ``(split, batch_id, feature, stattest, drift_score, threshold, drifted)`` are appended to ``sink``.
-
-    ``split`` is a column the producer stamps on each file (the micro-batch's
-    identity in the data, so results do not depend on arrival order).
+    """Readings arriving as files, checked per ``split`` against the stored baseline.
+
+    Each micro-batch is scaled with the frozen scaler and reduced to value
+    counts per ``(split, feature, value)``, appended to ``sink``.  Counts add
+    up, so the drift table computed from the sink after the stream is the
+    same whatever files each micro-batch happened to hold, and a restarted
+    query only adds the batches it had not committed.  The baseline is
+    counted once.  Output ``(split, feature, stattest, drift_score, threshold, drifted)``.
     """
+    cols = sc.shared_columns(spark.createDataFrame([], schema), baseline, state.feature_columns)
+    scaler = {c: state.scaler[c] for c in cols if c in state.scaler}
     src = spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files_per_trigger).parquet(source_dir)
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        tags = [r[split] for r in batch.select(split).distinct().collect()]
-        for t in tags:  # one split per file; loop only guards mixed batches
-            part = batch.filter(F.col(split) == F.lit(t))
-            res = sc.drift_check(part, baseline, state, stattest)
-            res.select(F.lit(t).alias(split), F.lit(batch_id).cast("long").alias("batch_id"), "*").write.mode("append").parquet(sink)
+        scaled = fe.minmax_transform(batch.select(split, *cols), scaler)
+        tall = scaled.select(
+            split, F.explode(F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("value")) for c in cols])).alias("_x")
+        ).select(split, "_x.feature", "_x.value").filter(F.col("value").isNotNull() & ~F.isnan("value"))
+        counts = tall.groupBy(split, "feature", "value").agg(F.count(F.lit(1)).alias("c"))
+        counts.withColumn("batch_id", F.lit(batch_id).cast("long")).write.mode("append").parquet(sink)
 
     _run(src, handle, "stream-drift", spark)
-    return spark.read.parquet(sink)
+    cur = spark.read.parquet(sink).groupBy(split, "feature", "value").agg(F.sum("c").alias("c"))
+    sizes = cur.groupBy(split).agg((F.sum("c") / F.lit(len(cols))).alias("_n")).filter(F.col("_n") >= DRIFT_MIN_READINGS)
+    ref = dr.value_counts(dr.stack_sides(baseline.select(*cols), baseline.select(*cols).limit(0), cols))
+    ref = ref.select("feature", "value", "r").persist()
+    out = None
+    for row in sizes.select(split).collect():  # one distributed drift job per split; the split list is small
+        t = row[split]
+        mine = cur.filter(F.col(split) == F.lit(t)).select("feature", "value", F.lit(0).cast("long").alias("r"), F.col("c").cast("long"))
+        both = ref.withColumn("c", F.lit(0).cast("long")).unionByName(mine).groupBy("feature", "value").agg(
+            F.sum("r").alias("r"), F.sum("c").alias("c")
+        )
+        res = dr.drift_table(dr.feature_stats(both), stattest).select(F.lit(t).alias(split), "*")
+        out = res if out is None else out.unionByName(res)
+    return out
