@@ -352,3 +352,17 @@ def drift_report_table(ref: DataFrame, cur: DataFrame, features: list[str], bins
     hist = side_histogram(st, bins)
     verdict = drift_table(feature_stats(value_counts(st)), "auto", cfg)
     return hist.join(sized_broadcast(verdict, 1_000_000), "feature")
+
+
+# ------------------------------------------------------------------ half split (K4)
+def half_split(df: DataFrame, unit: str = "unit_number", cycle: str = "time_cycles") -> DataFrame:
+    """Adds ``side``: the first ``floor(n / 2)`` rows in ``(unit, cycle)`` order are the reference.
+
+    The global position comes from per-engine counts and a row number inside
+    each engine (:func:`dense_positions`), never from a single-task window.
+    """
+    from cyclewise.operators.ordering import dense_positions
+
+    n = df.count()
+    pos = dense_positions(df, keys=[], order=[unit, cycle], bucket=F.col(unit), out="_hpos")
+    return pos.withColumn("side", F.when(F.col("_hpos") <= F.lit(n // 2), F.lit(REF)).otherwise(F.lit(CUR))).drop("_hpos")

@@ -4,7 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cyclewise.plans import q_drift, q_features, q_metrics, q_scoring, q_sources, q_validate  # noqa: F401  (register queries)
+from cyclewise.plans import (  # noqa: F401  (register queries)
+    q_drift,
+    q_features,
+    q_lineage,
+    q_metrics,
+    q_pipeline,
+    q_scoring,
+    q_sources,
+    q_validate,
+)
 from cyclewise.plans.registry import ORACLES, QUERIES
 
 
@@ -17,4 +26,5 @@ def all_oracles() -> dict[str, str]:
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return QUERIES["feature_matrix"](spark, sf_dir)
+    """Gate -> featurize -> fit -> train, CV and hold-out metrics, on the 26-column fleet."""
+    return QUERIES["pipeline_metrics"](spark, sf_dir)
