@@ -49,14 +49,14 @@ def assemble(df: DataFrame, features: list[str], out: str = "features") -> DataF
 def ridge_fit(df: DataFrame, features: list[str], label: str = TARGET, alpha: float = 1.0) -> LinearModel:
     """Ridge regression ``min ||y - Xw - b||² + alpha ||w||²`` (intercept not penalised).
 
-    Spark's normal-equation solver standardises the label and scales the
-    penalty by its std, so the closed-form ridge needs
-    ``regParam = alpha / (n * std(y))``.  One distributed pass builds the
-    normal equations (at most 4096 features).
+    Spark's normal-equation solver standardises the label, so its penalty
+    acts as ``regParam / std_pop(y)`` on the ``1/n``-scaled loss; the
+    closed-form ridge therefore needs ``regParam = alpha * std_pop(y) / n``.
+    One distributed pass builds the normal equations (at most 4096 features).
     """
-    stats = df.agg(F.count(F.lit(1)).alias("n"), F.stddev_samp(F.col(label).cast("double")).alias("sd")).first()
+    stats = df.agg(F.count(F.lit(1)).alias("n"), F.stddev_pop(F.col(label).cast("double")).alias("sd")).first()
     n, sd = stats["n"], stats["sd"] or 0.0
-    reg = alpha / (n * sd) if n and sd > 0 else 0.0
+    reg = alpha * sd / n if n and sd > 0 else 0.0
     lr = LinearRegression(
         featuresCol="features", labelCol=label, solver="normal", elasticNetParam=0.0, regParam=reg,
         standardization=False, fitIntercept=True,
