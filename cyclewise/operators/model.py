@@ -41,7 +41,13 @@ class LinearModel:
 
 
 def assemble(df: DataFrame, features: list[str], out: str = "features") -> DataFrame:
-    """Vector column for Spark ML; missing values are filled with 0.0 first (assembler rejects NULL)."""
+    """Vector column for Spark ML; missing values are filled with 0.0 first (assembler rejects NULL).
+
+    A table that already carries the ``out`` vector (assembled once and
+    persisted, e.g. for the folds of a cross-validation) is returned as is.
+    """
+    if out in df.columns:
+        return df
     filled = df.na.fill(0.0, subset=features)
     return VectorAssembler(inputCols=features, outputCol=out).transform(filled)
 
@@ -82,8 +88,9 @@ def predict(model, df: DataFrame, features: list[str], out: str = "predicted") -
     """Scores ``df`` with a :class:`LinearModel` (projection) or a fitted Spark ML model."""
     if isinstance(model, LinearModel):
         return model.transform(df, out)
-    keep = df.columns
-    scored = model.setPredictionCol(out).transform(assemble(df, features, "_features").withColumnRenamed("_features", "features"))
+    keep = [c for c in df.columns if c != "features"]
+    vec = df if "features" in df.columns else assemble(df, features, "_features").withColumnRenamed("_features", "features")
+    scored = model.setPredictionCol(out).transform(vec)
     return scored.select(*keep, out)
 
 

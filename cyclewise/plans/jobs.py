@@ -7,6 +7,7 @@ read it, and a lost executor must not recompute the window pass.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -22,6 +23,12 @@ from cyclewise.session import cut_lineage
 from cyclewise.sources import text
 
 
+def spark_rows(df: DataFrame) -> DataFrame:
+    """A small result materialised as literal rows (so the inputs it came from can be released)."""
+    rows = df.collect()
+    return df.sparkSession.createDataFrame(rows, df.schema)
+
+
 def fit_model(feats: DataFrame, columns: list[str], model_cfg: dict):
     if model_cfg.get("type", "gbt") == "ridge":
         return md.ridge_fit(feats, columns, TARGET, float(model_cfg.get("ridge", {}).get("alpha", 1.0)))
@@ -52,8 +59,11 @@ def train_evaluate(raw_train: DataFrame, raw_test: DataFrame, truth: DataFrame,
     train_m = mt.regression_metrics(md.predict(model, feats, cols), TARGET, "predicted", "train_").select(
         "train_rmse", "train_mae", "train_r2", "train_asymmetric_score")
     fold_tbl = md.group_kfold(feats, folds)
-    oof = md.cv_predictions(md.with_folds(feats, fold_tbl), cols, lambda d, c, y: fit_model(d, c, model_cfg), TARGET, folds)
-    cv = md.cv_rmse(oof).select("cv_rmse_mean", "cv_rmse_std")
+    # the k fits and their scoring all read one assembled, persisted copy
+    vec = md.assemble(md.with_folds(feats, fold_tbl), cols).persist(StorageLevel.MEMORY_AND_DISK)
+    oof = md.cv_predictions(vec, cols, lambda d, c, y: fit_model(d, c, model_cfg), TARGET, folds)
+    cv = spark_rows(md.cv_rmse(oof).select("cv_rmse_mean", "cv_rmse_std"))
+    vec.unpersist()
     test_feats = fe.transform(raw_test, state)
     test_m = md.last_cycle_eval(test_feats, model, cols, truth)
     return combine_rows(train_m, cv, test_m), model, state

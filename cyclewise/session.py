@@ -61,10 +61,16 @@ def local_path(path: str) -> str:
     return path[5:] if path.startswith("file:") else path
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared folder (survives executor loss)."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def cut_lineage(df: DataFrame, name: str = "cut") -> DataFrame:
+    """Writes ``df`` as Parquet under the shared checkpoint folder and reads it back.
+
+    Survives executor loss (the copy is on shared storage, not in executor
+    memory), and later readers get columnar scans with column pruning, which
+    matters for wide feature tables.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
 
 
 def sized_broadcast(df: DataFrame, max_rows: int = 1_000_000) -> DataFrame:
