@@ -230,7 +230,7 @@ def column_sign(name: str, seed: int) -> int:
 
 def perturb(df: DataFrame, cols: list[str], keys: list[str], noise_factor: float = PERTURB_DEFAULTS["noise_factor"],
             shift_factor: float = PERTURB_DEFAULTS["shift_factor"], seed: int = PERTURB_DEFAULTS["seed"],
-            parts: tuple[bool, bool] = (True, True)) -> DataFrame:
+            parts: tuple[bool, bool] = (True, True), suffix: str | None = None) -> DataFrame:
     """What-if drift: first half of ``cols`` gets one shared noise value per row times the column's sample std;
     second half shifts by ``± shift_factor × range``.  Columns with std 0 / range 0 are left as they are.
 
@@ -255,6 +255,10 @@ def perturb(df: DataFrame, cols: list[str], keys: list[str], noise_factor: float
             rg = stats[f"rg_{i}"]
             if rg is not None and rg > 0:
                 repl[c] = F.col(c) + F.lit(float(shift_factor * rg * column_sign(c, seed)))
+    if suffix is not None:
+        # keep the originals and add the perturbed copies next to them, so both
+        # versions of a row can be scored in one projection (no self-join)
+        return df.select("*", *[(repl[c] if c in repl else F.col(c)).alias(f"{c}{suffix}") for c in present])
     return df.select(*[repl[c].alias(c) if c in repl else F.col(c) for c in df.columns])
 
 

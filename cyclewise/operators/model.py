@@ -27,14 +27,16 @@ class LinearModel:
     coefficients: list[float]
     intercept: float
 
-    def prediction(self) -> Column:
+    def prediction(self, source: dict[str, str] | None = None) -> Column:
+        """The linear score; ``source`` reads some features from other columns."""
+        source = source or {}
         expr = F.lit(float(self.intercept))
         for f, w in zip(self.features, self.coefficients):
-            expr = expr + F.lit(float(w)) * F.coalesce(F.col(f"`{f}`").cast("double"), F.lit(0.0))
+            expr = expr + F.lit(float(w)) * F.coalesce(F.col(f"`{source.get(f, f)}`").cast("double"), F.lit(0.0))
         return expr
 
-    def transform(self, df: DataFrame, out: str = "predicted") -> DataFrame:
-        return df.withColumn(out, self.prediction())
+    def transform(self, df: DataFrame, out: str = "predicted", source: dict[str, str] | None = None) -> DataFrame:
+        return df.withColumn(out, self.prediction(source))
 
     def importances(self) -> list[tuple[str, float]]:
         return [(f, abs(float(w))) for f, w in zip(self.features, self.coefficients)]
@@ -84,11 +86,21 @@ def gbt_fit(df: DataFrame, features: list[str], label: str = TARGET, params: dic
     return gbt.fit(assemble(df, features).select("features", F.col(label).cast("double").alias(label)))
 
 
-def predict(model, df: DataFrame, features: list[str], out: str = "predicted") -> DataFrame:
-    """Scores ``df`` with a :class:`LinearModel` (projection) or a fitted Spark ML model."""
+def predict(model, df: DataFrame, features: list[str], out: str = "predicted",
+            source: dict[str, str] | None = None) -> DataFrame:
+    """Scores ``df`` with a :class:`LinearModel` (projection) or a fitted Spark ML model.
+
+    ``source`` maps feature names to the columns to read instead (e.g. a
+    perturbed copy on the same row).
+    """
     if isinstance(model, LinearModel):
-        return model.transform(df, out)
+        return model.transform(df, out, source)
     keep = [c for c in df.columns if c != "features"]
+    if source:
+        cols = [source.get(f, f) for f in features]
+        vec = assemble(df, cols, "_vec")
+        scored = model.copy().setFeaturesCol("_vec").setPredictionCol(out).transform(vec)
+        return scored.select(*keep, out)
     vec = df if "features" in df.columns else assemble(df, features, "_features").withColumnRenamed("_features", "features")
     scored = model.setPredictionCol(out).transform(vec)
     return scored.select(*keep, out)

@@ -71,16 +71,24 @@ def train_evaluate(raw_train: DataFrame, raw_test: DataFrame, truth: DataFrame,
 
 def monitor(feats: DataFrame, model, columns: list[str], sensor_cols: list[str], cfg: dict | None = None) -> DataFrame:
     """Halve the feature table by position -> data drift -> prediction drift -> perturbation impact ->
-    drift gate -> retrain decision (one row)."""
-    halves = dr.half_split(feats.select(UNIT, CYCLE, *columns)).persist()
+    drift gate -> retrain decision (one row).
+
+    The per-feature statistics are computed once and serve both the
+    configured test (layer 1) and the automatic one (gate); the perturbed
+    copy of each reference row is scored on the same row as the original.
+    """
+    cfg = cfg or {}
+    halves = dr.half_split(feats.select(UNIT, CYCLE, *columns))
+    halves = cut_lineage(halves, "monitor-halves")
     ref = halves.filter(F.col("side") == dr.REF)
     cur = halves.filter(F.col("side") == dr.CUR)
-    table = dr.data_drift(ref, cur, columns, (cfg or {}).get("drift_stattest", "ks"), cfg)
-    pref, pcur = md.predict(model, ref, columns), md.predict(model, cur, columns)
-    pdrift = dr.prediction_drift(pref, pcur)
-    drifted = dr.perturb(ref, [c for c in sensor_cols if c in columns], [UNIT, CYCLE])
-    pairs = md.predict(model, ref, columns, "ref_pred").select(UNIT, CYCLE, "ref_pred").join(
-        md.predict(model, drifted, columns, "drift_pred").select(UNIT, CYCLE, "drift_pred"), [UNIT, CYCLE])
+    stats = cut_lineage(dr.feature_stats(dr.value_counts(dr.stack_sides(ref, cur, columns))), "monitor-stats")
+    table = dr.drift_table(stats, cfg.get("drift_stattest", "ks"), cfg)
+    pdrift = dr.prediction_drift(md.predict(model, ref, columns), md.predict(model, cur, columns))
+    pert = [c for c in sensor_cols if c in columns]
+    both = dr.perturb(ref, pert, [UNIT, CYCLE], suffix="__drifted")
+    pairs = md.predict(model, md.predict(model, both, columns, "ref_pred"), columns, "drift_pred",
+                       source={c: f"{c}__drifted" for c in pert})
     impact = dr.drift_impact(pairs)
-    gate = dr.drift_gate(dr.data_drift(ref, cur, columns, "auto", cfg))
+    gate = dr.drift_gate(dr.drift_table(stats, "auto", cfg))
     return rt.retrain_decision(dr.dataset_drift(table), table, pdrift, impact, gate)

@@ -303,9 +303,10 @@ def _impact(spark, sf):
     train = train_split(fleet_lineitem(spark, sf))
     state = fe.fit_state(train)
     scaled = fe.minmax_transform(train, {s: state.scaler[s] for s in state.sensor_cols}).select(UNIT, CYCLE, *LI_SENSORS)
-    drifted = dr.perturb(scaled, IMPACT_COLS, [UNIT, CYCLE])
-    pairs = scaled.select(UNIT, CYCLE, SCORER.prediction().alias("ref_pred")).join(
-        drifted.select(UNIT, CYCLE, SCORER.prediction().alias("drift_pred")), [UNIT, CYCLE]
+    both = dr.perturb(scaled, IMPACT_COLS, [UNIT, CYCLE], suffix="__drifted")
+    pairs = both.select(
+        SCORER.prediction().alias("ref_pred"),
+        SCORER.prediction({c: f"{c}__drifted" for c in IMPACT_COLS}).alias("drift_pred"),
     )
     return dr.drift_impact(pairs)
 
