@@ -365,8 +365,8 @@ def half_split(df: DataFrame, unit: str = "unit_number", cycle: str = "time_cycl
     The global position comes from per-engine counts and a row number inside
     each engine (:func:`dense_positions`), never from a single-task window.
     """
-    from cyclewise.operators.ordering import dense_positions
+    from cyclewise.operators.ordering import dense_positions, key_segment_bucket
 
     n = df.count()
-    pos = dense_positions(df, keys=[], order=[unit, cycle], bucket=F.col(unit), out="_hpos")
+    pos = dense_positions(df, keys=[], order=[unit, cycle], bucket=key_segment_bucket(unit, cycle), out="_hpos")
     return pos.withColumn("side", F.when(F.col("_hpos") <= F.lit(n // 2), F.lit(REF)).otherwise(F.lit(CUR))).drop("_hpos")

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from cyclewise.config import CYCLE, IMPORTANCE_TOP_N, TARGET, UNIT
 from cyclewise.operators.metrics import metric_columns, top_k
-from cyclewise.operators.ordering import dense_positions
+from cyclewise.operators.ordering import dense_positions, key_segment_bucket
 from cyclewise.session import sized_broadcast
 
 
@@ -124,7 +124,7 @@ def kfold_contiguous(df: DataFrame, k: int, unit: str = UNIT, cycle: str = CYCLE
     The global row position comes from per-engine counts (small table) plus a
     row number inside each engine, so no task holds the whole table.
     """
-    pos = dense_positions(df, keys=[], order=[unit, cycle], bucket=F.col(unit), out="_gpos")
+    pos = dense_positions(df, keys=[], order=[unit, cycle], bucket=key_segment_bucket(unit, cycle), out="_gpos")
     n = df.count()
     q, r = divmod(n, k)
     big = r * (q + 1)
@@ -195,7 +195,7 @@ def prefix_eval(predictions: DataFrame, truth: DataFrame, unit: str = UNIT, cycl
     is a keyed join, not a collect.
     """
     n = truth.count()
-    p = dense_positions(predictions, keys=[], order=[unit, cycle], bucket=F.col(unit), out="_pos").filter(
+    p = dense_positions(predictions, keys=[], order=[unit, cycle], bucket=key_segment_bucket(unit, cycle), out="_pos").filter(
         F.col("_pos") <= n
     )
     t = dense_positions(truth, keys=[], order=[unit], bucket=F.col(unit), out="_pos")

@@ -95,6 +95,12 @@ def running_totals(
     return x.select(*keep, *outs)
 
 
+def key_segment_bucket(unit: str, cycle: str, segment_rows: int = 1 << 16) -> Column:
+    """Bucket for ``dense_positions`` over ``(unit, cycle)`` order: engine plus a cycle segment,
+    so one very long engine is numbered by many tasks."""
+    return F.struct(F.col(unit), F.floor(F.col(cycle) / F.lit(segment_rows)).alias("_cseg"))
+
+
 def position_segments(pos: Column, segment_rows: int) -> Column:
     """0-based segment number of a 1-based dense position."""
     return F.floor((pos - F.lit(1)) / F.lit(segment_rows)).cast("long")

@@ -243,9 +243,13 @@ def _perturbed(spark, sf, parts):
     return dr.perturb(train, LI_SENSORS, [UNIT, CYCLE], parts=parts).select(UNIT, CYCLE, *LI_SENSORS)
 
 
+# values near 1e5 plus noise scaled by a summed std: compared at 4 decimals (about 1e-9 relative)
+PERTURB_DIGITS = 4
+
+
 @query("perturb_noise")
 def q_noise(spark, sf):
-    return rnd(_perturbed(spark, sf, (True, False)))
+    return rnd(_perturbed(spark, sf, (True, False)), PERTURB_DIGITS)
 
 
 def _sql_u(expr: str) -> str:
@@ -280,19 +284,19 @@ def sql_perturbed(src: str, cols: list[str], noise: bool, shift: bool, keys=(UNI
 def o_noise():
     return with_views(["li_train"], sql_round(
         f"SELECT unit_number, time_cycles, {', '.join(LI_SENSORS)} FROM ({sql_perturbed('SELECT * FROM li_train', LI_SENSORS, True, False)})",
-        LI_SENSORS))
+        LI_SENSORS, PERTURB_DIGITS))
 
 
 @query("perturb_shift")
 def q_shift(spark, sf):
-    return rnd(_perturbed(spark, sf, (False, True)))
+    return rnd(_perturbed(spark, sf, (False, True)), PERTURB_DIGITS)
 
 
 @oracle("perturb_shift")
 def o_shift():
     return with_views(["li_train"], sql_round(
         f"SELECT unit_number, time_cycles, {', '.join(LI_SENSORS)} FROM ({sql_perturbed('SELECT * FROM li_train', LI_SENSORS, False, True)})",
-        LI_SENSORS))
+        LI_SENSORS, PERTURB_DIGITS))
 
 
 # ---------------------------------------------------------------- M11 / A8
