@@ -55,12 +55,13 @@ def train_evaluate(raw_train: DataFrame, raw_test: DataFrame, truth: DataFrame,
     if bad:
         raise ValueError(f"feature gate failed: {bad} checks")
     cols = state.feature_columns
-    model = fit_model(feats, cols, model_cfg)
-    train_m = mt.regression_metrics(md.predict(model, feats, cols), TARGET, "predicted", "train_").select(
-        "train_rmse", "train_mae", "train_r2", "train_asymmetric_score")
+    # the final fit, its training metrics and the k fold fits all read one
+    # assembled, persisted copy of the feature table (memory, spilling to disk)
     fold_tbl = md.group_kfold(feats, folds)
-    # the k fits and their scoring all read one assembled, persisted copy
     vec = md.assemble(md.with_folds(feats, fold_tbl), cols).persist(StorageLevel.MEMORY_AND_DISK)
+    model = fit_model(vec, cols, model_cfg)
+    train_m = spark_rows(mt.regression_metrics(md.predict(model, vec, cols), TARGET, "predicted", "train_").select(
+        "train_rmse", "train_mae", "train_r2", "train_asymmetric_score"))
     oof = md.cv_predictions(vec, cols, lambda d, c, y: fit_model(d, c, model_cfg), TARGET, folds)
     cv = spark_rows(md.cv_rmse(oof).select("cv_rmse_mean", "cv_rmse_std"))
     vec.unpersist()

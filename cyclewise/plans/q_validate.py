@@ -177,7 +177,7 @@ def o_validation_errors():
     ctes, _ = sql_report()
     body = """
 SELECT * FROM (
-  SELECT *, row_number() OVER (PARTITION BY dataset ORDER BY unit_number, time_cycles, "column", "check") AS error_rank
+  SELECT *, CAST(row_number() OVER (PARTITION BY dataset ORDER BY unit_number, time_cycles, "column", "check") AS INTEGER) AS error_rank
   FROM (SELECT *, 'train' AS dataset FROM viol_train UNION ALL SELECT *, 'test' AS dataset FROM viol_test))
 WHERE error_rank <= 20"""
     return with_views(["full_defects"], sql_round(body, ["failure_value"]), ctes)
