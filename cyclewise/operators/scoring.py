@@ -34,13 +34,31 @@ SHORT_WARNING = (
 )
 
 
-def request_checks(rows: DataFrame, req: str = REQ, pos: str = "pos", cycle: str = CYCLE) -> DataFrame:
-    """Per request: reading count, arrival order check, and which calls accept it."""
-    w = Window.partitionBy(req).orderBy(pos)
-    flagged = rows.select(req, pos, cycle, (F.lag(cycle).over(w) >= F.col(cycle)).alias("_back"))
-    per = flagged.groupBy(req).agg(
-        F.count(F.lit(1)).alias("n_readings"),
+def request_checks(rows: DataFrame, req: str = REQ, pos: str = "pos", cycle: str = CYCLE,
+                   segment_rows: int = 1 << 16) -> DataFrame:
+    """Per request: reading count, arrival order check, and which calls accept it.
+
+    ``pos`` is the 1-based arrival position.  Order is checked inside
+    ``(request, position segment)`` windows and across segment boundaries on
+    a per-segment summary (first / last cycle), so one huge request is many
+    tasks.
+    """
+    seg = F.floor((F.col(pos) - F.lit(1)) / F.lit(segment_rows)).alias("_seg")
+    x = rows.select(req, pos, cycle, seg)
+    w = Window.partitionBy(req, "_seg").orderBy(pos)
+    flagged = x.select(req, "_seg", pos, cycle, (F.lag(cycle).over(w) >= F.col(cycle)).alias("_back"))
+    per_seg = flagged.groupBy(req, "_seg").agg(
+        F.count(F.lit(1)).alias("_n"),
         F.max(F.coalesce(F.col("_back").cast("int"), F.lit(0))).alias("_bad"),
+        F.min_by(cycle, pos).alias("_first"),
+        F.max_by(cycle, pos).alias("_last"),
+    )
+    ws = Window.partitionBy(req).orderBy("_seg")
+    edges = per_seg.select(
+        req, "_n", "_bad", F.coalesce((F.lag("_last").over(ws) >= F.col("_first")).cast("int"), F.lit(0)).alias("_edge")
+    )
+    per = edges.groupBy(req).agg(
+        F.sum("_n").alias("n_readings"), F.max(F.greatest("_bad", "_edge")).alias("_bad")
     )
     ordered = F.col("_bad") == 0
     return per.select(

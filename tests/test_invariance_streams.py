@@ -70,3 +70,15 @@ def test_request_order_check(spark):
     assert not chk[4]["ordered"] and not chk[4]["accept_predict"]
     assert chk[1]["ordered"] and chk[1]["accept_drift"] and not chk[1]["warn_short"]
     assert chk[2]["warn_short"] and not chk[2]["accept_drift"]
+
+
+def test_request_order_check_across_segments(spark):
+    # segment_rows=8: positions 1-8 and 9-16 are different segments; request 2 drops
+    # from cycle 12 (pos 8) to cycle 9 (pos 9), i.e. exactly across the boundary
+    rows = [(1, p, p) for p in range(1, 21)] + [(2, p, 12 if p == 8 else p) for p in range(1, 21)]
+    df = spark.createDataFrame(rows, "request_id int, pos int, time_cycles int")
+    chk = {r["request_id"]: r["ordered"] for r in sc.request_checks(df, segment_rows=8).collect()}
+    assert chk == {1: True, 2: False}
+    inside = [(3, p, 5 if p == 11 else p) for p in range(1, 21)]  # drop inside the second segment
+    chk = {r["request_id"]: r["ordered"] for r in sc.request_checks(spark.createDataFrame(inside, df.schema), segment_rows=8).collect()}
+    assert chk == {3: False}
