@@ -50,14 +50,19 @@ def value_counts(stacked: DataFrame, part: list[str] | None = None) -> DataFrame
 
 def _ks_pvalue(d: Column, n: Column, m: Column) -> Column:
     """Asymptotic two-sample KS p-value with Stephens' small-sample correction; 1 when λ < 0.2."""
-    en = F.sqrt(n * m / (n + m))
-    lam = (en + F.lit(0.12) + F.lit(0.11) / en) * d
+    # an empty side has no test: try_divide yields NULL instead of an ANSI error
+    en = F.sqrt(F.try_divide(n * m, n + m))
+    lam = (en + F.lit(0.12) + F.try_divide(F.lit(0.11), en)) * d
     series = F.aggregate(
         F.sequence(F.lit(1), F.lit(100)),
         F.lit(0.0),
         lambda acc, j: acc + F.pow(F.lit(-1.0), j - 1) * F.exp(F.lit(-2.0) * j * j * lam * lam),
     )
-    return F.when(lam < F.lit(0.2), F.lit(1.0)).otherwise(F.least(F.greatest(F.lit(2.0) * series, F.lit(0.0)), F.lit(1.0)))
+    return (
+        F.when(lam.isNull(), F.lit(None).cast("double"))
+        .when(lam < F.lit(0.2), F.lit(1.0))
+        .otherwise(F.least(F.greatest(F.lit(2.0) * series, F.lit(0.0)), F.lit(1.0)))
+    )
 
 
 def feature_stats(counts: DataFrame, part: list[str] | None = None) -> DataFrame:
@@ -75,11 +80,11 @@ def feature_stats(counts: DataFrame, part: list[str] | None = None) -> DataFrame
     )
     tot = sized_broadcast(tot, 1_000_000)
     run = running_totals(c, pk, "value", ["r", "c"], with_next=True).join(tot, pk)
-    fr = F.col("cum_r") / F.col("n_ref")
-    fc = F.col("cum_c") / F.col("n_cur")
+    fr = F.try_divide(F.col("cum_r"), F.col("n_ref"))
+    fc = F.try_divide(F.col("cum_c"), F.col("n_cur"))
     step = F.coalesce(F.col("next_value") - F.col("value"), F.lit(0.0))
-    p = F.col("r") / F.col("n_ref")
-    q = F.col("c") / F.col("n_cur")
+    p = F.try_divide(F.col("r"), F.col("n_ref"))
+    q = F.try_divide(F.col("c"), F.col("n_cur"))
     mid = (p + q) / 2
     js_term = F.when(p > 0, p * F.log(p / mid)).otherwise(0.0) + F.when(q > 0, q * F.log(q / mid)).otherwise(0.0)
     per = run.groupBy(pk).agg(
@@ -89,8 +94,8 @@ def feature_stats(counts: DataFrame, part: list[str] | None = None) -> DataFrame
         F.sum(js_term).alias("_js2"),
     )
     out = per.join(tot, pk)
-    mean = F.col("_sr") / F.col("n_ref")
-    std_pop = F.sqrt(F.greatest(F.col("_sr2") / F.col("n_ref") - mean * mean, F.lit(0.0)))
+    mean = F.try_divide(F.col("_sr"), F.col("n_ref"))
+    std_pop = F.sqrt(F.greatest(F.try_divide(F.col("_sr2"), F.col("n_ref")) - mean * mean, F.lit(0.0)))
     return out.select(
         *keys,
         F.col("n_ref").cast("long").alias("n_ref"),
@@ -155,8 +160,8 @@ def psi(ref: DataFrame, cur: DataFrame, features: list[str], threshold: float =
     binned = st.join(rng, "feature").groupBy("feature", b.cast("int").alias("bin")).agg(
         F.sum((F.col("side") == REF).cast("long")).alias("r"), F.sum((F.col("side") == CUR).cast("long")).alias("c")
     ).join(rng.select("feature", "n_ref", "n_cur"), "feature")
-    rs = F.col("r") / F.col("n_ref")
-    cs = F.col("c") / F.col("n_cur")
+    rs = F.try_divide(F.col("r"), F.col("n_ref"))
+    cs = F.try_divide(F.col("c"), F.col("n_cur"))
     rs = F.when(rs == 0, F.lit(0.0001)).otherwise(rs)
     cs = F.when(cs == 0, F.lit(0.0001)).otherwise(cs)
     out = binned.groupBy("feature").agg(F.sum((cs - rs) * F.log(cs / rs)).alias("drift_score"))

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cyclewise.config import CYCLE, IMPORTANCE_TOP_N, TARGET, UNIT
-from cyclewise.operators.metrics import metric_columns, top_k
+from cyclewise.operators.metrics import metric_columns, r2_score, top_k
 from cyclewise.operators.ordering import dense_positions, key_segment_bucket
 from cyclewise.session import sized_broadcast
 
@@ -207,5 +207,5 @@ def actual_vs_predicted(scored: DataFrame, label: str = TARGET, unit: str = UNIT
     """Pairs table with the R² of all pairs attached (a scalar read back from one aggregate)."""
     pairs = scored.select(unit, cycle, F.col(label).cast("double").alias("actual"), F.col("predicted"))
     e = F.col("predicted") - F.col("actual")
-    r2 = pairs.agg((F.lit(1.0) - F.sum(e * e) / (F.var_pop("actual") * F.count(F.lit(1)))).alias("r2")).first()["r2"]
+    r2 = pairs.agg(r2_score(F.sum(e * e), F.var_pop("actual") * F.count(F.lit(1))).alias("r2")).first()["r2"]
     return pairs.withColumn("r2", F.lit(r2).cast("double"))

@@ -79,3 +79,15 @@ def test_last_rows_and_eval(spark):
     truth = spark.createDataFrame([(1, 20), (2, 5)], "unit_number int, rul int")
     r = md.last_cycle_eval(feats, md.LinearModel(["f"], [1.0], 0.0), ["f"], truth).first()
     assert r["test_rmse"] == 0.0 and r["test_samples"] == 2
+
+
+def test_constant_target_and_one_sided_drift(spark):
+    from cyclewise.operators import drift as dr
+
+    r = mt.regression_metrics(_pairs(spark, [5, 5, 5], [5, 5, 5])).first()
+    assert r["r2"] == 1.0
+    assert mt.regression_metrics(_pairs(spark, [5, 5, 5], [4, 5, 6])).first()["r2"] == 0.0
+    ref = spark.createDataFrame([(1.0,), (2.0,)], "x double")
+    cur = spark.createDataFrame([(None,), (None,)], "x double")
+    st = dr.feature_stats(dr.value_counts(dr.stack_sides(ref, cur, ["x"]))).first()
+    assert st["n_cur"] == 0 and st["ks_p"] is None
