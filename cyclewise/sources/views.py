@@ -85,7 +85,7 @@ def _fleet_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(0.0).alias("setting_2"),
         F.lit(100.0).alias("setting_3"),
         F.col("value").alias("s_2"),
-        F.get_json_object("props", "$.k").cast("double").alias("s_3"),
+        F.get_json_object("props", "$.k").try_cast("double").alias("s_3"),
     )
 
 
@@ -136,7 +136,7 @@ SELECT CAST(user_id AS INTEGER) AS unit_number,
        CAST(0.0 AS DOUBLE) AS setting_2,
        CAST(100.0 AS DOUBLE) AS setting_3,
        value AS s_2,
-       CAST(json_extract_string(props, '$.k') AS DOUBLE) AS s_3
+       TRY_CAST(json_extract_string(props, '$.k') AS DOUBLE) AS s_3
 FROM events""",
     "li_train": "SELECT * FROM fleet_lineitem WHERE unit_number % 5 <> 0",
     "li_hold_all": """
