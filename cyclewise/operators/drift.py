@@ -23,6 +23,8 @@ from cyclewise.operators.ordering import running_totals
 from cyclewise.session import sized_broadcast
 
 REF, CUR = "reference", "current"
+# distinct values of one feature that a single window task may hold
+SINGLE_WINDOW_MAX_VALUES = 2_000_000
 
 
 def _finite(c: Column) -> Column:
@@ -77,9 +79,14 @@ def feature_stats(counts: DataFrame, part: list[str] | None = None) -> DataFrame
         F.sum("r").alias("n_ref"), F.sum("c").alias("n_cur"),
         F.sum((F.col("r") > 0).cast("long")).alias("n_unique_ref"),
         F.sum(F.col("r") * F.col("value")).alias("_sr"), F.sum(F.col("r") * F.col("value") * F.col("value")).alias("_sr2"),
+        F.count(F.lit(1)).alias("_nv"),
     )
     tot = sized_broadcast(tot, 1_000_000)
-    run = running_totals(c, pk, "value", ["r", "c"], with_next=True).join(tot, pk)
+    # a feature's distinct values are the rows one window task would hold; under
+    # the bound one window per feature is enough, above it the value ranges split it
+    widest = tot.agg(F.max("_nv")).first()[0] or 0
+    single = widest <= SINGLE_WINDOW_MAX_VALUES
+    run = running_totals(c, pk, "value", ["r", "c"], with_next=True, single_window=single).join(tot.drop("_nv"), pk)
     fr = F.try_divide(F.col("cum_r"), F.col("n_ref"))
     fc = F.try_divide(F.col("cum_c"), F.col("n_cur"))
     step = F.coalesce(F.col("next_value") - F.col("value"), F.lit(0.0))
@@ -93,7 +100,7 @@ def feature_stats(counts: DataFrame, part: list[str] | None = None) -> DataFrame
         F.sum(F.abs(fr - fc) * step).alias("wasserstein"),
         F.sum(js_term).alias("_js2"),
     )
-    out = per.join(tot, pk)
+    out = per.join(tot.drop("_nv"), pk)
     mean = F.try_divide(F.col("_sr"), F.col("n_ref"))
     std_pop = F.sqrt(F.greatest(F.try_divide(F.col("_sr2"), F.col("n_ref")) - mean * mean, F.lit(0.0)))
     return out.select(

@@ -56,6 +56,7 @@ def running_totals(
     buckets: int = 64,
     with_next: bool = False,
     accuracy: int = 10_000,
+    single_window: bool = False,
 ) -> DataFrame:
     """Cumulative sums of ``cols`` within ``part`` ordered by ``order``.
 
@@ -65,7 +66,15 @@ def running_totals(
 
     Buckets are equal-count ranges from ``percentile_approx``; one value never
     straddles two buckets, so the result is exact whatever the approximation.
+    ``single_window=True`` (for callers that have checked every part is
+    small) skips the buckets: one window partitioned by ``part``.
     """
+    if single_window:
+        w1 = Window.partitionBy(part).orderBy(order)
+        outs1 = [F.sum(c).over(w1.rowsBetween(Window.unboundedPreceding, 0)).alias(f"cum_{c}") for c in cols]
+        if with_next:
+            outs1.append(F.lead(order).over(w1).alias(f"next_{order}"))
+        return df.select(*df.columns, *outs1)
     probs = [i / buckets for i in range(1, buckets)]
     bounds = df.groupBy(part).agg(F.percentile_approx(order, probs, accuracy).alias("_bounds"))
     x = df.join(sized_broadcast(bounds, 100_000), part).withColumn(

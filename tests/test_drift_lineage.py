@@ -103,3 +103,17 @@ def test_flatten_struct(spark):
     out = lg.flatten_struct(df)
     assert out.columns == ["model.xgboost.max_depth", "model.tags", "n"]
     assert out.first()["model.tags"] == "[1, 2]"
+
+
+def test_stats_same_for_single_window_and_value_ranges(spark, monkeypatch):
+    rng = np.random.default_rng(11)
+    ref = _frame(spark, {"x": rng.normal(size=400).round(3), "y": rng.integers(0, 4, 400)})
+    cur = _frame(spark, {"x": rng.normal(0.2, 1, 300).round(3), "y": rng.integers(0, 5, 300)})
+    counts = dr.value_counts(dr.stack_sides(ref, cur, ["x", "y"]))
+    a = sorted(tuple(r) for r in dr.feature_stats(counts).collect())
+    monkeypatch.setattr(dr, "SINGLE_WINDOW_MAX_VALUES", 0)
+    b = sorted(tuple(r) for r in dr.feature_stats(counts).collect())
+    assert len(a) == 2
+    for ra, rb in zip(a, b):
+        assert ra[:4] == rb[:4]
+        np.testing.assert_allclose(ra[4:], rb[4:], rtol=1e-12)
