@@ -252,17 +252,24 @@ def request_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ev.select("request_id", pos.cast("int").alias("pos"), CYCLE, *SETTINGS, *SENSORS)
 
 
+BODY_MAX_READINGS = 1000
+
+
 def request_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``(request_id, body)``: the JSON body ``{"readings": [...]}`` of each request, in arrival order.
+    """``(request_id, part, body)``: JSON bodies ``{"readings": [...]}`` in arrival order.
 
-    A request is bounded by its producer (one call's readings), so collecting
-    one request into one row is the request itself, not an unbounded group.
+    A body holds at most ``BODY_MAX_READINGS`` readings; a longer request is
+    sent as consecutive parts, so no group collected into one row is unbounded.
     """
-    rows = request_rows(spark, sf_dir)
+    rows = request_rows(spark, sf_dir).withColumn(
+        "part", F.floor((F.col("pos") - F.lit(1)) / F.lit(BODY_MAX_READINGS)).cast("int")
+    )
     reading = F.struct(CYCLE, *SETTINGS, *SENSORS)
-    grouped = rows.groupBy("request_id").agg(F.sort_array(F.collect_list(F.struct("pos", reading.alias("r")))).alias("_rs"))
+    grouped = rows.groupBy("request_id", "part").agg(
+        F.sort_array(F.collect_list(F.struct("pos", reading.alias("r")))).alias("_rs")
+    )
     return grouped.select(
-        "request_id", F.to_json(F.struct(F.transform("_rs", lambda x: x["r"]).alias("readings"))).alias("body")
+        "request_id", "part", F.to_json(F.struct(F.transform("_rs", lambda x: x["r"]).alias("readings"))).alias("body")
     )
 
 
