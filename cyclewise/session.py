@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -56,11 +55,6 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{root.rstrip('/')}/cyclewise/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme (used only by tests that inspect written files)."""
-    return path[5:] if path.startswith("file:") else path
-
-
 def cut_lineage(df: DataFrame, name: str = "cut") -> DataFrame:
     """Writes ``df`` as Parquet under the shared checkpoint folder and reads it back.
 
@@ -83,10 +77,3 @@ def sized_broadcast(df: DataFrame, max_rows: int = 1_000_000) -> DataFrame:
     df = df.persist()
     n = df.count()
     return F.broadcast(df) if n <= max_rows else df
-
-
-def env_int(name: str, default: int) -> int:
-    try:
-        return int(os.environ.get(name, default))
-    except ValueError:
-        return default
