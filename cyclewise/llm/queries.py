@@ -2,32 +2,60 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cyclewise.llm import exact_dedup, licenses, mixing
+from cyclewise.llm import exact_dedup, langid, licenses, mixing, packing, wavelet
 from cyclewise.llm.common import table
 
+#: Folder of the tokenizer files; the public_tokenizers package's own unless the environment names another.
+TOKENIZERS = os.environ.get("CYCLEWISE_TOKENIZERS", "")
+
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
 
+def tokenizer_file(name: str) -> str:
+    if TOKENIZERS:
+        return os.path.join(TOKENIZERS, name)
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def op2_mix_sources(spark: SparkSession, sf: str) -> DataFrame:
     return mixing.mix(table(spark, sf, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op4_token_shards(spark: SparkSession, sf: str) -> DataFrame:
+    files = wavelet.write_shards(table(spark, sf, "documents"), tokenizer_file("word_bpe_49k.json"), end_id=1)
+    return wavelet.read_shards(files)
+
+
 def op5_exact_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf, "documents"))
 
 
+def op7_pack_sequences(spark: SparkSession, sf: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf, "documents"), tokenizer_file("byte_bpe_50k.json"), end_id=0)
+
+
 def op8_license_scan(spark: SparkSession, sf: str) -> DataFrame:
     return licenses.scan(table(spark, sf, "documents"))
 
 
+def op9_language_id(spark: SparkSession, sf: str) -> DataFrame:
+    return langid.learn_and_identify(table(spark, sf, "documents"))
+
+
 QUERIES: dict[str, QueryFn] = {
     "op2_mix_sources": op2_mix_sources,
+    "op4_token_shards": op4_token_shards,
     "op5_exact_dedup": op5_exact_dedup,
+    "op7_pack_sequences": op7_pack_sequences,
     "op8_license_scan": op8_license_scan,
+    "op9_language_id": op9_language_id,
 }
 
 ORACLES: dict[str, str] = {
