@@ -6,8 +6,9 @@ import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from cyclewise.llm import exact_dedup, langid, licenses, mixing, packing, wavelet
+from cyclewise.llm import exact_dedup, langid, licenses, mixing, packing, rpforest, wavelet
 from cyclewise.llm.common import table
 
 #: Folder of the tokenizer files; the public_tokenizers package's own unless the environment names another.
@@ -49,6 +50,10 @@ def op9_language_id(spark: SparkSession, sf: str) -> DataFrame:
     return langid.learn_and_identify(table(spark, sf, "documents"))
 
 
+def op10_nearest_vectors(spark: SparkSession, sf: str) -> DataFrame:
+    return rpforest.search(table(spark, sf, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
+
+
 QUERIES: dict[str, QueryFn] = {
     "op2_mix_sources": op2_mix_sources,
     "op4_token_shards": op4_token_shards,
@@ -56,6 +61,7 @@ QUERIES: dict[str, QueryFn] = {
     "op7_pack_sequences": op7_pack_sequences,
     "op8_license_scan": op8_license_scan,
     "op9_language_id": op9_language_id,
+    "op10_nearest_vectors": op10_nearest_vectors,
 }
 
 ORACLES: dict[str, str] = {
