@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cyclewise.llm import exact_dedup, langid, licenses, mixing, packing, rpforest, wavelet
+from cyclewise.llm import exact_dedup, langid, licenses, mixing, packing, rpforest, setsketch, wavelet
 from cyclewise.llm.common import table
 
 #: Folder of the tokenizer files; the public_tokenizers package's own unless the environment names another.
@@ -25,6 +25,10 @@ def tokenizer_file(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_near_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return setsketch.near_duplicates(table(spark, sf, "documents"), width=2, percent=80)
+
+
 def op2_mix_sources(spark: SparkSession, sf: str) -> DataFrame:
     return mixing.mix(table(spark, sf, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
@@ -55,6 +59,7 @@ def op10_nearest_vectors(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES: dict[str, QueryFn] = {
+    "op1_near_dedup": op1_near_dedup,
     "op2_mix_sources": op2_mix_sources,
     "op4_token_shards": op4_token_shards,
     "op5_exact_dedup": op5_exact_dedup,
