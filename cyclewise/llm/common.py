@@ -65,3 +65,14 @@ def passes(batches: Iterator[pd.DataFrame], text: str, limit: int = PASS_CHARS)
                 start, held = i, 0
             held += s
         yield pdf.iloc[start:].reset_index(drop=True)
+
+
+def bound_batches(spark, rows: int = 500) -> None:
+    """Lowers the session's rows per Arrow batch, so that a batch of very long texts fits in a Python worker.
+
+    Operators on whole texts call this; a smaller setting stays.
+    """
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    now = int(spark.conf.get(key, "10000"))
+    if now <= 0 or now > rows:
+        spark.conf.set(key, str(rows))

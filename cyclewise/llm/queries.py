@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cyclewise.llm import exact_dedup, langid, licenses, mixing, packing, rpforest, setsketch, wavelet
+from cyclewise.llm import exact_dedup, langid, licenses, mixing, packing, rpforest, setsketch, toxicity, wavelet
 from cyclewise.llm.common import table
 
 #: Folder of the tokenizer files; the public_tokenizers package's own unless the environment names another.
@@ -33,6 +33,10 @@ def op2_mix_sources(spark: SparkSession, sf: str) -> DataFrame:
     return mixing.mix(table(spark, sf, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op3_toxicity(spark: SparkSession, sf: str) -> DataFrame:
+    return toxicity.learn_and_score(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
 def op4_token_shards(spark: SparkSession, sf: str) -> DataFrame:
     files = wavelet.write_shards(table(spark, sf, "documents"), tokenizer_file("word_bpe_49k.json"), end_id=1)
     return wavelet.read_shards(files)
@@ -61,6 +65,7 @@ def op10_nearest_vectors(spark: SparkSession, sf: str) -> DataFrame:
 QUERIES: dict[str, QueryFn] = {
     "op1_near_dedup": op1_near_dedup,
     "op2_mix_sources": op2_mix_sources,
+    "op3_toxicity": op3_toxicity,
     "op4_token_shards": op4_token_shards,
     "op5_exact_dedup": op5_exact_dedup,
     "op7_pack_sequences": op7_pack_sequences,
