@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cyclewise.llm import exact_dedup, langid, licenses, mixing, packing, rpforest, setsketch, toxicity, wavelet
+from cyclewise.llm import exact_dedup, html_text, langid, licenses, mixing, packing, rpforest, setsketch, toxicity, wavelet
 from cyclewise.llm.common import table
 
 #: Folder of the tokenizer files; the public_tokenizers package's own unless the environment names another.
@@ -46,6 +46,11 @@ def op5_exact_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf, "documents"))
 
 
+def op6_html_text(spark: SparkSession, sf: str) -> DataFrame:
+    pages = table(spark, sf, "pages")
+    return html_text.extract(pages, html_text.fit(pages)).select("page_id", "url", "text", "n_chars")
+
+
 def op7_pack_sequences(spark: SparkSession, sf: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf, "documents"), tokenizer_file("byte_bpe_50k.json"), end_id=0)
 
@@ -68,6 +73,7 @@ QUERIES: dict[str, QueryFn] = {
     "op3_toxicity": op3_toxicity,
     "op4_token_shards": op4_token_shards,
     "op5_exact_dedup": op5_exact_dedup,
+    "op6_html_text": op6_html_text,
     "op7_pack_sequences": op7_pack_sequences,
     "op8_license_scan": op8_license_scan,
     "op9_language_id": op9_language_id,
