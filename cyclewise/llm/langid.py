@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cyclewise.llm import ngrams
-from cyclewise.llm.common import crc_fold, cut_lineage, passes
+from cyclewise.llm.common import bound_batches, crc_fold, cut_lineage, passes
 
 SIZES = (2, 3, 4)
 #: An n-gram belongs to a language if it makes up this share of the language's n-grams of its size ...
@@ -116,6 +116,7 @@ def fit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> Lang
     n-grams are counted per partition and summed over the cluster.  What comes to the driver is bounded by the
     shares: at most ``len(SIZES) / MIN_SHARE`` n-grams per language, whatever the corpus.
     """
+    bound_batches(docs.sparkSession)
     rows = docs.select(F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang")).dropna()
     known = rows.groupBy("lang").count().orderBy("lang").collect()
     languages = [r["lang"] for r in known]
@@ -148,6 +149,7 @@ def identify(docs: DataFrame, model: LanguageFilter, id_col: str = "doc_id", tex
     ``und`` with score 0 for null texts and texts without a letter.  ``coverage`` is the corrected share of
     the text's n-grams that its language knows.  Rows repeated are predicted each; an empty table gives an empty result.
     """
+    bound_batches(docs.sparkSession)
     held = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -175,6 +177,7 @@ def drop_unknown(docs: DataFrame, model: LanguageFilter, id_col: str = "doc_id",
     """
     schema = docs.schema
     at = docs.columns.index(text_col)
+    bound_batches(docs.sparkSession)
     held = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):

@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cyclewise.llm.common import cut_lineage
+from cyclewise.llm.common import bound_batches, cut_lineage
 from cyclewise.llm.tokens import encoder
 
 CAPACITY = 2048
@@ -163,6 +163,7 @@ def cut_pieces(docs: DataFrame, tokenizer: str, end_id: int, capacity: int = CAP
 
     Only documents longer than the capacity are cut; all their pieces but the first are full.
     """
+    bound_batches(docs.sparkSession)
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
 

@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cyclewise.llm.common import cut_lineage
+from cyclewise.llm.common import bound_batches, cut_lineage
 from cyclewise.llm.graph import components
 
 BANDS, ROWS = 40, 6  # a pair at similarity 0.8 shares no band with probability 5e-6
@@ -187,6 +187,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, id_col:
     needed to settle components.  Null and empty texts have no shingles and no links.  Rows repeated with id and
     text get equal rows; one id with several texts is linked by any of them.  Rows without an id count as linked with nothing.  An empty table gives an empty result.
     """
+    bound_batches(docs.sparkSession)
     sketches = cut_lineage(sketch(docs, width, id_col, text_col).withColumn("_salt", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS))), "nd-sketch")
     some = sketches.filter("set_key is not null and doc_id is not null")
     # documents of equal sets are one class; its smallest id stands for it

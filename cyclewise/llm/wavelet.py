@@ -19,7 +19,7 @@ import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cyclewise.llm.common import cut_lineage, scratch_path
+from cyclewise.llm.common import bound_batches, cut_lineage, scratch_path
 from cyclewise.llm.tokens import encoder
 
 MAGIC = b"WVMX0001"
@@ -190,6 +190,7 @@ def write_shards(docs: DataFrame, tokenizer: str, end_id: int, folder: str | Non
     An empty table gives no file.
     """
     spark = docs.sparkSession
+    bound_batches(spark)
     folder = folder or scratch_path(spark, "tokens")
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     rows = rows.withColumn("_h", F.xxhash64("text")).repartitionByRange("doc_id", "_h").withColumn("_part", F.spark_partition_id())
