@@ -139,7 +139,9 @@ def rules() -> list[dict]:
         add(label, priority, False, keyword, keyword, pattern)
     for _, priority, gate, before, after in WORDINGS:
         for label, keyword, name in NAMES:
-            add(label, priority, False, keyword, gate, before + name + after)
+            # a name that says "license" needs no further one
+            said = after if after.endswith("?") or "license" not in name else f"(?:{after})?"
+            add(label, priority, False, keyword, gate, before + name + said)
     return out
 
 
