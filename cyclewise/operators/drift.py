@@ -20,11 +20,8 @@ from pyspark.sql import functions as F
 
 from cyclewise.config import MONITORING_DEFAULTS, PERTURB_DEFAULTS
 from cyclewise.operators.ordering import running_totals
-from cyclewise.session import sized_broadcast
 
 REF, CUR = "reference", "current"
-# distinct values of one feature that a single window task may hold
-SINGLE_WINDOW_MAX_VALUES = 2_000_000
 
 
 def _finite(c: Column) -> Column:
@@ -79,14 +76,8 @@ def feature_stats(counts: DataFrame, part: list[str] | None = None) -> DataFrame
         F.sum("r").alias("n_ref"), F.sum("c").alias("n_cur"),
         F.sum((F.col("r") > 0).cast("long")).alias("n_unique_ref"),
         F.sum(F.col("r") * F.col("value")).alias("_sr"), F.sum(F.col("r") * F.col("value") * F.col("value")).alias("_sr2"),
-        F.count(F.lit(1)).alias("_nv"),
     )
-    tot = sized_broadcast(tot, 1_000_000)
-    # a feature's distinct values are the rows one window task would hold; under
-    # the bound one window per feature is enough, above it the value ranges split it
-    widest = tot.agg(F.max("_nv")).first()[0] or 0
-    single = widest <= SINGLE_WINDOW_MAX_VALUES
-    run = running_totals(c, pk, "value", ["r", "c"], with_next=True, single_window=single).join(tot.drop("_nv"), pk)
+    run = running_totals(c, pk, "value", ["r", "c"], with_next=True).join(tot, pk)
     fr = F.try_divide(F.col("cum_r"), F.col("n_ref"))
     fc = F.try_divide(F.col("cum_c"), F.col("n_cur"))
     step = F.coalesce(F.col("next_value") - F.col("value"), F.lit(0.0))
@@ -100,7 +91,7 @@ def feature_stats(counts: DataFrame, part: list[str] | None = None) -> DataFrame
         F.sum(F.abs(fr - fc) * step).alias("wasserstein"),
         F.sum(js_term).alias("_js2"),
     )
-    out = per.join(tot.drop("_nv"), pk)
+    out = per.join(tot, pk)
     mean = F.try_divide(F.col("_sr"), F.col("n_ref"))
     std_pop = F.sqrt(F.greatest(F.try_divide(F.col("_sr2"), F.col("n_ref")) - mean * mean, F.lit(0.0)))
     return out.select(
@@ -146,7 +137,9 @@ def drift_table(stats: DataFrame, stattest: str = "ks", cfg: dict | None = None,
 
 
 def data_drift(ref: DataFrame, cur: DataFrame, features: list[str], stattest: str = "ks", cfg: dict | None = None) -> DataFrame:
-    """Layer 1: per-feature drift between two tables."""
+    """Layer 1: per-feature drift between two tables; ``psi`` bins the values, the other tests compare distributions."""
+    if stattest == "psi":
+        return psi(ref, cur, features, {**MONITORING_DEFAULTS, **(cfg or {})}["psi_threshold"])
     return drift_table(feature_stats(value_counts(stack_sides(ref, cur, features))), stattest, cfg)
 
 
@@ -161,7 +154,6 @@ def psi(ref: DataFrame, cur: DataFrame, features: list[str], threshold: float =
         F.sum((F.col("side") == REF).cast("long")).alias("n_ref"),
         F.sum((F.col("side") == CUR).cast("long")).alias("n_cur"),
     ).withColumn("n_bins", F.ceil(F.log2(F.col("n_ref") + F.col("n_cur")) + F.lit(1.0)).cast("int"))
-    rng = sized_broadcast(rng, 1_000_000)
     w = F.col("_hi") - F.col("_lo")
     b = F.when(w > 0, F.least(F.floor((F.col("value") - F.col("_lo")) / w * F.col("n_bins")), F.col("n_bins") - 1)).otherwise(0)
     binned = st.join(rng, "feature").groupBy("feature", b.cast("int").alias("bin")).agg(
@@ -275,43 +267,39 @@ def perturb(df: DataFrame, cols: list[str], keys: list[str], noise_factor: float
 
 
 # ------------------------------------------------------------------ impact (M11, A8)
-def exact_rank_value(df: DataFrame, col: str, k: int, buckets: int = 1024, max_rows: int = 1_000_000) -> float | None:
+def exact_rank_value(df: DataFrame, col: str, k: int, buckets: int = 1024) -> float | None:
     """The ``k``-th smallest (1-based) value of ``col``, exactly, without one task holding the column.
 
-    Equal-count value ranges (``percentile_approx``) and their counts locate
-    the range holding rank ``k``; that range alone is narrowed again until it
-    is small enough to rank in one window.
+    ``percentile_approx`` names values of the column as bounds.  A bound and the open range below it are
+    ranges of their own; counts tell which range holds rank ``k``.  If it is a bound, that is the answer; else the range,
+    which has fewer values as its bounds are outside, is narrowed again.  One plan for any size and any
+    repetition.
     """
     x = df.select(F.col(col).cast("double").alias("v")).filter(F.col("v").isNotNull())
+    probs = [i / buckets for i in range(buckets + 1)]
     while True:
-        n = x.count()
-        if n == 0 or k < 1 or k > n:
-            return None
-        if n <= max_rows:
-            from pyspark.sql import Window
-
-            r = x.withColumn("_r", F.row_number().over(Window.orderBy("v"))).filter(F.col("_r") == k).first()
-            return r["v"]
-        probs = [i / buckets for i in range(1, buckets)]
         bounds = x.agg(F.percentile_approx("v", probs, 10 * buckets).alias("b")).first()["b"]
+        if not bounds or k < 1:
+            return None
         bounds = sorted(set(bounds))
-        bx = x.withColumn("_b", F.size(F.filter(F.array(*[F.lit(float(b)) for b in bounds]), lambda b: b < F.col("v"))))
-        cnt = sorted((r["_b"], r["n"]) for r in bx.groupBy("_b").agg(F.count(F.lit(1)).alias("n")).collect())
-        before = 0
-        for b, c in cnt:
-            if before + c >= k:
-                lo = bounds[b - 1] if b > 0 else None
-                hi = bounds[b] if b < len(bounds) else None
-                cond = F.lit(True)
-                if lo is not None:
-                    cond = cond & (F.col("v") > F.lit(lo))
-                if hi is not None:
-                    cond = cond & (F.col("v") <= F.lit(hi))
-                if c == n:  # no narrowing possible (one repeated value)
-                    return x.filter(cond).agg(F.min("v")).first()[0]
-                x, k = x.filter(cond), k - before
+        below = F.size(F.filter(F.array(*[F.lit(float(b)) for b in bounds]), lambda b: b < F.col("v")))
+        ranges = x.groupBy(below.alias("_i"), F.col("v").isin([float(b) for b in bounds]).alias("_at")).agg(F.count(F.lit(1)).alias("n"))
+        counts = {(r["_i"], r["_at"]): r["n"] for r in ranges.collect()}  # at most two per bound
+        for i in range(len(bounds) + 1):
+            inside = counts.get((i, False), 0)
+            if k <= inside:
+                if i > 0:
+                    x = x.filter(F.col("v") > F.lit(float(bounds[i - 1])))
+                if i < len(bounds):
+                    x = x.filter(F.col("v") < F.lit(float(bounds[i])))
                 break
-            before += c
+            k -= inside
+            if i < len(bounds):
+                if k <= counts.get((i, True), 0):
+                    return float(bounds[i])
+                k -= counts.get((i, True), 0)
+        else:
+            return None
 
 
 def exact_median(df: DataFrame, col: str) -> float | None:
@@ -319,10 +307,13 @@ def exact_median(df: DataFrame, col: str) -> float | None:
     n = df.filter(F.col(col).isNotNull()).count()
     if n == 0:
         return None
+    low = exact_rank_value(df, col, (n + 1) // 2)
     if n % 2:
-        return exact_rank_value(df, col, (n + 1) // 2)
-    a, b = exact_rank_value(df, col, n // 2), exact_rank_value(df, col, n // 2 + 1)
-    return (a + b) / 2
+        return low
+    # the upper middle value is the same one if enough rows have it, else the next larger
+    v = F.col(col).cast("double")
+    upto, above = df.agg(F.count(F.when(v <= low, 1)), F.min(F.when(v > low, v))).first()
+    return low if upto >= n // 2 + 1 else (low + above) / 2
 
 
 def drift_impact(pairs: DataFrame, ref: str = "ref_pred", drifted: str = "drift_pred",
@@ -345,7 +336,7 @@ def side_histogram(stacked: DataFrame, bins: int = 20) -> DataFrame:
 
     ``(feature, side, bin, bin_lo, bin_hi, n)``, empty bins included.
     """
-    rng = sized_broadcast(stacked.groupBy("feature").agg(F.min("value").alias("_lo"), F.max("value").alias("_hi")), 1_000_000)
+    rng = stacked.groupBy("feature").agg(F.min("value").alias("_lo"), F.max("value").alias("_hi"))
     w = F.col("_hi") - F.col("_lo")
     b = F.when(w > 0, F.least(F.floor((F.col("value") - F.col("_lo")) / w * F.lit(bins)), F.lit(bins - 1))).otherwise(0)
     counts = stacked.join(rng, "feature").groupBy("feature", "side", b.cast("int").alias("bin")).agg(F.count(F.lit(1)).alias("n"))
@@ -367,7 +358,7 @@ def drift_report_table(ref: DataFrame, cur: DataFrame, features: list[str], bins
     st = stack_sides(ref, cur, features)
     hist = side_histogram(st, bins)
     verdict = drift_table(feature_stats(value_counts(st)), "auto", cfg)
-    return hist.join(sized_broadcast(verdict, 1_000_000), "feature")
+    return hist.join(verdict, "feature")
 
 
 # ------------------------------------------------------------------ half split (K4)

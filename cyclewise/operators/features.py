@@ -18,12 +18,12 @@ from __future__ import annotations
 import json
 from dataclasses import dataclass, field
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cyclewise.config import CYCLE, FEATURE_DEFAULTS, KEYS, SETTINGS, TARGET, UNIT
-from cyclewise.operators.ordering import position_segments
-from cyclewise.session import cut_lineage, sized_broadcast
+from cyclewise.operators.ordering import dense_positions, position_segments
 
 DEFAULT_SEGMENT_ROWS = 1 << 16
 
@@ -36,8 +36,8 @@ def nan_to_null(c: str | Column) -> Column:
 # ------------------------------------------------------------------ W1, P1
 def rul_label(df: DataFrame, rul_cap: int | None = 125, unit: str = UNIT, cycle: str = CYCLE) -> DataFrame:
     """``rul = min(max_cycle - cycle, cap)`` from a per-engine max table (no engine-wide window)."""
-    eng = df.groupBy(unit).agg(F.max(cycle).alias("_max_cycle"))
-    out = df.join(sized_broadcast(eng), unit)
+    eng = df.groupBy(F.col(unit).alias("_unit")).agg(F.max(cycle).alias("_max_cycle"))
+    out = df.join(eng, F.col(unit).eqNullSafe(F.col("_unit"))).drop("_unit")
     rul = F.col("_max_cycle") - F.col(cycle)
     if rul_cap is not None:
         rul = F.least(rul, F.lit(int(rul_cap)))
@@ -95,16 +95,6 @@ def feature_names(sensors: list[str], windows: list[int], lags: list[int]) -> li
     return sorted(names)
 
 
-def _halo_rows(df: DataFrame, pos: str, seg_rows: int, halo: int) -> DataFrame:
-    """Adds ``_seg`` (own segment) and ``_wseg`` (window segment; halo rows appear twice)."""
-    x = df.withColumn("_seg", position_segments(F.col(pos), seg_rows))
-    in_halo = ((F.col(pos) - F.lit(1)) % F.lit(seg_rows)) >= F.lit(seg_rows - halo)
-    return x.withColumn(
-        "_wseg",
-        F.explode(F.when(in_halo, F.array(F.col("_seg"), F.col("_seg") + F.lit(1))).otherwise(F.array(F.col("_seg")))),
-    )
-
-
 def _rolling_exprs(s: str, w, windows: list[int]) -> list[Column]:
     x = F.col(s)
     out = []
@@ -131,122 +121,67 @@ def window_features(
 ) -> DataFrame:
     """Rolling mean / sample std / min / max, back-filled lags, first differences.
 
-    ``pos`` must be a dense 1-based position per ``unit`` (cycles 1..n); use
-    :func:`cyclewise.operators.ordering.dense_positions` first otherwise.
+    Rows are numbered 1..n per ``unit`` by ``pos``, which may have gaps and start anywhere; only that number is used
+    from then on, so a unit's features depend on its own rows alone.
 
     * rolling: at least one row, std of a single row is 0.
-    * lag k: ``x[i-k]``; the first k rows take the next known lag of the same
-      engine (back-fill); a lag still empty takes the table-wide mean of that
-      lag column (``lag_fill=False`` leaves it NULL: used when every
+    * lag k: ``x[i-k]``; empty ones take the next known lag of the same
+      engine (back-fill), i.e. the first known ``x[p]`` with ``max(i-k, 1) <= p <= n-k``; a lag still empty takes
+      the table-wide mean of that lag column (``lag_fill=False`` leaves it NULL: used when every
       ``unit`` is a separate request whose data must not mix).
     * diff: ``x[i] - x[i-1]``, first row 0.
+
+    The first known value at or after a row comes from one descending window, and beyond the segment from a small
+    per-segment table; the plan is the same with and without missing readings.
     """
     windows = sorted(set(windows))
     lags = sorted(set(lags))
     halo = max([w - 1 for w in windows] + lags + [1])
     seg_rows = max(int(segment_rows), halo + 1)
-
-    # one small job: engine lengths and missing counts decide the plan
-    probe = df.groupBy(unit).agg(
-        F.count(F.lit(1)).alias("_n"),
-        *[F.sum(F.col(s).isNull().cast("long")).alias(f"_z{i}") for i, s in enumerate(sensors)],
-    )
-    summ = probe.agg(F.min("_n").alias("min_n"), *[F.sum(f"_z{i}").alias(f"z{i}") for i in range(len(sensors))]).first()
-    if summ is None or summ["min_n"] is None:
-        has_nulls, min_n = False, None
-    else:
-        has_nulls = any((summ[f"z{i}"] or 0) > 0 for i in range(len(sensors)))
-        min_n = summ["min_n"]
-    if has_nulls:
-        return _window_features_with_gaps(df, sensors, windows, lags, unit, pos, seg_rows, halo, lag_fill)
-
-    base = df.columns
-    x = _halo_rows(df, pos, seg_rows, halo)
-    w = Window.partitionBy(unit, "_wseg").orderBy(pos)
-    # rows in this window partition; > k exactly when the engine has > k rows
-    n_part = F.count(F.lit(1)).over(w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
-    cols: list[Column] = []
-    for s in sensors:
-        cols += _rolling_exprs(s, w, windows)
-        # without gaps, the back-filled lag is the first row of the k-row frame
-        cols += [F.when(n_part > F.lit(k), F.first(F.col(s)).over(w.rowsBetween(-k, 0))).alias(f"{s}_lag_{k}") for k in lags]
-        cols.append(F.coalesce(F.col(s) - F.lag(s, 1).over(w), F.lit(0.0)).alias(f"{s}_diff"))
-    out = x.select(*base, "_seg", "_wseg", *cols).filter(F.col("_seg") == F.col("_wseg")).drop("_seg", "_wseg")
-
-    short = [k for k in lags if min_n is not None and min_n <= k]
-    if not short or not lag_fill:
-        return out
-    # Engines with <= k rows keep an empty lag k.  Its fill value is the mean of
-    # the back-filled column, which has a closed form per engine:
-    # k * x[1] + sum(x[1 .. n-k]) over the engines with n > k.
-    eng = df.groupBy(unit).agg(F.count(F.lit(1)).alias("_n"))
-    j = df.join(sized_broadcast(eng), unit)
-    aggs = []
-    for k in short:
-        ok = F.col("_n") > F.lit(k)
-        for i, s in enumerate(sensors):
-            total = F.coalesce(F.sum(F.when(ok & (F.col(pos) <= F.col("_n") - F.lit(k)), F.col(s))), F.lit(0.0)) + F.lit(
-                float(k)
-            ) * F.sum(F.when(ok & (F.col(pos) == 1), F.col(s)))
-            aggs.append((total / F.sum(F.when(ok, F.lit(1.0)))).alias(f"m_{k}_{i}"))
-    means = j.agg(*aggs).first()
-    fills = {f"{s}_lag_{k}": means[f"m_{k}_{i}"] for k in short for i, s in enumerate(sensors)}
-    return out.select(
-        *[F.coalesce(F.col(c), F.lit(fills[c])).alias(c) if fills.get(c) is not None else F.col(c) for c in out.columns]
-    )
-
-
-def _window_features_with_gaps(df, sensors, windows, lags, unit, pos, seg_rows, halo, lag_fill=True) -> DataFrame:
-    """General form for series with missing readings.
-
-    Back-fill of lag k at row i = first known ``x[p]`` with ``p >= i-k`` and
-    ``p <= n-k``.  Inside a segment that is a growing frame in descending
-    order; beyond it, the first known reading of a later segment comes from a
-    small per-segment table.  The table-wide lag mean needs the back-filled
-    table itself, so it is cut (checkpoint) and averaged once.
-    """
     base = df.columns
-    eng = df.groupBy(unit).agg(F.count(F.lit(1)).alias("_n"))
-    x = df.join(sized_broadcast(eng), unit).withColumn("_seg", position_segments(F.col(pos), seg_rows))
-    firsts = x.groupBy(unit, "_seg").agg(
-        *[
-            F.min(F.when(F.col(s).isNotNull(), F.struct(F.col(pos).alias("p"), F.col(s).alias("v")))).alias(f"_f{i}")
-            for i, s in enumerate(sensors)
-        ]
-    )
+    x = dense_positions(df, [unit], [pos], F.floor(F.col(pos) / F.lit(seg_rows)), out="_p", total="_n")
+    x = x.withColumn("_seg", position_segments(F.col("_p"), seg_rows))
+    known = [F.when(F.col(s).isNotNull(), F.struct(F.col("_p").alias("p"), F.col(s).alias("v"))) for s in sensors]
+    firsts = x.groupBy(unit, "_seg").agg(*[F.min(k).alias(f"_f{i}") for i, k in enumerate(known)])
     later = Window.partitionBy(unit).orderBy(F.col("_seg").desc()).rowsBetween(Window.unboundedPreceding, -1)
-    nxt = firsts.select(unit, "_seg", *[F.last(f"_f{i}", ignorenulls=True).over(later).alias(f"_nx{i}") for i in range(len(sensors))])
-    x = x.join(sized_broadcast(nxt), [unit, "_seg"])
-    in_halo = ((F.col(pos) - F.lit(1)) % F.lit(seg_rows)) >= F.lit(seg_rows - halo)
+    nxt = firsts.select(
+        F.col(unit).alias("_u2"), F.col("_seg").alias("_s2"),
+        *[F.last(f"_f{i}", ignorenulls=True).over(later).alias(f"_nx{i}") for i in range(len(sensors))],
+    )
+    x = x.join(nxt, F.col(unit).eqNullSafe(F.col("_u2")) & (F.col("_seg") == F.col("_s2")))
+    in_halo = ((F.col("_p") - F.lit(1)) % F.lit(seg_rows)) >= F.lit(seg_rows - halo)
     x = x.withColumn(
         "_wseg",
         F.explode(F.when(in_halo, F.array(F.col("_seg"), F.col("_seg") + F.lit(1))).otherwise(F.array(F.col("_seg")))),
     )
-    w = Window.partitionBy(unit, "_wseg").orderBy(pos)
-    wd = Window.partitionBy(unit, "_wseg").orderBy(F.col(pos).desc())
+    w = Window.partitionBy(unit, "_wseg").orderBy("_p")
+    to_end = Window.partitionBy(unit, "_wseg").orderBy(F.col("_p").desc()).rowsBetween(Window.unboundedPreceding, 0)
+    x = x.select(
+        *base, "_p", "_n", "_seg", "_wseg",
+        *[F.coalesce(F.last(k, ignorenulls=True).over(to_end), F.col(f"_nx{i}")).alias(f"_k{i}") for i, k in enumerate(known)],
+    )
+    start = w.rowsBetween(Window.unboundedPreceding, 0)
     cols: list[Column] = []
     lag_cols: list[str] = []
     for i, s in enumerate(sensors):
         cols += _rolling_exprs(s, w, windows)
         for k in lags:
-            valid = F.when(F.col(pos) <= F.col("_n") - F.lit(k), F.col(s))
-            inside = F.last(valid, ignorenulls=True).over(wd.rowsBetween(Window.unboundedPreceding, k))
-            nx = F.col(f"_nx{i}")
-            beyond = F.when(nx["p"] <= F.col("_n") - F.lit(k), nx["v"])
-            cols.append(F.coalesce(inside, beyond).alias(f"{s}_lag_{k}"))
+            at = F.when(F.col("_p") <= F.lit(k), F.first(f"_k{i}").over(start)).otherwise(F.lag(f"_k{i}", k).over(w))
+            cols.append(F.when(at["p"] <= F.col("_n") - F.lit(k), at["v"]).alias(f"{s}_lag_{k}"))
             lag_cols.append(f"{s}_lag_{k}")
         cols.append(F.coalesce(F.col(s) - F.lag(s, 1).over(w), F.lit(0.0)).alias(f"{s}_diff"))
-    pre = x.select(*base, "_seg", "_wseg", *cols).filter(F.col("_seg") == F.col("_wseg")).drop("_seg", "_wseg")
-    if not lag_fill:
-        return pre
-    pre = cut_lineage(pre)
-    means = pre.agg(*[F.avg(c).alias(c) for c in lag_cols]).first()
-    return pre.select(
-        *[
-            F.coalesce(F.col(c), F.lit(means[c])).alias(c) if c in lag_cols and means[c] is not None else F.col(c)
-            for c in pre.columns
-        ]
-    )
+    out = x.select(*base, "_seg", "_wseg", *cols).filter(F.col("_seg") == F.col("_wseg")).drop("_seg", "_wseg")
+    return fill_lags(out, lag_means(out, lag_cols)) if lag_fill and lag_cols else out
+
+
+def lag_means(features: DataFrame, lag_cols: list[str]) -> dict[str, float]:
+    """Mean of each lag column: one aggregate over the lag windows alone (the other features are pruned)."""
+    row = features.agg(*[F.avg(c).alias(c) for c in lag_cols]).first()
+    return {c: row[c] for c in lag_cols if row[c] is not None}
+
+
+def fill_lags(features: DataFrame, means: dict[str, float]) -> DataFrame:
+    return features.select(*[F.coalesce(F.col(c), F.lit(means[c])).alias(c) if c in means else F.col(c) for c in features.columns])
 
 
 # ------------------------------------------------------------------ F1-F4, P3-P4
@@ -258,6 +193,8 @@ class FeatureState:
     sensor_cols: list[str]
     scaler: dict[str, tuple[float | None, float | None]]
     feature_columns: list[str] = field(default_factory=list)
+    #: fit-time mean of each lag column, for readings that have none (a request too short for it)
+    lag_means: dict[str, float] = field(default_factory=dict)
 
     def scaler_table(self, spark: SparkSession) -> DataFrame:
         rows = [(i, s, self.scaler[s][0], self.scaler[s][1]) for i, s in enumerate(self.sensor_cols)]
@@ -267,7 +204,7 @@ class FeatureState:
         """State table in Parquet + one JSON row of config / column lists."""
         self.scaler_table(spark).coalesce(1).write.mode("overwrite").parquet(f"{path}/scaler")
         meta = json.dumps(
-            {"config": self.config, "sensor_cols": self.sensor_cols, "feature_columns": self.feature_columns}
+            {"config": self.config, "sensor_cols": self.sensor_cols, "feature_columns": self.feature_columns, "lag_means": self.lag_means}
         )
         spark.createDataFrame([(meta,)], "meta string").coalesce(1).write.mode("overwrite").json(f"{path}/meta")
 
@@ -276,13 +213,15 @@ class FeatureState:
         try:
             meta_row = spark.read.schema("meta string").json(f"{path}/meta").first()
             rows = spark.read.parquet(f"{path}/scaler").orderBy("ord").collect()
-        except Exception as exc:  # noqa: BLE001 - surface as a missing artifact
+        except AnalysisException as exc:
+            if "PATH_NOT_FOUND" not in str(exc):
+                raise
             raise FileNotFoundError(f"feature state not found: {path}") from exc
         if meta_row is None:
             raise FileNotFoundError(f"feature state not found: {path}")
         meta = json.loads(meta_row["meta"])
         scaler = {r["sensor"]: (r["data_min"], r["data_max"]) for r in rows}
-        return cls(meta["config"], meta["sensor_cols"], scaler, meta["feature_columns"])
+        return cls(meta["config"], meta["sensor_cols"], scaler, meta["feature_columns"], meta.get("lag_means", {}))
 
 
 def _cfg(config: dict | None) -> dict:
@@ -291,6 +230,10 @@ def _cfg(config: dict | None) -> dict:
     return cfg
 
 
+def _lag_columns(sensors: list[str], cfg: dict) -> list[str]:
+    return [f"{s}_lag_{k}" for s in sensors for k in sorted(set(cfg["lag_steps"]))]
+
+
 def fit_transform(
     df: DataFrame, config: dict | None = None, segment_rows: int = DEFAULT_SEGMENT_ROWS
 ) -> tuple[DataFrame, FeatureState]:
@@ -302,9 +245,11 @@ def fit_transform(
     state_rows = minmax_fit(out, sensors).collect()  # one row per sensor
     scaler = {r["sensor"]: (r["data_min"], r["data_max"]) for r in state_rows}
     out = minmax_transform(out, scaler)
-    out = window_features(out, sensors, cfg["rolling_window_sizes"], cfg["lag_steps"], segment_rows=segment_rows)
+    out = window_features(out, sensors, cfg["rolling_window_sizes"], cfg["lag_steps"], segment_rows=segment_rows, lag_fill=False)
+    means = lag_means(out, _lag_columns(sensors, cfg))
+    out = fill_lags(out, means)
     feats = sorted(c for c in out.columns if c not in KEYS + SETTINGS + [TARGET])
-    return out, FeatureState(cfg, sensors, scaler, feats)
+    return out, FeatureState(cfg, sensors, scaler, feats, means)
 
 
 def transform(
@@ -340,12 +285,17 @@ def feature_matrix(df: DataFrame, state: FeatureState, keys: list[str] = KEYS) -
     return align_features(df, state.feature_columns, keep)
 
 
-def fit_state(df: DataFrame, config: dict | None = None) -> FeatureState:
-    """The fitted state alone (scaler bounds, sensors, feature list): one aggregate, no window pass."""
+def fit_state(df: DataFrame, config: dict | None = None, with_lag_means: bool = False) -> FeatureState:
+    """The fitted state alone (scaler bounds, sensors, feature list): one aggregate; the lag means, which only the
+    scoring of short requests needs, take one more over the lag windows."""
     cfg = _cfg(config)
     kept = drop_sensors(df, cfg.get("drop_sensors", []))
     sensors = [c for c in kept.columns if c.startswith("s_")]
     rows = minmax_fit(kept, sensors).collect()
     scaler = {r["sensor"]: (r["data_min"], r["data_max"]) for r in rows}
     feats = feature_names(sensors, cfg["rolling_window_sizes"], cfg["lag_steps"])
-    return FeatureState(cfg, sensors, scaler, feats)
+    means = {}
+    if with_lag_means:
+        windows = window_features(minmax_transform(kept, scaler), sensors, [], cfg["lag_steps"], lag_fill=False)
+        means = lag_means(windows, _lag_columns(sensors, cfg))
+    return FeatureState(cfg, sensors, scaler, feats, means)

@@ -17,7 +17,6 @@ from pyspark.sql import functions as F
 from cyclewise.config import CYCLE, IMPORTANCE_TOP_N, TARGET, UNIT
 from cyclewise.operators.metrics import metric_columns, r2_score, top_k
 from cyclewise.operators.ordering import dense_positions, key_segment_bucket
-from cyclewise.session import sized_broadcast
 
 
 # ------------------------------------------------------------------ linear scorer (L2, L6)
@@ -147,7 +146,7 @@ def group_kfold(df: DataFrame, k: int, unit: str = UNIT) -> DataFrame:
 
 
 def with_folds(df: DataFrame, folds: DataFrame, unit: str = UNIT) -> DataFrame:
-    return df.join(sized_broadcast(folds.select(unit, "fold")), unit)
+    return df.join(folds.select(unit, "fold"), unit)
 
 
 def cv_predictions(df: DataFrame, features: list[str], fit, label: str = TARGET, k: int | None = None) -> DataFrame:
@@ -174,7 +173,7 @@ def cv_rmse(oof: DataFrame, label: str = TARGET, pred: str = "predicted") -> Dat
 def last_rows(df: DataFrame, unit: str = UNIT, cycle: str = CYCLE) -> DataFrame:
     """Latest row of each engine: a per-engine max table, then a broadcast semi-filter."""
     last = df.groupBy(unit).agg(F.max(cycle).alias(cycle))
-    return df.join(sized_broadcast(last), [unit, cycle], "left_semi")
+    return df.join(last, [unit, cycle], "left_semi")
 
 
 def last_cycle_eval(features: DataFrame, model, feature_cols: list[str], truth: DataFrame,
@@ -182,7 +181,7 @@ def last_cycle_eval(features: DataFrame, model, feature_cols: list[str], truth:
     """Score the last cycle of each engine, join its truth, all metrics in one aggregate."""
     scored = predict(model, last_rows(features, unit), feature_cols)
     pairs = scored.select(unit, "predicted").join(
-        sized_broadcast(truth.select(unit, F.col(truth_col).alias("actual"))), unit
+        truth.select(unit, F.col(truth_col).alias("actual")), unit
     )
     return pairs.agg(*metric_columns("actual", "predicted", "test_"))
 

@@ -14,7 +14,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cyclewise.session import sized_broadcast
 
 
 def dense_positions(
@@ -23,9 +22,11 @@ def dense_positions(
     order: Sequence[str | Column],
     bucket: Column,
     out: str = "pos",
-    max_broadcast_rows: int = 2_000_000,
+    total: str | None = None,
 ) -> DataFrame:
-    """1-based position of each row within ``keys`` by ``order``.
+    """1-based position of each row within ``keys`` by ``order``; with ``total``, also the rows of the key.
+
+    Rows with a NULL key are one group, rows with a NULL bucket come first in theirs; none is lost.
 
     ``bucket`` must be monotone in ``order`` (e.g. a coarse date or
     ``floor(t / S)``).  Counts per ``(keys, bucket)`` form a small table whose
@@ -36,16 +37,20 @@ def dense_positions(
     keys = list(keys)
     b = df.withColumn("_pb", bucket)
     counts = b.groupBy(*keys, "_pb").agg(F.count(F.lit(1)).alias("_pn"))
-    w = (Window.partitionBy(*keys) if keys else Window).orderBy("_pb")
+    w = Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))
+    before = w.orderBy("_pb").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(
-        *keys,
-        "_pb",
-        F.coalesce(F.sum("_pn").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_poff"),
+        *[F.col(k).alias(f"_pk{i}") for i, k in enumerate(keys)],
+        F.col("_pb").alias("_pb2"),
+        F.coalesce(F.sum("_pn").over(before), F.lit(0)).alias("_poff"),
+        *([F.sum("_pn").over(w).alias(total)] if total else []),
     )
-    offsets = sized_broadcast(offsets, max_broadcast_rows)
-    joined = b.join(offsets, on=[*keys, "_pb"])
+    same = F.col("_pb").eqNullSafe(F.col("_pb2"))
+    for i, k in enumerate(keys):
+        same = same & F.col(k).eqNullSafe(F.col(f"_pk{i}"))
+    joined = b.join(offsets, same)
     rn = F.row_number().over(Window.partitionBy(*keys, "_pb").orderBy(*order))
-    return joined.withColumn(out, (rn + F.col("_poff")).cast("long")).drop("_pb", "_poff")
+    return joined.withColumn(out, (rn + F.col("_poff")).cast("long")).drop("_pb", "_pb2", "_poff", *[f"_pk{i}" for i in range(len(keys))])
 
 
 def running_totals(
@@ -56,7 +61,6 @@ def running_totals(
     buckets: int = 64,
     with_next: bool = False,
     accuracy: int = 10_000,
-    single_window: bool = False,
 ) -> DataFrame:
     """Cumulative sums of ``cols`` within ``part`` ordered by ``order``.
 
@@ -66,18 +70,10 @@ def running_totals(
 
     Buckets are equal-count ranges from ``percentile_approx``; one value never
     straddles two buckets, so the result is exact whatever the approximation.
-    ``single_window=True`` (for callers that have checked every part is
-    small) skips the buckets: one window partitioned by ``part``.
     """
-    if single_window:
-        w1 = Window.partitionBy(part).orderBy(order)
-        outs1 = [F.sum(c).over(w1.rowsBetween(Window.unboundedPreceding, 0)).alias(f"cum_{c}") for c in cols]
-        if with_next:
-            outs1.append(F.lead(order).over(w1).alias(f"next_{order}"))
-        return df.select(*df.columns, *outs1)
     probs = [i / buckets for i in range(1, buckets)]
     bounds = df.groupBy(part).agg(F.percentile_approx(order, probs, accuracy).alias("_bounds"))
-    x = df.join(sized_broadcast(bounds, 100_000), part).withColumn(
+    x = df.join(bounds, part).withColumn(
         "_rb", F.size(F.filter("_bounds", lambda b: b < F.col(order)))
     ).drop("_bounds")
 
@@ -93,7 +89,7 @@ def running_totals(
     if with_next:
         off_cols.append(F.min("_bmin").over(wb.rowsBetween(1, Window.unboundedFollowing)).alias("_nb"))
     off = tot.select(part, "_rb", *off_cols)
-    x = x.join(sized_broadcast(off, 2_000_000), [part, "_rb"])
+    x = x.join(off, [part, "_rb"])
 
     w = Window.partitionBy(part, "_rb").orderBy(order)
     run = w.rowsBetween(Window.unboundedPreceding, 0)

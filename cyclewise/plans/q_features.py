@@ -204,7 +204,7 @@ def o_feature_matrix():
 # ---------------------------------------------------------------- F2
 @query("transform_holdout")
 def q_transform_holdout(spark, sf):
-    _, state = fitted(spark, sf)
+    state = fe.fit_state(train_split(fleet_lineitem(spark, sf)))
     hold, _ = holdout_split(fleet_lineitem(spark, sf))
     return rnd(fe.feature_matrix(fe.transform(hold, state), state))
 
@@ -220,7 +220,7 @@ def o_transform_holdout():
 @query("align_features")
 def q_align(spark, sf):
     """Events engines scored against the lineitem feature list: extra columns go, missing become 0."""
-    _, state = fitted(spark, sf)
+    state = fe.fit_state(train_split(fleet_lineitem(spark, sf)))
     ev = fe.transform(fleet_events(spark, sf), state)
     return rnd(fe.align_features(ev, state.feature_columns[:6] + ["s_9_lag_1"], KEYS))
 
@@ -241,7 +241,7 @@ def q_state_roundtrip(spark, sf):
     """Save the fitted state to the shared folder, load it, and return its scaler table."""
     from cyclewise.session import scratch_path
 
-    _, state = fitted(spark, sf)
+    state = fe.fit_state(train_split(fleet_lineitem(spark, sf)))
     path = scratch_path(spark, "feature-state")
     state.save(spark, path)
     back = fe.FeatureState.load(spark, path)

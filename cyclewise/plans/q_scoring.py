@@ -46,7 +46,7 @@ def q_order(spark, sf):
 
 SQL_CHECKS = """
 SELECT request_id, count(*) AS n_readings, max(coalesce(CAST(back AS INTEGER), 0)) = 0 AS ordered FROM (
-  SELECT request_id, lag(time_cycles) OVER (PARTITION BY request_id ORDER BY pos) >= time_cycles AS back FROM request_rows)
+  SELECT request_id, lag(time_cycles) OVER (PARTITION BY request_id ORDER BY pos) > time_cycles AS back FROM request_rows)
 GROUP BY request_id"""
 
 
@@ -54,7 +54,7 @@ GROUP BY request_id"""
 def o_order():
     return with_views(["request_rows"], f"""
 SELECT request_id, n_readings, ordered, ordered AND n_readings >= 1 AS accept_predict,
-       ordered AND n_readings >= 10 AS accept_drift, n_readings < 5 AS warn_short FROM ({SQL_CHECKS})""")
+       n_readings >= 10 AS accept_drift, n_readings < 5 AS warn_short FROM ({SQL_CHECKS})""")
 
 
 # ---------------------------------------------------------------- R1

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 
 def local_session(cores: int | str = "*", partitions: int = 8, app: str = "cyclewise") -> SparkSession:
@@ -40,9 +40,15 @@ def checkpoint_root(spark: SparkSession) -> str | None:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the session's checkpoint folder; set a private one only when unset (tests)."""
+    """Use the session's checkpoint folder; set a private one only in local mode (tests).
+
+    On a cluster a folder of the driver's machine would be lost on the others, so an unset one is an error.
+    """
     root = checkpoint_root(spark)
     if root is None:
+        master = spark.sparkContext.master
+        if not re.fullmatch(r"local(\[[^\]]*\])?", master):
+            raise RuntimeError(f"spark.checkpoint.dir is not set for {master}: name a folder that all executors share")
         root = tempfile.mkdtemp(prefix="cyclewise-ckpt-")
         spark.sparkContext.setCheckpointDir(root)
         root = checkpoint_root(spark) or root
@@ -65,15 +71,3 @@ def cut_lineage(df: DataFrame, name: str = "cut") -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.parquet(path)
-
-
-def sized_broadcast(df: DataFrame, max_rows: int = 1_000_000) -> DataFrame:
-    """Broadcast ``df`` only after checking its row count; otherwise return it as is.
-
-    The small side is persisted first so the count does not cost a second
-    evaluation; beyond the limit the join stays a shuffle join (AQE may still
-    convert it at run time from measured sizes).
-    """
-    df = df.persist()
-    n = df.count()
-    return F.broadcast(df) if n <= max_rows else df

@@ -66,7 +66,7 @@ def test_exact_median_narrowing(spark):
     rng = np.random.default_rng(9)
     x = rng.normal(size=2001)
     df = _frame(spark, {"v": x})
-    assert dr.exact_rank_value(df, "v", 1001, buckets=8, max_rows=50) == pytest.approx(np.median(x))
+    assert dr.exact_rank_value(df, "v", 1001, buckets=8) == pytest.approx(np.median(x))
     assert dr.exact_median(_frame(spark, {"v": x[:2000]}), "v") == pytest.approx(np.median(x[:2000]))
 
 
@@ -105,15 +105,32 @@ def test_flatten_struct(spark):
     assert out.first()["model.tags"] == "[1, 2]"
 
 
-def test_stats_same_for_single_window_and_value_ranges(spark, monkeypatch):
+def test_stats_against_plain_cdfs(spark):
     rng = np.random.default_rng(11)
-    ref = _frame(spark, {"x": rng.normal(size=400).round(3), "y": rng.integers(0, 4, 400)})
-    cur = _frame(spark, {"x": rng.normal(0.2, 1, 300).round(3), "y": rng.integers(0, 5, 300)})
-    counts = dr.value_counts(dr.stack_sides(ref, cur, ["x", "y"]))
-    a = sorted(tuple(r) for r in dr.feature_stats(counts).collect())
-    monkeypatch.setattr(dr, "SINGLE_WINDOW_MAX_VALUES", 0)
-    b = sorted(tuple(r) for r in dr.feature_stats(counts).collect())
-    assert len(a) == 2
-    for ra, rb in zip(a, b):
-        assert ra[:4] == rb[:4]
-        np.testing.assert_allclose(ra[4:], rb[4:], rtol=1e-12)
+    x, y = rng.normal(size=400).round(3), rng.normal(0.2, 1, 300).round(3)
+    stats = dr.feature_stats(dr.value_counts(dr.stack_sides(_frame(spark, {"x": x}), _frame(spark, {"x": y}), ["x"]))).first()
+    v = np.unique(np.concatenate([x, y]))
+    gap = np.abs(np.searchsorted(np.sort(x), v, "right") / 400 - np.searchsorted(np.sort(y), v, "right") / 300)
+    assert stats.ks_d == pytest.approx(gap.max(), rel=1e-12)
+    assert stats.wasserstein_norm == pytest.approx((gap[:-1] * np.diff(v)).sum() / x.std(), rel=1e-9)
+
+
+def test_rank_of_repeated_values(spark):
+    """Any repetition and any number of ranges give the same value."""
+    x = np.concatenate([np.zeros(3), np.full(4998, 5.0)])
+    df = _frame(spark, {"v": x})
+    for buckets in (2, 8, 1024):
+        assert [dr.exact_rank_value(df, "v", k, buckets=buckets) for k in (1, 3, 4, 2500, 5001)] == [0.0, 0.0, 5.0, 5.0, 5.0]
+        assert dr.exact_rank_value(df, "v", 5002, buckets=buckets) is None
+    rng = np.random.default_rng(2)
+    for n in (1, 2, 7, 3000):
+        y = rng.integers(0, max(2, n // 3), n).astype(float)
+        assert dr.exact_median(_frame(spark, {"v": y}), "v") == np.median(y)
+        assert dr.exact_rank_value(_frame(spark, {"v": y}), "v", (n + 1) // 2, buckets=3) == np.sort(y)[(n + 1) // 2 - 1]
+
+
+def test_psi_is_selectable(spark):
+    rng = np.random.default_rng(3)
+    ref, cur = _frame(spark, {"x": rng.normal(size=500)}), _frame(spark, {"x": rng.normal(1, 1, 500)})
+    row = dr.data_drift(ref, cur, ["x"], "psi").first()
+    assert row.stattest == "psi" and row.drifted

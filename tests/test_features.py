@@ -114,3 +114,38 @@ def test_align_features(spark):
     out = fe.align_features(df, ["a", "b"], ["unit_number"])
     assert out.columns == ["unit_number", "a", "b"]
     assert out.first()["b"] == 0.0
+
+
+def _lags_by_hand(values, lags):
+    """pandas form: shift, back-fill per unit."""
+    import pandas as pd
+
+    s = pd.Series(values, dtype="float64")
+    return {k: s.shift(k).bfill() for k in lags}
+
+
+def test_features_depend_on_own_rows_only(spark):
+    """Cycles that start anywhere and have gaps, missing readings of a neighbour, NULL keys: each unit stands alone."""
+    import pandas as pd
+    from pyspark.sql import functions as F
+
+    from cyclewise.operators import features as fe
+
+    one = [(1, 100 + 3 * i, float(i * i)) for i in range(10)]
+    two = [(2, 70000 * (i + 1), None if i in (2, 8, 9) else float(i)) for i in range(10)]
+    none = [(None, 5, 1.5), (None, 9, 2.5)]
+    schema = "unit_number int, time_cycles int, s_2 double"
+    alone = spark.createDataFrame(one, schema)
+    everyone = spark.createDataFrame(one + two + none, schema).repartition(5)
+    for rows in (1 << 16, 4):
+        full = fe.window_features(everyone, ["s_2"], [3], [1, 3], segment_rows=rows, lag_fill=False).toPandas()
+        assert len(full) == 22
+        own = fe.window_features(alone, ["s_2"], [3], [1, 3], segment_rows=rows, lag_fill=False).toPandas()
+        pd.testing.assert_frame_equal(full[full.unit_number == 1].sort_values("time_cycles").reset_index(drop=True),
+                                      own.sort_values("time_cycles").reset_index(drop=True), check_dtype=False)
+        for unit, src in ((1, one), (2, two)):
+            got = full[full.unit_number == unit].sort_values("time_cycles")
+            for k, want in _lags_by_hand([v for _, _, v in src], [1, 3]).items():
+                assert got[f"s_2_lag_{k}"].fillna(-1).tolist() == want.fillna(-1).tolist(), (unit, k, rows)
+    filled = fe.window_features(everyone, ["s_2"], [3], [1, 3]).filter(F.col("s_2_lag_1").isNull()).count()
+    assert filled == 0
