@@ -269,6 +269,26 @@ def transform(
     )
 
 
+def last_row_features(df: DataFrame, state: FeatureState, unit: str = UNIT, pos: str = CYCLE,
+                      segment_rows: int = DEFAULT_SEGMENT_ROWS) -> DataFrame:
+    """Features of each unit's last row by ``pos``, one row per unit, with frozen state.
+
+    Only the rows that the last one's windows reach are kept before the windows run.  A lag that a short unit does not
+    have takes the fit-time mean.
+    """
+    if state is None or not state.scaler:
+        raise RuntimeError("feature state is not fitted: fit first or load a saved state")
+    cfg = state.config
+    reach = max([*cfg["rolling_window_sizes"], *[k + 1 for k in cfg["lag_steps"]], 2])
+    tail = dense_positions(df, [unit], [pos], F.floor(F.col(pos) / F.lit(segment_rows)), out="_lp", total="_ln")
+    tail = drop_sensors(tail.filter(F.col("_lp") > F.col("_ln") - F.lit(reach)), cfg.get("drop_sensors", []))
+    sensors = [c for c in state.sensor_cols if c in tail.columns]
+    tail = minmax_transform(tail, {s: state.scaler[s] for s in sensors})
+    out = window_features(tail, sensors, cfg["rolling_window_sizes"], cfg["lag_steps"], unit=unit, pos="_lp",
+                          segment_rows=segment_rows, lag_fill=False)
+    return fill_lags(out.filter(F.col("_lp") == F.col("_ln")).drop("_lp", "_ln"), state.lag_means)
+
+
 def align_features(df: DataFrame, feature_columns: list[str], keep: list[str] | None = None) -> DataFrame:
     """Trained feature order; missing columns become 0.0, extra columns are dropped."""
     present = set(df.columns)

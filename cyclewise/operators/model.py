@@ -25,6 +25,8 @@ class LinearModel:
     features: list[str]
     coefficients: list[float]
     intercept: float
+    #: the fitted Spark ML model, which scores an assembled vector
+    fitted: object = None
 
     def prediction(self, source: dict[str, str] | None = None) -> Column:
         """The linear score; ``source`` reads some features from other columns."""
@@ -69,7 +71,7 @@ def ridge_fit(df: DataFrame, features: list[str], label: str = TARGET, alpha: fl
         standardization=False, fitIntercept=True,
     )
     m = lr.fit(assemble(df, features).select("features", F.col(label).cast("double").alias(label)))
-    return LinearModel(list(features), [float(x) for x in m.coefficients], float(m.intercept))
+    return LinearModel(list(features), [float(x) for x in m.coefficients], float(m.intercept), m)
 
 
 def gbt_fit(df: DataFrame, features: list[str], label: str = TARGET, params: dict | None = None):
@@ -93,6 +95,8 @@ def predict(model, df: DataFrame, features: list[str], out: str = "predicted",
     perturbed copy on the same row).
     """
     if isinstance(model, LinearModel):
+        if "features" in df.columns and model.fitted is not None and not set(features) <= set(df.columns):
+            return model.fitted.copy().setPredictionCol(out).transform(df).drop("features")
         return model.transform(df, out, source)
     keep = [c for c in df.columns if c != "features"]
     if source:
@@ -171,9 +175,9 @@ def cv_rmse(oof: DataFrame, label: str = TARGET, pred: str = "predicted") -> Dat
 
 # ------------------------------------------------------------------ hold-out evaluation (W6, J1, L8, K5)
 def last_rows(df: DataFrame, unit: str = UNIT, cycle: str = CYCLE) -> DataFrame:
-    """Latest row of each engine: a per-engine max table, then a broadcast semi-filter."""
-    last = df.groupBy(unit).agg(F.max(cycle).alias(cycle))
-    return df.join(last, [unit, cycle], "left_semi")
+    """Latest row of each engine, one each: one aggregate over whole rows."""
+    row = F.struct(*[F.col(f"`{c}`") for c in df.columns])
+    return df.groupBy(unit).agg(F.max_by(row, F.col(cycle)).alias("_last")).select("_last.*")
 
 
 def last_cycle_eval(features: DataFrame, model, feature_cols: list[str], truth: DataFrame,

@@ -58,15 +58,15 @@ def train_evaluate(raw_train: DataFrame, raw_test: DataFrame, truth: DataFrame,
     # the final fit, its training metrics and the k fold fits all read one
     # assembled, persisted copy of the feature table (memory, spilling to disk)
     fold_tbl = md.group_kfold(feats, folds)
-    vec = md.assemble(md.with_folds(feats, fold_tbl), cols).persist(StorageLevel.MEMORY_AND_DISK)
+    vec = md.assemble(md.with_folds(feats, fold_tbl), cols).select(UNIT, "fold", F.col(TARGET).cast("double").alias(TARGET), "features")
+    vec = vec.persist(StorageLevel.MEMORY_AND_DISK)
     model = fit_model(vec, cols, model_cfg)
     train_m = spark_rows(mt.regression_metrics(md.predict(model, vec, cols), TARGET, "predicted", "train_").select(
         "train_rmse", "train_mae", "train_r2", "train_asymmetric_score"))
     oof = md.cv_predictions(vec, cols, lambda d, c, y: fit_model(d, c, model_cfg), TARGET, folds)
     cv = spark_rows(md.cv_rmse(oof).select("cv_rmse_mean", "cv_rmse_std"))
     vec.unpersist()
-    test_feats = fe.transform(raw_test, state)
-    test_m = md.last_cycle_eval(test_feats, model, cols, truth)
+    test_m = md.last_cycle_eval(fe.last_row_features(raw_test, state), model, cols, truth)
     return combine_rows(train_m, cv, test_m), model, state
 
 

@@ -13,12 +13,18 @@ from cyclewise.config import CYCLE, ERROR_HIST_BINS, RUL_HIST_BINS, TARGET, UNIT
 from cyclewise.operators import features as fe
 from cyclewise.operators import metrics as mt
 from cyclewise.operators import model as md
-from cyclewise.plans.q_features import LI_SENSORS, fitted, sql_fitted_features, sql_scaled
+from cyclewise.plans.q_features import LI_SENSORS, fitted, sql_fitted_features, sql_scaled, sql_window_features
 from cyclewise.plans.registry import oracle, query, rnd, sql_round
+from cyclewise.session import cut_lineage
 from cyclewise.sources.views import fleet_lineitem, holdout_split, train_split, with_views
 
 SCORER = md.LinearModel(["s_3", "s_2"], [-40.0, 10.0], 60.0)
 SQL_PRED = "((60.0 + -40.0 * s_3) + 10.0 * s_2)"
+# reads rolling, lag and difference features, so that its queries run the windows
+WINDOW_SCORER = md.LinearModel(["s_3", "s_2", "s_2_roll_mean_10", "s_3_roll_max_5", "s_2_lag_3", "s_3_diff"],
+                               [-40.0, 10.0, 6.0, -3.0, 4.0, 2.0], 60.0)
+SQL_WINDOW_PRED = ("((((((60.0 + -40.0 * s_3) + 10.0 * s_2) + 6.0 * s_2_roll_mean_10) + -3.0 * s_3_roll_max_5)"
+                   " + 4.0 * s_2_lag_3) + 2.0 * s_3_diff)")
 FOLDS = 5
 METRIC_NAMES = ["rmse", "mae", "r2", "asymmetric_score", "samples", "pred_mean", "pred_std", "actual_mean", "actual_std"]
 
@@ -31,18 +37,20 @@ def train_scored(spark, sf):
     return SCORER.transform(x), state
 
 
-def holdout_features(spark, sf):
+def holdout_features(spark, sf, last_only: bool = False):
     df = fleet_lineitem(spark, sf)
     state = fe.fit_state(train_split(df))
     hold, truth = holdout_split(df)
-    return fe.transform(hold, state), truth
+    return (fe.last_row_features if last_only else fe.transform)(hold, state), truth
 
 
 SQL_TRAIN_PAIRS = f"""
 SELECT unit_number, time_cycles, CAST(rul AS DOUBLE) AS actual, {SQL_PRED} AS predicted FROM (
   SELECT s.*, CAST(least(max(time_cycles) OVER (PARTITION BY unit_number) - time_cycles, 125) AS INTEGER) AS rul
   FROM ({sql_scaled('li_train', 'li_train', LI_SENSORS)}) s)"""
-SQL_HOLD_PRED = f"SELECT unit_number, time_cycles, {SQL_PRED} AS predicted FROM ({sql_scaled('li_hold', 'li_train', LI_SENSORS)})"
+_HOLD_FEATURES = sql_window_features(f"({sql_scaled('li_hold', 'li_train', LI_SENSORS)})", ["s_2", "s_3"], [5, 10], [3],
+                                     ["unit_number", "time_cycles", "s_2 AS x2", "s_3 AS x3"])[0]
+SQL_HOLD_PRED = f"SELECT unit_number, time_cycles, {SQL_WINDOW_PRED} AS predicted FROM ({_HOLD_FEATURES})"
 
 
 def sql_metrics(src: str, prefix: str) -> str:
@@ -90,8 +98,8 @@ SELECT sum(CASE WHEN {e} < 0 THEN exp(-{e} / 13.0) - 1 ELSE exp({e} / 10.0) - 1
 # ---------------------------------------------------------------- L8 / W6 / J1
 @query("last_cycle_eval")
 def q_last_cycle(spark, sf):
-    feats, truth = holdout_features(spark, sf)
-    return rnd(md.last_cycle_eval(feats, SCORER, SCORER.features, truth), 4)
+    feats, truth = holdout_features(spark, sf, last_only=True)
+    return rnd(md.last_cycle_eval(feats, WINDOW_SCORER, WINDOW_SCORER.features, truth), 4)
 
 
 @oracle("last_cycle_eval")
@@ -108,7 +116,7 @@ JOIN li_truth t USING (unit_number)"""
 @query("prefix_eval")
 def q_prefix_eval(spark, sf):
     feats, truth = holdout_features(spark, sf)
-    return rnd(md.prefix_eval(SCORER.transform(feats), truth), 4)
+    return rnd(md.prefix_eval(WINDOW_SCORER.transform(feats), truth), 4)
 
 
 @oracle("prefix_eval")
@@ -240,7 +248,8 @@ def q_cv_rmse(spark, sf):
     """Group folds, one-feature ridge per fold, out-of-fold RMSE mean and std."""
     feats, _ = fitted(spark, sf)
     folds = md.group_kfold(train_split(fleet_lineitem(spark, sf)), FOLDS)
-    data = md.with_folds(feats.select(UNIT, CYCLE, RIDGE_FEATURE, TARGET), folds)
+    # the window pass runs once; the folds read the two columns that they need
+    data = cut_lineage(md.with_folds(feats.select(UNIT, CYCLE, RIDGE_FEATURE, TARGET), folds), "cv-data")
     oof = md.cv_predictions(data, [RIDGE_FEATURE], lambda d, f, y: md.ridge_fit(d, f, y, 1.0), TARGET, FOLDS)
     return rnd(md.cv_rmse(oof), 4)
 
@@ -268,6 +277,7 @@ GBT_QUERY_PARAMS = {"n_estimators": 10, "max_depth": 4}
 
 def _gbt(spark, sf):
     feats, state = fitted(spark, sf)
+    feats = cut_lineage(fe.feature_matrix(feats, state), "gbt-features")
     model = md.gbt_fit(feats, state.feature_columns, TARGET, GBT_QUERY_PARAMS)
     return model, state
 
@@ -276,7 +286,7 @@ def _gbt(spark, sf):
 def q_gbt(spark, sf):
     model, state = _gbt(spark, sf)
     hold, _ = holdout_split(fleet_lineitem(spark, sf))
-    last = md.last_rows(fe.transform(hold, state))
+    last = fe.last_row_features(hold, state)
     return md.predict(model, last, state.feature_columns).select(UNIT, CYCLE, "predicted")
 
 

@@ -12,7 +12,8 @@ from cyclewise.config import SENSORS, SETTINGS
 from cyclewise.operators import features as fe
 from cyclewise.operators import scoring as sc
 from cyclewise.plans.q_drift import sql_stacked, sql_stats, sql_table
-from cyclewise.plans.q_metrics import SCORER
+from cyclewise.plans.q_features import sql_window_features
+from cyclewise.plans.q_metrics import SQL_WINDOW_PRED, WINDOW_SCORER
 from cyclewise.plans.registry import oracle, query, rnd, sql_round
 from cyclewise.session import scratch_path
 from cyclewise.sources.views import fleet_full, request_rows, train_split, with_views
@@ -21,8 +22,8 @@ from cyclewise.streaming import streams
 ACTIVE = [s for s in SENSORS if s not in {f"s_{i}" for i in fe.FEATURE_DEFAULTS["drop_sensors"]}]
 
 
-def full_state(spark, sf):
-    return fe.fit_state(train_split(fleet_full(spark, sf)))
+def full_state(spark, sf, lag_means: bool = False):
+    return fe.fit_state(train_split(fleet_full(spark, sf)), with_lag_means=lag_means)
 
 
 def baseline(spark, sf, state):
@@ -60,7 +61,7 @@ SELECT request_id, n_readings, ordered, ordered AND n_readings >= 1 AS accept_pr
 # ---------------------------------------------------------------- R1
 @query("score_requests")
 def q_score(spark, sf):
-    out = sc.score_requests(request_rows(spark, sf), full_state(spark, sf), SCORER)
+    out = sc.score_requests(request_rows(spark, sf), full_state(spark, sf, lag_means=True), WINDOW_SCORER)
     return rnd(out.withColumn("warnings", F.array_join("warnings", "\n")))
 
 
@@ -68,18 +69,24 @@ def sql_scored_requests() -> str:
     from cyclewise.operators.validate import INFERENCE_RULES
     from cyclewise.plans.q_validate import sql_violations
 
-    scaled = _sql_scaled_full("SELECT * FROM request_rows", ["s_2", "s_3"])
+    scaled = _sql_scaled_full("SELECT request_id AS unit_number, pos AS time_cycles, s_2, s_3 FROM request_rows", ["s_2", "s_3"])
+    part = "PARTITION BY unit_number ORDER BY time_cycles"
+    fit, _ = sql_window_features(f"({_sql_scaled_full('SELECT unit_number, time_cycles, s_2, s_3 FROM full_train', ['s_2', 's_3'])})",
+                                 ["s_2"], [5], [3], ["unit_number"])
     viol = sql_violations("(SELECT * FROM request_rows WHERE request_id IN (SELECT request_id FROM ok))", INFERENCE_RULES,
                           unit="request_id")
     return f"""
 WITH chk AS ({SQL_CHECKS}),
 ok AS (SELECT request_id, n_readings FROM chk WHERE ordered AND n_readings >= 1),
 iss AS (SELECT unit_number AS request_id, count(*) AS n_issues FROM ({viol}) GROUP BY unit_number),
-last AS (SELECT request_id, max(time_cycles) AS time_cycles FROM request_rows WHERE request_id IN (SELECT request_id FROM ok)
-         GROUP BY request_id),
-p AS (SELECT s.request_id,
-             floor(greatest((60.0 + -40.0 * s.s_3) + 10.0 * s.s_2, 0.0) * 100.0 + 0.5) / 100.0 AS rul_prediction
-      FROM ({scaled}) s JOIN last USING (request_id, time_cycles))
+f AS (SELECT unit_number AS request_id, s_2, s_3,
+             avg(s_2) OVER ({part} ROWS BETWEEN 9 PRECEDING AND CURRENT ROW) AS s_2_roll_mean_10,
+             max(s_3) OVER ({part} ROWS BETWEEN 4 PRECEDING AND CURRENT ROW) AS s_3_roll_max_5,
+             coalesce(lag(s_2, 3) OVER ({part}), (SELECT avg(s_2_lag_3) FROM ({fit}))) AS s_2_lag_3,
+             coalesce(s_3 - lag(s_3, 1) OVER ({part}), 0.0) AS s_3_diff,
+             row_number() OVER (PARTITION BY unit_number ORDER BY time_cycles DESC) AS back
+      FROM ({scaled}) WHERE unit_number IN (SELECT request_id FROM ok)),
+p AS (SELECT request_id, floor(greatest({SQL_WINDOW_PRED}, 0.0) * 100.0 + 0.5) / 100.0 AS rul_prediction FROM f WHERE back = 1)
 SELECT p.request_id, p.rul_prediction, ok.n_readings AS input_cycles,
        array_to_string(list_filter([
          CASE WHEN coalesce(iss.n_issues, 0) > 0 THEN printf('{sc.VALIDATION_WARNING}', iss.n_issues) END,
@@ -130,9 +137,9 @@ def _stream_source(spark, sf) -> str:
 
 @query("stream_score")
 def q_stream_score(spark, sf):
-    state = full_state(spark, sf)
+    state = full_state(spark, sf, lag_means=True)
     src = _stream_source(spark, sf)
-    out = streams.stream_score(spark, src, STREAM_SCHEMA, state, SCORER, scratch_path(spark, "stream-score-sink"))
+    out = streams.stream_score(spark, src, STREAM_SCHEMA, state, WINDOW_SCORER, scratch_path(spark, "stream-score-sink"))
     return rnd(out.drop("batch_id").withColumn("warnings", F.array_join("warnings", "\n")))
 
 
