@@ -24,7 +24,7 @@ from cyclewise.operators.ordering import running_totals
 REF, CUR = "reference", "current"
 
 
-def _finite(c: Column) -> Column:
+def finite(c: Column) -> Column:
     return c.isNotNull() & ~F.isnan(c) & (F.abs(c) != F.lit(float("inf")))
 
 
@@ -36,7 +36,7 @@ def stack_sides(ref: DataFrame, cur: DataFrame, features: list[str]) -> DataFram
         return df.select(F.explode(items).alias("_x"), F.lit(side).alias("side")).select("_x.feature", "_x.value", "side")
 
     out = tall(ref, REF).unionByName(tall(cur, CUR))
-    return out.filter(_finite(F.col("value")))
+    return out.filter(finite(F.col("value")))
 
 
 def value_counts(stacked: DataFrame, part: list[str] | None = None) -> DataFrame:
@@ -368,8 +368,8 @@ def half_split(df: DataFrame, unit: str = "unit_number", cycle: str = "time_cycl
     The global position comes from per-engine counts and a row number inside
     each engine (:func:`dense_positions`), never from a single-task window.
     """
-    from cyclewise.operators.ordering import dense_positions, key_segment_bucket
+    from cyclewise.operators.ordering import dense_positions, key_group, key_segment_bucket
 
     n = df.count()
-    pos = dense_positions(df, keys=[], order=[unit, cycle], bucket=key_segment_bucket(unit, cycle), out="_hpos")
+    pos = dense_positions(df, keys=[], order=[unit, cycle], bucket=key_segment_bucket(unit, cycle), out="_hpos", coarse=key_group(unit))
     return pos.withColumn("side", F.when(F.col("_hpos") <= F.lit(n // 2), F.lit(REF)).otherwise(F.lit(CUR))).drop("_hpos")

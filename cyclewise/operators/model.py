@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from cyclewise.config import CYCLE, IMPORTANCE_TOP_N, TARGET, UNIT
 from cyclewise.operators.metrics import metric_columns, r2_score, top_k
-from cyclewise.operators.ordering import dense_positions, key_segment_bucket
+from cyclewise.operators.ordering import dense_positions, key_group, key_segment_bucket
 
 
 # ------------------------------------------------------------------ linear scorer (L2, L6)
@@ -127,7 +127,7 @@ def kfold_contiguous(df: DataFrame, k: int, unit: str = UNIT, cycle: str = CYCLE
     The global row position comes from per-engine counts (small table) plus a
     row number inside each engine, so no task holds the whole table.
     """
-    pos = dense_positions(df, keys=[], order=[unit, cycle], bucket=key_segment_bucket(unit, cycle), out="_gpos")
+    pos = dense_positions(df, keys=[], order=[unit, cycle], bucket=key_segment_bucket(unit, cycle), out="_gpos", coarse=key_group(unit))
     n = df.count()
     q, r = divmod(n, k)
     big = r * (q + 1)
@@ -145,7 +145,7 @@ def group_kfold(df: DataFrame, k: int, unit: str = UNIT) -> DataFrame:
     back (broadcast after a size check) to label rows.
     """
     eng = df.groupBy(unit).agg(F.count(F.lit(1)).alias("n_rows"))
-    ranked = dense_positions(eng, keys=[], order=[F.col("n_rows").desc(), F.col(unit)], bucket=-F.col("n_rows"), out="_r")
+    ranked = dense_positions(eng, keys=[], order=[F.col("n_rows").desc(), F.col(unit)], bucket=F.struct((-F.col("n_rows")).alias("n"), key_group(unit).alias("g")), out="_r", coarse=-F.col("n_rows"))
     return ranked.select(unit, F.col("n_rows").cast("long").alias("n_rows"), F.pmod(F.col("_r") - 1, F.lit(k)).cast("int").alias("fold"))
 
 
@@ -198,10 +198,10 @@ def prefix_eval(predictions: DataFrame, truth: DataFrame, unit: str = UNIT, cycl
     is a keyed join, not a collect.
     """
     n = truth.count()
-    p = dense_positions(predictions, keys=[], order=[unit, cycle], bucket=key_segment_bucket(unit, cycle), out="_pos").filter(
+    p = dense_positions(predictions, keys=[], order=[unit, cycle], bucket=key_segment_bucket(unit, cycle), out="_pos", coarse=key_group(unit)).filter(
         F.col("_pos") <= n
     )
-    t = dense_positions(truth, keys=[], order=[unit], bucket=F.col(unit), out="_pos")
+    t = dense_positions(truth, keys=[], order=[unit], bucket=key_group(unit, 64), out="_pos", coarse=key_group(unit, 1 << 16))
     pairs = p.select("_pos", "predicted").join(t.select("_pos", F.col(truth_col).alias("actual")), "_pos")
     return pairs.agg(*metric_columns("actual", "predicted", "test_"))
 

@@ -23,9 +23,13 @@ def dense_positions(
     bucket: Column,
     out: str = "pos",
     total: str | None = None,
+    coarse: Column | None = None,
 ) -> DataFrame:
     """1-based position of each row within ``keys`` by ``order``; with ``total``, also the rows of the key.
 
+    ``coarse``, monotone in ``bucket``, groups the buckets: their running sums then go by group, and one more over
+    the groups, so that no task holds a row per bucket.
+
     Rows with a NULL key are one group, rows with a NULL bucket come first in theirs; none is lost.
 
     ``bucket`` must be monotone in ``order`` (e.g. a coarse date or
@@ -36,15 +40,29 @@ def dense_positions(
     """
     keys = list(keys)
     b = df.withColumn("_pb", bucket)
-    counts = b.groupBy(*keys, "_pb").agg(F.count(F.lit(1)).alias("_pn"))
-    w = Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))
-    before = w.orderBy("_pb").rowsBetween(Window.unboundedPreceding, -1)
+    level = (coarse if coarse is not None else F.lit(0)).alias("_pc")
+    counts = b.groupBy(*keys, level, "_pb").agg(F.count(F.lit(1)).alias("_pn"))
+    upto = lambda by, order: Window.partitionBy(*by).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    own = [F.col(k).alias(f"_pk{i}") for i, k in enumerate(keys)]
     offsets = counts.select(
-        *[F.col(k).alias(f"_pk{i}") for i, k in enumerate(keys)],
-        F.col("_pb").alias("_pb2"),
-        F.coalesce(F.sum("_pn").over(before), F.lit(0)).alias("_poff"),
-        *([F.sum("_pn").over(w).alias(total)] if total else []),
+        *own, "_pc", F.col("_pb").alias("_pb2"), F.coalesce(F.sum("_pn").over(upto([*keys, "_pc"], "_pb")), F.lit(0)).alias("_poff"),
+        *([F.sum("_pn").over(Window.partitionBy(*keys, "_pc")).alias(total)] if total else []),
     )
+    if coarse is not None:
+        groups = counts.groupBy(*keys, "_pc").agg(F.sum("_pn").alias("_gn"))
+        by = keys or [F.lit(0)]
+        groups = groups.select(
+            *[F.col(k).alias(f"_gk{i}") for i, k in enumerate(keys)], F.col("_pc").alias("_gc"),
+            F.coalesce(F.sum("_gn").over(upto(by, "_pc")), F.lit(0)).alias("_goff"), F.sum("_gn").over(Window.partitionBy(*by)).alias("_gt"),
+        )
+        on = F.col("_pc").eqNullSafe(F.col("_gc"))
+        for i in range(len(keys)):
+            on = on & F.col(f"_pk{i}").eqNullSafe(F.col(f"_gk{i}"))
+        offsets = offsets.join(groups, on).withColumn("_poff", F.col("_poff") + F.col("_goff"))
+        if total:
+            offsets = offsets.withColumn(total, F.col("_gt"))
+        offsets = offsets.drop("_gc", "_goff", "_gt", *[f"_gk{i}" for i in range(len(keys))])
+    offsets = offsets.drop("_pc")
     same = F.col("_pb").eqNullSafe(F.col("_pb2"))
     for i, k in enumerate(keys):
         same = same & F.col(k).eqNullSafe(F.col(f"_pk{i}"))
@@ -106,6 +124,11 @@ def key_segment_bucket(unit: str, cycle: str, segment_rows: int = 1 << 16) -> Co
     return F.struct(F.col(unit), F.floor(F.col(cycle) / F.lit(segment_rows)).alias("_cseg"))
 
 
+def key_group(unit: str, units: int = 1024) -> Column:
+    """Coarse bucket over :func:`key_segment_bucket`: so many consecutive engine ids."""
+    return F.floor(F.col(unit) / F.lit(units))
+
+
 def position_segments(pos: Column, segment_rows: int) -> Column:
     """0-based segment number of a 1-based dense position."""
     return F.floor((pos - F.lit(1)) / F.lit(segment_rows)).cast("long")

@@ -14,9 +14,8 @@ from cyclewise.sources.views import fleet_full, fleet_lineitem, train_split, wit
 
 def sql_fingerprint(src: str, cols: list[str], doubles: set[str]) -> str:
     canon = ", ".join(
-        f"coalesce(CAST(CAST(round({c} * 10000.0) AS BIGINT) AS VARCHAR), '')" if c in doubles
-        else f"coalesce(CAST({c} AS VARCHAR), '')"
-        for c in cols
+        f"coalesce(CAST(length({t}) AS VARCHAR) || ':' || {t}, '~')"
+        for t in (f"CAST(CAST(round({c} * 10000.0) AS BIGINT) AS VARCHAR)" if c in doubles else f"CAST({c} AS VARCHAR)" for c in cols)
     )
     return f"""
 SELECT n_rows, checksum, substr(sha256(CAST(checksum AS VARCHAR) || ':' || CAST(n_rows AS VARCHAR)), 1, 12) AS fingerprint FROM (
@@ -30,7 +29,7 @@ DOUBLES = {c for c in RAW_COLUMNS if c not in (UNIT, CYCLE)}
 # ---------------------------------------------------------------- G1
 @query("table_fingerprint")
 def q_fingerprint(spark, sf):
-    return lg.table_fingerprint(fleet_full(spark, sf))
+    return lg.table_fingerprint(lg.fixed_point(fleet_full(spark, sf)))
 
 
 @oracle("table_fingerprint")
@@ -68,7 +67,7 @@ FROM fleet_lineitem GROUP BY unit_number""")
 def q_audit(spark, sf):
     train = train_split(fleet_full(spark, sf))
     rep = va.dataset_report("train", "RawSensorSchema", train, va.raw_violations(train))
-    return lg.audit_row(train, rep, "train_raw")
+    return lg.audit_row(lg.fixed_point(train), rep, "train_raw")
 
 
 @oracle("audit_row")

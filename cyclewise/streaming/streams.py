@@ -2,8 +2,8 @@
 
 Each request row is complete, so scoring a micro-batch needs no state across
 batches: ``foreachBatch`` runs the batch scorer on every micro-batch and
-appends to a Parquet sink.  The checkpoint location lives under the session's
-shared checkpoint folder so a restarted query resumes where it stopped.
+writes the batch's own folder of a Parquet sink.  The caller names the checkpoint: a query started
+again with it goes on where it stopped, and a batch that is played again replaces its folder, so nothing counts twice.
 """
 
 from __future__ import annotations
@@ -18,10 +18,10 @@ from cyclewise.operators import scoring as sc
 from cyclewise.session import scratch_path
 
 
-def _run(stream: DataFrame, handler, name: str, spark: SparkSession) -> None:
+def _run(stream: DataFrame, handler, name: str, spark: SparkSession, checkpoint: str | None) -> None:
     q = (
         stream.writeStream.foreachBatch(handler)
-        .option("checkpointLocation", scratch_path(spark, f"{name}-checkpoint"))
+        .option("checkpointLocation", checkpoint or scratch_path(spark, f"{name}-checkpoint"))
         .trigger(availableNow=True)
         .start()
     )
@@ -31,8 +31,8 @@ def _run(stream: DataFrame, handler, name: str, spark: SparkSession) -> None:
 
 
 def stream_score(spark: SparkSession, source_dir: str, schema, state: fe.FeatureState, model, sink: str,
-                 max_files_per_trigger: int = 16) -> DataFrame:
-    """Request rows arriving as Parquet files -> scored requests appended to ``sink``.
+                 max_files_per_trigger: int = 16, checkpoint: str | None = None) -> DataFrame:
+    """Request rows arriving as Parquet files -> scored requests in ``sink``, one folder per batch.
 
     Every request sits in one file, so any grouping of files into
     micro-batches holds whole requests; several files per trigger keep the
@@ -41,15 +41,15 @@ def stream_score(spark: SparkSession, source_dir: str, schema, state: fe.Feature
     src = spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files_per_trigger).parquet(source_dir)
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        out = sc.score_requests(batch, state, model).withColumn("batch_id", F.lit(batch_id).cast("long"))
-        out.write.mode("append").parquet(sink)
+        sc.score_requests(batch, state, model).write.mode("overwrite").parquet(f"{sink}/batch_id={batch_id}")
 
-    _run(src, handle, "stream-score", spark)
+    _run(src, handle, "stream-score", spark, checkpoint)
     return spark.read.parquet(sink)
 
 
 def stream_drift(spark: SparkSession, source_dir: str, schema, baseline: DataFrame, state: fe.FeatureState,
-                 sink: str, split: str = "split", stattest: str = "ks", max_files_per_trigger: int = 1) -> DataFrame:
+                 sink: str, split: str = "split", stattest: str = "ks", max_files_per_trigger: int = 1,
+                 checkpoint: str | None = None) -> DataFrame:
     """Readings arriving as files, checked per ``split`` against the stored baseline.
 
     Each micro-batch is scaled with the frozen scaler and reduced to value
@@ -67,22 +67,17 @@ def stream_drift(spark: SparkSession, source_dir: str, schema, baseline: DataFra
         scaled = fe.minmax_transform(batch.select(split, *cols), scaler)
         tall = scaled.select(
             split, F.explode(F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("value")) for c in cols])).alias("_x")
-        ).select(split, "_x.feature", "_x.value").filter(F.col("value").isNotNull() & ~F.isnan("value"))
+        ).select(split, "_x.feature", "_x.value").filter(dr.finite(F.col("value")))
         counts = tall.groupBy(split, "feature", "value").agg(F.count(F.lit(1)).alias("c"))
-        counts.withColumn("batch_id", F.lit(batch_id).cast("long")).write.mode("append").parquet(sink)
+        counts.write.mode("overwrite").parquet(f"{sink}/batch_id={batch_id}")
 
-    _run(src, handle, "stream-drift", spark)
+    _run(src, handle, "stream-drift", spark, checkpoint)
     cur = spark.read.parquet(sink).groupBy(split, "feature", "value").agg(F.sum("c").alias("c"))
-    sizes = cur.groupBy(split).agg((F.sum("c") / F.lit(len(cols))).alias("_n")).filter(F.col("_n") >= DRIFT_MIN_READINGS)
+    sizes = cur.groupBy(split).agg((F.sum("c") / F.lit(len(cols))).alias("_n")).filter(F.col("_n") >= DRIFT_MIN_READINGS).select(split)
     ref = dr.value_counts(dr.stack_sides(baseline.select(*cols), baseline.select(*cols).limit(0), cols))
-    ref = ref.select("feature", "value", "r").persist()
-    out = None
-    for row in sizes.select(split).collect():  # one distributed drift job per split; the split list is small
-        t = row[split]
-        mine = cur.filter(F.col(split) == F.lit(t)).select("feature", "value", F.lit(0).cast("long").alias("r"), F.col("c").cast("long"))
-        both = ref.withColumn("c", F.lit(0).cast("long")).unionByName(mine).groupBy("feature", "value").agg(
-            F.sum("r").alias("r"), F.sum("c").alias("c")
-        )
-        res = dr.drift_table(dr.feature_stats(both), stattest).select(F.lit(t).alias(split), "*")
-        out = res if out is None else out.unionByName(res)
-    return out
+    # the baseline's counts go to every split; both sides of all splits are one table and one plan
+    tags = sizes.withColumn("_all", F.lit(1))
+    both = ref.select("feature", "value", "r", F.lit(0).cast("long").alias("c"), F.lit(1).alias("_all")).join(tags, "_all").drop("_all")
+    mine = cur.join(sizes, split, "left_semi").select("feature", "value", F.lit(0).cast("long").alias("r"), F.col("c").cast("long"), split)
+    counts = both.unionByName(mine).groupBy(split, "feature", "value").agg(F.sum("r").alias("r"), F.sum("c").alias("c"))
+    return dr.drift_table(dr.feature_stats(counts, [split]), stattest, part=[split])
