@@ -141,3 +141,27 @@ def q_request_parse(spark, sf):
 @oracle("request_parse")
 def o_request_parse():
     return with_views(["request_rows"], sql_round("SELECT * FROM request_rows", DOUBLES))
+
+
+@query("request_reject")
+def q_request_reject(spark, sf):
+    """Bodies in which every 5th request has a field taken away, every 6th one turned to text and every 9th is no object."""
+    bodies = request_bodies(spark, sf)
+    rid = F.col("request_id")
+    broken = (
+        F.when(rid % 9 == 0, F.lit("[1, 2]"))
+        .when(rid % 5 == 0, F.regexp_replace("body", '"s_4":[^,}]*,', ""))
+        .when(rid % 6 == 0, F.regexp_replace("body", '"s_2":[^,}]*', '"s_2":"n/a"'))
+        .otherwise(F.col("body"))
+    )
+    return files.request_verdicts(bodies.withColumn("body", broken))
+
+
+@oracle("request_reject")
+def o_request_reject():
+    return with_views(["request_rows"], """
+SELECT request_id, request_id % 9 <> 0 AS well_formed,
+       CASE WHEN request_id % 9 = 0 THEN 0 ELSE count(*) END AS n_readings,
+       CASE WHEN request_id % 9 <> 0 AND (request_id % 5 = 0 OR request_id % 6 = 0) THEN count(*) ELSE 0 END AS n_bad_readings,
+       request_id % 9 <> 0 AND request_id % 5 <> 0 AND request_id % 6 <> 0 AS accepted
+FROM request_rows GROUP BY request_id""")

@@ -134,3 +134,40 @@ def test_psi_is_selectable(spark):
     ref, cur = _frame(spark, {"x": rng.normal(size=500)}), _frame(spark, {"x": rng.normal(1, 1, 500)})
     row = dr.data_drift(ref, cur, ["x"], "psi").first()
     assert row.stattest == "psi" and row.drifted
+
+
+def test_decision_without_summary_and_with_absent_layers(spark):
+    row = rt.retrain_decision(None, None, None, None, None).first()
+    assert (row.should_retrain, list(row.reasons), row.exit_code) == (False, [rt.NO_SUMMARY], 0)
+    gate = spark.createDataFrame([(True,)], "test_suite_passed boolean")
+    row = rt.retrain_decision(None, None, None, None, gate).first()
+    assert not row.should_retrain and row.reasons[0].startswith("Data drift OK: 0.0%") and row.reasons[1] == "Prediction drift OK: not detected"
+    data = spark.createDataFrame([(0.9,)], "share_drifted double")
+    for test, first in (("ks", "b"), ("wasserstein", "a")):
+        top = spark.createDataFrame([("a", test, 0.9, True), ("b", test, 0.2, True)], "feature string, stattest string, drift_score double, drifted boolean")
+        assert rt.retrain_decision(data, top, None, None, None).first().reasons[1].startswith(f"  Top drifted features: ['{first}'")
+
+
+def test_fingerprint_of_exact_bits(spark):
+    fp = lambda rows, t: lg.table_fingerprint(spark.createDataFrame(rows, t)).first().fingerprint
+    d = "x double"
+    seen = [fp([(v,)], d) for v in (0.12341, 0.12344, float("nan"), float("inf"), float("-inf"), 1e300, None, 0.0)]
+    assert len(set(seen)) == len(seen)
+    t = "a string, b string"
+    seen = [fp([r], t) for r in (("a|", "b"), ("a", "|b"), (None, ""), ("", None), ("", ""))]
+    assert len(set(seen)) == len(seen)
+
+
+def test_positions_with_null_keys_and_groups(spark):
+    from pyspark.sql import functions as F
+
+    from cyclewise.operators.ordering import dense_positions
+
+    rows = [(u, t) for u in (None, 1, 2, 5000) for t in range(5)] + [(1, None)]
+    df = spark.createDataFrame(rows, "u int, t int").repartition(4)
+    own = dense_positions(df, ["u"], ["t"], F.floor(F.col("t") / 2), total="n").collect()
+    assert len(own) == 21 and sorted((r.pos, r.n) for r in own if r.u == 1) == [(i, 6) for i in range(1, 7)]
+    assert [r.t for r in sorted((r for r in own if r.u is None), key=lambda r: r.pos)] == [0, 1, 2, 3, 4]
+    whole = dense_positions(df.filter("u is not null and t is not null"), [], ["u", "t"], F.struct("u", "t"), total="n", coarse=F.floor(F.col("u") / 1024)).collect()
+    assert [(r.u, r.t) for r in sorted(whole, key=lambda r: r.pos)] == [(u, t) for u in (1, 2, 5000) for t in range(5)]
+    assert {r.n for r in whole} == {15}

@@ -54,7 +54,13 @@ def test_stream_score_equals_batch(spark):
     rows.repartition("request_id").write.partitionBy("split").parquet(src)
     schema = ("request_id long, pos long, time_cycles long, " + ", ".join(f"{c} double" for c in SETTINGS + SENSORS)
               + ", split int")
-    out = streams.stream_score(spark, src, schema, state, model, scratch_path(spark, "test-stream-sink"))
+    sink, mark = scratch_path(spark, "test-stream-sink"), scratch_path(spark, "test-stream-mark")
+    out = streams.stream_score(spark, src, schema, state, model, sink, checkpoint=mark)
+    before = out.count()
+    out = streams.stream_score(spark, src, schema, state, model, sink, checkpoint=mark)  # started again: nothing new
+    assert out.count() == before
+    out = streams.stream_score(spark, src, schema, state, model, sink)  # played again from the start: replaced, not added
+    assert out.count() == before
     got = sorted((r["request_id"], r["rul_prediction"], r["input_cycles"], tuple(r["warnings"])) for r in out.collect())
     want = sorted((r["request_id"], r["rul_prediction"], r["input_cycles"], tuple(r["warnings"])) for r in batch.collect())
     assert got == want and len(got) == 6
@@ -79,6 +85,9 @@ def test_request_order_check_across_segments(spark):
     df = spark.createDataFrame(rows, "request_id int, pos int, time_cycles int")
     chk = {r["request_id"]: r["ordered"] for r in sc.request_checks(df, segment_rows=8).collect()}
     assert chk == {1: True, 2: False}
+    ties = [(4, p, c) for p, c in enumerate([5, 6, 6, 7, 8], start=1)] + [(5, p, 20 - p) for p in range(1, 12)]
+    chk = {r["request_id"]: r for r in sc.request_checks(spark.createDataFrame(ties, df.schema)).collect()}
+    assert chk[4]["accept_predict"] and not chk[5]["accept_predict"] and chk[5]["accept_drift"]
     inside = [(3, p, 5 if p == 11 else p) for p in range(1, 21)]  # drop inside the second segment
     chk = {r["request_id"]: r["ordered"] for r in sc.request_checks(spark.createDataFrame(inside, df.schema), segment_rows=8).collect()}
     assert chk == {3: False}
