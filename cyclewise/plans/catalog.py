@@ -26,9 +26,6 @@ def all_oracles() -> dict[str, str]:
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Scaler fit on training engines -> window features of the hold-out engines with the frozen
-    state -> last cycle per engine -> score -> truth join -> hold-out metrics (one row).
-
-    The whole train / CV / evaluate job is ``pipeline_metrics``.
-    """
-    return QUERIES["last_cycle_eval"](spark, sf_dir)
+    """The whole train / cross-validate / evaluate job: gate -> features -> feature gate -> fit -> train, fold and
+    hold-out metrics (one row)."""
+    return QUERIES["pipeline_metrics"](spark, sf_dir)
