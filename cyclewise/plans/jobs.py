@@ -8,6 +8,7 @@ read it, and a lost executor must not recompute the window pass.
 from __future__ import annotations
 
 from pyspark import StorageLevel
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -19,8 +20,8 @@ from cyclewise.operators import metrics as mt
 from cyclewise.operators import model as md
 from cyclewise.operators import retrain as rt
 from cyclewise.operators import validate as va
-from cyclewise.session import cut_lineage
-from cyclewise.sources import text
+from cyclewise.session import cut_lineage, scratch_path
+from cyclewise.sources import files, text
 
 
 def spark_rows(df: DataFrame) -> DataFrame:
@@ -70,9 +71,10 @@ def train_evaluate(raw_train: DataFrame, raw_test: DataFrame, truth: DataFrame,
     return combine_rows(train_m, cv, test_m), model, state
 
 
-def monitor(feats: DataFrame, model, columns: list[str], sensor_cols: list[str], cfg: dict | None = None) -> DataFrame:
+def monitor(feats: DataFrame, model, columns: list[str], sensor_cols: list[str], cfg: dict | None = None,
+            path: str | None = None) -> DataFrame:
     """Halve the feature table by position -> data drift -> prediction drift -> perturbation impact ->
-    drift gate -> retrain decision (one row).
+    drift gate -> JSON summary under ``path`` -> retrain decision read from it (one row).
 
     The per-feature statistics are computed once and serve both the
     configured test (layer 1) and the automatic one (gate); the perturbed
@@ -92,4 +94,39 @@ def monitor(feats: DataFrame, model, columns: list[str], sensor_cols: list[str],
                        source={c: f"{c}__drifted" for c in pert})
     impact = dr.drift_impact(pairs)
     gate = dr.drift_gate(dr.drift_table(stats, "auto", cfg))
-    return rt.retrain_decision(dr.dataset_drift(table), table, pdrift, impact, gate)
+    path = path or scratch_path(feats.sparkSession, "drift-summary")
+    write_drift_summary(path, dr.dataset_drift(table), table, pdrift, impact, gate)
+    return decide_from_summary(feats.sparkSession, path)
+
+
+SUMMARY_SCHEMA = (
+    "data_drift struct<n_features:long,n_drifted:long,share_drifted:double,dataset_drift:boolean,"
+    "features:array<struct<feature:string,stattest:string,drift_score:double,drifted:boolean>>>,"
+    "prediction_drift struct<drift_detected:boolean,drift_score:double,threshold:double,"
+    "reference_mean:double,reference_std:double,current_mean:double,current_std:double>,"
+    "impact struct<mean_prediction_change:double,max_prediction_change:double,median_prediction_change:double,"
+    "pct_predictions_changed_gt_10:double,reference_pred_mean:double,drifted_pred_mean:double>,"
+    "gate struct<n_features:long,n_drifted:long,share_drifted:double,test_suite_passed:boolean>"
+)
+
+
+def write_drift_summary(path: str, data: DataFrame, table: DataFrame, prediction: DataFrame, impact: DataFrame, gate: DataFrame) -> None:
+    """The monitor's one-row summary as JSON; its feature list is as long as the feature list."""
+    whole = lambda df, name: df.select(F.struct(*df.columns).alias(name))
+    features = table.agg(F.collect_list(F.struct("feature", "stattest", F.col("drift_score").cast("double").alias("drift_score"), "drifted")).alias("_f"))
+    row = combine_rows(whole(data, "_d"), features, whole(prediction, "prediction_drift"), whole(impact, "impact"), whole(gate, "gate"))
+    row = row.select(F.struct("_d.*", F.col("_f").alias("features")).alias("data_drift"), "prediction_drift", "impact", "gate")
+    files.write_json(row, path)
+
+
+def decide_from_summary(spark, path: str, cfg: dict | None = None) -> DataFrame:
+    """The retrain decision from a written summary; without one, the answer is no."""
+    try:
+        row = files.read_json(spark, path, SUMMARY_SCHEMA)
+    except AnalysisException as exc:
+        if "PATH_NOT_FOUND" not in str(exc):
+            raise
+        return rt.retrain_decision(None, None, None, None, None, cfg)
+    part = lambda name: row.filter(F.col(name).isNotNull()).select(f"{name}.*")
+    top = row.select(F.explode("data_drift.features").alias("f")).select("f.*")
+    return rt.retrain_decision(part("data_drift").drop("features"), top, part("prediction_drift"), part("impact"), part("gate"), cfg)

@@ -171,3 +171,19 @@ def test_positions_with_null_keys_and_groups(spark):
     whole = dense_positions(df.filter("u is not null and t is not null"), [], ["u", "t"], F.struct("u", "t"), total="n", coarse=F.floor(F.col("u") / 1024)).collect()
     assert [(r.u, r.t) for r in sorted(whole, key=lambda r: r.pos)] == [(u, t) for u in (1, 2, 5000) for t in range(5)]
     assert {r.n for r in whole} == {15}
+
+
+def test_decision_from_written_summary(spark):
+    from cyclewise.plans import jobs
+    from cyclewise.session import scratch_path
+
+    assert list(jobs.decide_from_summary(spark, scratch_path(spark, "no-summary")).first().reasons) == [rt.NO_SUMMARY]
+    table = spark.createDataFrame([("a", "ks", 0.01, 0.05, True), ("b", "ks", 0.5, 0.05, False)],
+                                  "feature string, stattest string, drift_score double, threshold double, drifted boolean")
+    pred = spark.createDataFrame([(True, 0.25, 0.1, 1.0, 1.0, 2.0, 1.0)], "drift_detected boolean, drift_score double, threshold double, "
+                                 "reference_mean double, reference_std double, current_mean double, current_std double")
+    impact = dr.drift_impact(_frame(spark, {"ref_pred": np.array([1.0, 2.0]), "drift_pred": np.array([2.0, 30.0])}))
+    path = scratch_path(spark, "summary")
+    args = (dr.dataset_drift(table), table, pred, impact, dr.drift_gate(table))
+    jobs.write_drift_summary(path, *args)
+    assert jobs.decide_from_summary(spark, path).first() == rt.retrain_decision(*args).first()
