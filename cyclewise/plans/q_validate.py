@@ -129,7 +129,7 @@ def _report(spark, sf):
     parts, errs = [], []
     for name, df in _raw_sets(spark, sf):
         v = va.raw_violations(df)
-        parts.append(va.dataset_report(name, "RawSensorSchema", df, v))
+        parts.append(va.gate_report(name, "RawSensorSchema", df))
         errs.append(v.withColumn("dataset", F.lit(name)))
     return va.validation_report(parts), errs
 
