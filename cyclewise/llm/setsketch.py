@@ -5,13 +5,14 @@ exponentially spaced and truncated.  Documents whose registers agree in a band a
 joint likelihood drops pairs that cannot reach the similarity, and the rest is confirmed on the full sets.
 Links join into components.
 
-Candidates stay linear in the size of a bucket: first every member goes with the smallest one of its salted
-sub-bucket, and those with the smallest of the bucket.  Only then, and only between members that are still in
-different components, the remaining pairs of a bucket are tried, so that no link that the bands see is lost.
+Candidates stay linear in the size of a bucket: first every member goes with the one that shares most buckets with
+most others.  Only then, and only between members that are still in different components, the remaining
+pairs of a bucket are compared, in blocks and by registers, so that no link that the bands see is lost.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,14 +29,20 @@ REGISTERS = BANDS * ROWS
 #: SetSketch parameters: base of the spacing, rate of the exponentials, largest register value.
 BASE, RATE, LIMIT = 1.001, 20.0, 65535
 #: A pair is dropped unconfirmed if the threshold is e**-LOG_ODDS times as likely as the best estimate.
-LOG_ODDS = 18.0
+LOG_ODDS = 13.0
 SALTS = 64
+#: Members of a bucket that one block of the remaining pairs takes on average.
+BLOCK = 512
+#: Bits of the finer sketch: a pair at similarity 0.8 passes, one at 0.75 hardly.
+BITS = 4096
 #: Words whose hashes a Python worker keeps.
-WORDS_KEPT = 1_000_000
+WORDS_KEPT = 200_000
 
 _rng = np.random.default_rng(20240229)
 _A = _rng.integers(0, 2**63, REGISTERS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _B = _rng.integers(0, 2**63, REGISTERS, dtype=np.uint64)
+_C = _rng.integers(0, 2**63, BITS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_D = _rng.integers(0, 2**63, BITS, dtype=np.uint64)
 
 
 class _WordHashes(dict):
@@ -82,8 +89,8 @@ def shingle_set(words: list[bytes], width: int) -> set:
 def registers(hashes: np.ndarray) -> np.ndarray:
     """SetSketch registers of a set: larger registers stand for smaller minima."""
     low = np.full(REGISTERS, 2**64 - 1, dtype=np.uint64)
-    for i in range(0, len(hashes), 1024):
-        np.minimum(low, (hashes[i : i + 1024, None] * _A + _B).min(axis=0), out=low)
+    for i in range(0, len(hashes), 512):
+        np.minimum(low, (hashes[i : i + 512, None] * _A + _B).min(axis=0), out=low)
     x = -np.log1p(-np.minimum((low.astype(np.float64) + 0.5) / 2**64, 1 - 1e-16)) / RATE
     return np.clip(np.floor(1 - np.log(x) / np.log(BASE)), 0, LIMIT).astype("<u2")
 
@@ -143,7 +150,75 @@ def _bands(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for pdf in batches:
         if len(pdf):
             keys = band_keys(np.frombuffer(b"".join(pdf["regs"]), "<u2").reshape(len(pdf), REGISTERS))
-            yield pd.DataFrame({"band": keys.ravel(), "rep": np.repeat(pdf["rep"].to_numpy(), BANDS), "n": np.repeat(pdf["n"].to_numpy(), BANDS)})
+            yield pd.DataFrame({"band": keys.ravel(), "slot": np.tile(np.arange(BANDS), len(pdf)),
+                                "rep": np.repeat(pdf["rep"].to_numpy(), BANDS), "n": np.repeat(pdf["n"].to_numpy(), BANDS)})
+
+
+def fine_bits(hashes: np.ndarray) -> bytes:
+    """One bit of each of ``BITS`` further minima: a finer sketch in fewer bytes, for documents that share a bucket."""
+    low = np.full(BITS, 2**64 - 1, dtype=np.uint64)
+    for i in range(0, len(hashes), 128):
+        np.minimum(low, (hashes[i : i + 128, None] * _C + _D).min(axis=0), out=low)
+    return np.packbits((_mix(low) & np.uint64(1)).astype(np.uint8)).tobytes()
+
+
+def _with_bits(width: int):
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            hashes = [shingle_hashes(words_of(t), width) for t in pdf["text"]]
+            keys = [band_keys(registers(h)[None]).astype(np.uint32).tobytes() for h in hashes]
+            yield pdf.assign(bits=[fine_bits(h) for h in hashes], keys=keys)
+
+    return run
+
+
+def _most_unequal(percent: int) -> int:
+    """Unequal bits that a pair at the similarity exceeds with probability 1e-7 at most; a pair of similarity j has
+    unequal bits at the rate (1 - j) / 2."""
+    p, total = (1 - percent / 100) / 2, 0.0
+    for k in range(BITS, 0, -1):
+        total += math.exp(math.lgamma(BITS + 1) - math.lgamma(k + 1) - math.lgamma(BITS - k + 1) + k * math.log(p) + (BITS - k) * math.log(1 - p)) if p else 0.0
+        if total > 1e-7:
+            return k
+    return 0
+
+
+def _cross(percent: int):
+    """Rows sorted by block (band, i, j) -> pairs of side 0 and side 1 of a block in different components whose sizes
+    and bits allow the similarity, once: in the first bucket that they share.  A block is held at a time."""
+    most = _most_unequal(percent)
+
+    def pairs(g: pd.DataFrame) -> Iterator[pd.DataFrame]:
+        side = g["side"].to_numpy()
+        x, y = g[side == 0], g[side == 1]
+        if not len(x) or not len(y):
+            return
+        bits = lambda d: np.frombuffer(b"".join(d["bits"]), np.uint64).reshape(len(d), BITS // 64)
+        keys = lambda d: np.frombuffer(b"".join(d["keys"]), np.uint32).reshape(len(d), BANDS)
+        bx, by, kx, ky, slot = bits(x), bits(y), keys(x), keys(y), int(g["slot"].iloc[0])
+        ny, cy, ids, big = y["n"].to_numpy(), y["comp"].to_numpy(), y["rep"].to_numpy(), y["big"].to_numpy()
+        for k, (a, n, c) in enumerate(zip(x["rep"], x["n"], x["comp"], strict=True)):
+            ok = (cy != c) & (np.minimum(ny, n) * 100 >= np.maximum(ny, n) * percent) & (big | (ids > a))
+            at = np.flatnonzero(ok)
+            at = at[np.bitwise_count(by[at] ^ bx[k]).sum(axis=1) <= most]
+            at = at[(ky[at] == kx[k]).argmax(axis=1) == slot]
+            if len(at):
+                yield pd.DataFrame({"a": np.minimum(ids[at], a), "b": np.maximum(ids[at], a)})
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: list[pd.DataFrame] = []
+        last = None
+        for pdf in batches:
+            for key, g in pdf.groupby(["band", "i", "j"], sort=False):
+                if key != last and held:
+                    yield from pairs(pd.concat(held))
+                    held = []
+                held.append(g)
+                last = key
+        if held:
+            yield from pairs(pd.concat(held))
+
+    return run
 
 
 def _confirm(pairs: DataFrame, classes: DataFrame, texts: DataFrame, width: int, percent: int, name: str) -> DataFrame:
@@ -194,34 +269,41 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, id_col:
     local = some.groupBy("set_key", "_salt").agg(F.min(F.struct("doc_id", "n", "regs")).alias("m"))
     merged = local.groupBy("set_key").agg(F.min("m").alias("m"), F.collect_list("_salt").alias("salts"))
     classes = cut_lineage(merged.select("set_key", F.col("m.doc_id").alias("rep"), F.col("m.n").alias("n"), F.col("m.regs").alias("regs"), "salts"), "nd-classes")
-    bands = cut_lineage(
-        classes.select("rep", "n", "regs").mapInPandas(_bands, "band long, rep long, n long")
-        .withColumn("_s", F.pmod(F.xxhash64("rep"), F.lit(SALTS))), "nd-bands"
-    )
+    bands = classes.select("rep", "n", "regs").mapInPandas(_bands, "band long, slot int, rep long, n long")
+    sizes = bands.groupBy("band").agg(F.count(F.lit(1)).alias("c")).filter("c > 1")
+    shared = cut_lineage(bands.join(sizes, "band"), "nd-shared")
+    # the texts that may be compared: one shuffle of the whole texts, then only these
     texts = docs.select(F.col(id_col).cast("long").alias("rep"), F.col(text_col).cast("string").alias("text"))
-    lead = bands.groupBy("band", "_s").agg(F.min("rep").alias("lead"), F.min("n").alias("lo"), F.max("n").alias("hi"), F.count(F.lit(1)).alias("c"))
-    lead = cut_lineage(lead, "nd-lead")
-    top = lead.groupBy("band").agg(F.min("lead").alias("top"), F.sum("c").alias("c")).filter("c > 1").drop("c")
-    star = bands.join(lead.filter("c > 1").select("band", "_s", "lead"), ["band", "_s"]).select(F.col("lead").alias("a"), F.col("rep").alias("b"))
-    star = star.union(lead.join(top, "band").select(F.col("top").alias("a"), F.col("lead").alias("b"))).filter("a < b").distinct()
-    near = texts.join(star.select(F.col("a").alias("rep")).union(star.select(F.col("b").alias("rep"))).distinct(), "rep", "left_semi")
-    first = _confirm(star, classes, near, width, percent, "nd-star")
+    texts = texts.join(shared.select("rep").distinct(), "rep", "left_semi")
+    texts = cut_lineage(texts.mapInPandas(_with_bits(width), "rep long, text string, bits binary, keys binary"), "nd-texts")
+    # the member that shares most buckets with most others is the likeliest original: all go with it
+    weight = shared.groupBy("rep").agg(F.sum("c").alias("w"))
+    top = shared.select("band", "rep").join(weight, "rep").groupBy("band").agg(F.max(F.struct("w", (-F.col("rep")).alias("r"))).alias("t"))
+    star = shared.select("band", "rep").join(top.select("band", (-F.col("t.r")).alias("top")), "band")
+    star = star.filter("rep <> top").select(F.least("rep", "top").alias("a"), F.greatest("rep", "top").alias("b")).distinct()
+    first = _confirm(star, classes, texts, width, percent, "nd-star")
     label = components(first)
     # what is left: members of one bucket in different components
-    tagged = bands.join(top.select("band"), "band", "left_semi").join(label, F.col("rep") == F.col("node"), "left").select(
-        "band", "rep", "n", F.coalesce("component", "rep").alias("comp")
+    tagged = shared.select("band", "slot", "rep", "n").join(label, F.col("rep") == F.col("node"), "left").select(
+        "band", "slot", "rep", "n", F.coalesce("component", "rep").alias("comp")
+    )
+    parts = tagged.groupBy("band", "comp").agg(F.count(F.lit(1)).alias("c"))
+    mixed = parts.groupBy("band").agg(F.max(F.struct("c", "comp")).alias("m"), F.count(F.lit(1)).alias("k"), F.sum("c").alias("c")).filter("k > 1")
+    mixed = mixed.select("band", F.col("m.comp").alias("major"), F.ceil(F.col("c") / F.lit(BLOCK)).alias("_all"),
+                         F.ceil((F.col("c") - F.col("m.c")) / F.lit(BLOCK)).alias("_few"))
+    member = tagged.join(mixed, "band").join(texts.select("rep", "bits", "keys"), "rep").select(
+        "band", "slot", "rep", "n", "comp", (F.col("comp") == F.col("major")).alias("big"), "bits", "keys", "_all", "_few"
     )
-    sizes = tagged.groupBy("band", "comp").agg(F.count(F.lit(1)).alias("c"))
-    major = sizes.groupBy("band").agg(F.max(F.struct("c", "comp")).alias("m"), F.count(F.lit(1)).alias("k")).filter("k > 1")
-    major = major.select("band", F.col("m.comp").alias("major"))
-    split = cut_lineage(tagged.join(major, "band"), "nd-split")
-    x = split.filter("comp <> major").select("band", F.col("rep").alias("a"), F.col("n").alias("na"), F.col("comp").alias("ca"))
-    y = split.select("band", F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("comp").alias("cb"), (F.col("comp") == F.col("major")).alias("big"))
-    alike = (F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent) & (F.col("ca") != F.col("cb")) & (F.col("big") | (F.col("a") < F.col("b")))
-    rest = x.join(y, "band").filter(alike).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    member = cut_lineage(member, "nd-members")
+    every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
+    own = F.pmod(F.xxhash64("rep"), F.col("_all"))
+    few = F.pmod(F.xxhash64("rep"), F.col("_few"))
+    left = member.filter("not big").select("band", few.alias("i"), every("_all").alias("j"), F.lit(0).alias("side"), "slot", "rep", "n", "comp", "big", "bits", "keys")
+    right = member.select("band", every("_few").alias("i"), own.alias("j"), F.lit(1).alias("side"), "slot", "rep", "n", "comp", "big", "bits", "keys")
+    both = left.union(right).repartition("band", "i", "j").sortWithinPartitions("band", "i", "j", "side")
+    rest = both.mapInPandas(_cross(percent), "a long, b long")
     rest = cut_lineage(rest.join(first, ["a", "b"], "left_anti"), "nd-rest")
-    near = texts.join(rest.select(F.col("a").alias("rep")).union(rest.select(F.col("b").alias("rep"))).distinct(), "rep", "left_semi")
-    second = _confirm(rest, classes, near, width, percent, "nd-cross")
+    second = _confirm(rest, classes, texts, width, percent, "nd-cross")
     links = first.union(second)
     label = cut_lineage(components(links), "nd-components")
     degree = links.select(F.col("a").alias("r")).union(links.select(F.col("b").alias("r"))).groupBy("r").agg(F.count(F.lit(1)).alias("links"))
