@@ -221,8 +221,11 @@ def _cross(percent: int):
     return run
 
 
-def _confirm(pairs: DataFrame, classes: DataFrame, texts: DataFrame, width: int, percent: int, name: str) -> DataFrame:
-    """The pairs (a, b) of class representatives whose full sets reach the similarity."""
+def _confirm(pairs: DataFrame, classes: DataFrame | None, texts: DataFrame, width: int, percent: int, name: str) -> DataFrame:
+    """The pairs (a, b) of class representatives whose full sets reach the similarity.
+
+    Without ``classes`` the registers are not asked: the pairs have passed the finer sketch.
+    """
 
     def likely(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -244,9 +247,11 @@ def _confirm(pairs: DataFrame, classes: DataFrame, texts: DataFrame, width: int,
                 keep.append(100 * both >= percent * (len(own) + len(other) - both))
             yield pdf.loc[keep, ["a", "b"]]
 
-    side = lambda c: classes.select(F.col("rep").alias(c), F.col("regs").alias(f"r{c}"), F.col("n").alias(f"n{c}"))
-    maybe = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "ra", "rb", "na", "nb").mapInPandas(likely, "a long, b long")
-    maybe = cut_lineage(maybe, f"{name}-maybe")
+    maybe = pairs
+    if classes is not None:
+        side = lambda c: classes.select(F.col("rep").alias(c), F.col("regs").alias(f"r{c}"), F.col("n").alias(f"n{c}"))
+        maybe = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "ra", "rb", "na", "nb").mapInPandas(likely, "a long, b long")
+        maybe = cut_lineage(maybe, f"{name}-maybe")
     text = lambda c: texts.select(F.col("rep").alias(c), F.col("text").alias(f"t{c}"))
     # the pairs' own documents only; sorted by a, so that its set is built once in a run
     full = maybe.join(text("b"), "b").join(text("a"), "a").sortWithinPartitions("a").select("a", "b", "ta", "tb")
@@ -303,7 +308,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, id_col:
     both = left.union(right).repartition("band", "i", "j").sortWithinPartitions("band", "i", "j", "side")
     rest = both.mapInPandas(_cross(percent), "a long, b long")
     rest = cut_lineage(rest.join(first, ["a", "b"], "left_anti"), "nd-rest")
-    second = _confirm(rest, classes, texts, width, percent, "nd-cross")
+    second = _confirm(rest, None, texts, width, percent, "nd-cross")
     links = first.union(second)
     label = cut_lineage(components(links), "nd-components")
     degree = links.select(F.col("a").alias("r")).union(links.select(F.col("b").alias("r"))).groupBy("r").agg(F.count(F.lit(1)).alias("links"))
