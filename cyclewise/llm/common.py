@@ -14,7 +14,7 @@ UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = "abcdefghijklmnopqrstuvwxyz"
 
 #: Longest run of texts handed to one numpy pass, in characters.  A longer single text is one pass of its own.
-PASS_CHARS = 1_000_000
+PASS_CHARS = 400_000
 
 
 def ascii_lower(text: Column) -> Column:

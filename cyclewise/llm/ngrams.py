@@ -7,7 +7,7 @@ import functools
 import numpy as np
 
 #: Characters of one numpy pass; a longer single text is one pass of its own.
-PASS_CHARS = 1_000_000
+PASS_CHARS = 400_000
 _SPACE = 32
 _MIX = 0x9E3779B97F4A7C15
 _STEP = [np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), np.uint64(0xD6E8FEB86659FD93), np.uint64(0xA0761D6478BD642F)]

@@ -2,34 +2,44 @@
 
 Both kinds of tokenizer used here split a text at every change from non-white to ASCII white space, so a
 text's ids are the ids of its pieces in order.  A piece that is not in the cache goes through the library's
-own normalizer, pre-tokenizer and model.
+own normalizer, pre-tokenizer and model; for letters with punctuation behind them, which are two pre-tokens,
+what the first two make of each letter is kept, and only the model is asked again.
 """
 
 from __future__ import annotations
 
 import json
 import re
+import unicodedata
 from array import array
 
 from tokenizers import Tokenizer
 
-#: Entries of the cache of pieces and of that of pre-tokens; a full cache starts anew.
-CACHE_PIECES, CACHE_WORDS = 1_000_000, 500_000
+#: Entries of a generation of the caches of pieces and of pre-tokens, two generations each; about 200 bytes an entry:
+#: 150 MB a Python worker at most.
+CACHE_PIECES, CACHE_WORDS = 200_000, 150_000
 
 _PIECE = re.compile(rb"[ \t\n\r\x0b\f]*[^ \t\n\r\x0b\f]+|[ \t\n\r\x0b\f]+")
+_CORE = re.compile(r"( ?)([^\W\d_]+)([!-&(-/:-@\[-`{-~]*)")
 _LOOSE = re.compile(rb" [ \t\n\r\x0b\f]")
 
 
-class _Pieces(dict):
-    def __init__(self, encoder: Encoder, before: bytes):
-        super().__init__()
-        self.encoder, self.before = encoder, before
+class _Kept(dict):
+    """A cache of two generations: a full one becomes the older, and what is found there moves to the new one."""
 
-    def __missing__(self, piece: bytes) -> bytes:
-        if len(self) >= CACHE_PIECES:
+    def __init__(self, make, limit: int):
+        super().__init__()
+        self.make, self.limit, self.older = make, limit, {}
+
+    def __missing__(self, key):
+        value = self.older.get(key)
+        if value is None:
+            value = self.make(key)
+        if len(self) >= self.limit:
+            self.older = dict(self)
             self.clear()
-        ids = self[piece] = self.encoder.piece_ids((self.before + piece).decode("utf-8", "surrogatepass"))
-        return ids
+        self[key] = value
+        return value
 
 
 class Encoder:
@@ -42,30 +52,47 @@ class Encoder:
         self.added = tuple(t["content"] for t in spec.get("added_tokens", []))
         #: white space never reaches a token: pieces need not carry it
         self.drops_space = "Removed" in json.dumps(spec.get("pre_tokenizer"))
-        self.words: dict[str, bytes] = {}
-        self.plain, self.spaced = _Pieces(self, b""), _Pieces(self, b" ")
+        self.lowers = self._normal("ABC") == "abc"
+        self.words = _Kept(lambda word: array("I", [t.id for t in self.tokenizer.model.tokenize(word)]).tobytes(), CACHE_WORDS)
+        self.letters: dict[str, str | None] = {}
+        self.tails: dict[str, bytes] = {"": b""}
+        start = self.tokenizer.pre_tokenizer.pre_tokenize_str(" a")
+        self.start = start[0][0][:-1] if len(start) == 1 and start[0][0].endswith("a") else None
+        # where white space is dropped all pieces are plain; else nearly all follow a blank
+        self.plain = _Kept(lambda p: self.piece_ids(p.decode("utf-8", "surrogatepass")), CACHE_PIECES if self.drops_space else CACHE_PIECES // 4)
+        self.spaced = _Kept(lambda p: self.piece_ids(" " + p.decode("utf-8", "surrogatepass")), CACHE_PIECES)
+
+    def _normal(self, text: str) -> str:
+        return self.tokenizer.normalizer.normalize_str(text) if self.tokenizer.normalizer is not None else text
+
+    def _letter(self, c: str) -> str | None:
+        """What a letter is to the model, or None if it is not one pre-token by itself."""
+        if c not in self.letters:
+            parts = self.tokenizer.pre_tokenizer.pre_tokenize_str(self._normal(c))
+            self.letters[c] = parts[0][0] if len(parts) == 1 and self._normal(c).isalpha() else None
+        return self.letters[c]
 
     def piece_ids(self, piece: str) -> bytes:
+        m = _CORE.fullmatch(piece)
+        if m and self.start is not None and m[2].isalpha() and unicodedata.is_normalized("NFC", m[2]):
+            mapped = [self._letter(c) for c in m[2]]
+            if None not in mapped:
+                if m[3] not in self.tails:
+                    self.tails[m[3]] = self._whole(m[3])
+                return self.words[(self.start if m[1] else "") + "".join(mapped)] + self.tails[m[3]]
+        return self._whole(piece)
+
+    def _whole(self, piece: str) -> bytes:
         tok = self.tokenizer
         if any(a in piece for a in self.added):
             return array("I", tok.encode(piece, add_special_tokens=False).ids).tobytes()
-        if tok.normalizer is not None:
-            piece = tok.normalizer.normalize_str(piece)
-        out = []
-        for word, _ in tok.pre_tokenizer.pre_tokenize_str(piece):
-            ids = self.words.get(word)
-            if ids is None:
-                if len(self.words) >= CACHE_WORDS:
-                    self.words.clear()
-                ids = self.words[word] = array("I", [t.id for t in tok.model.tokenize(word)]).tobytes()
-            out.append(ids)
-        return b"".join(out)
+        return b"".join([self.words[w] for w, _ in tok.pre_tokenizer.pre_tokenize_str(self._normal(piece))])
 
     def encode(self, text: str) -> bytes:
         """The ids as little-endian unsigned 32-bit integers."""
         raw = text.encode("utf-8", "surrogatepass")
         if self.drops_space:
-            return b"".join(map(self.plain.__getitem__, raw.split()))
+            return b"".join(map(self.plain.__getitem__, (raw.lower() if self.lowers else raw).split()))
         if _LOOSE.search(raw):
             return b"".join(map(self.plain.__getitem__, _PIECE.findall(raw)))
         first, *rest = raw.split(b" ")

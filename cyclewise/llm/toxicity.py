@@ -45,7 +45,7 @@ REPORT_WORDS = frozenset(
 _OPEN, _CLOSE = "\"“„«‘'", "\"”“»’'"
 
 _LETTERS = re.compile(r"[^\W\d_]+")
-WORDS_KEPT = 1_000_000
+WORDS_KEPT = 300_000
 
 
 def _terms_of(text: str) -> set[tuple[str, int]]:
