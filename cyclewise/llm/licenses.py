@@ -9,6 +9,8 @@ that announce a licence (:data:`WORDINGS`), several hundred in all.
 from __future__ import annotations
 
 import json
+from functools import reduce
+from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -110,19 +112,17 @@ FREE = [
     ("boost-1", 5, "boost", r"distributed under the boost software license version 1 0"),
 ]
 
-#: A text has licence wording only if it holds all strings of one of these sets, lower-cased.
-MARKS = [
-    ("licen",), ("cc", "by", "nc"), ("reserved",), ("domain",), ("hereby",), ("redistribution",), ("this software",), ("permitted",),
-    ("neighboring",), ("invariant",), ("damages",),
-    *((verb, link) for verb in ("released", "distributed", "published", "available", "shared", "offered", "provided", "covered") for link in ("under", "by")),
-]
-
 #: A word of a text that is not lower-cased yet.
 WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
 PRIORITIES = 5
 
 
+def _keyword(keyword: str) -> str:
+    """A keyword as it stands in the words of a text: two blanks between its words, a blank at its ends where it ends a word."""
+    return " " * keyword.startswith(" ") + keyword.strip().replace(" ", "  ") + " " * keyword.endswith(" ")
+
+
 def rules() -> list[dict]:
     """The rules in order, base phrases first: number, label, priority, base, two keyword gates, pattern over `` w1  w2 ``."""
     out = []
@@ -131,7 +131,7 @@ def rules() -> list[dict]:
         # every word stands between two blanks of its own: one blank of the rule is two of the text
         body = pattern.replace(" ?", "(?: )?").replace(" ", "  ")
         out.append({"rule": len(out), "label": label, "priority": priority, "base": base, "pattern": f" {body} ",
-                    "first": first.replace(" ", "  ").split("|"), "second": second.replace(" ", "  ").split("|")})
+                    "first": [_keyword(k) for k in first.split("|")], "second": [_keyword(k) for k in second.split("|")]})
 
     for phrase, label in BASE.items():
         add(label, PRIORITIES, True, phrase, phrase, phrase)
@@ -158,25 +158,34 @@ def _gated_rules(words: Column) -> Column:
     return F.filter(F.flatten(F.transform(F.filter(groups, lambda g: there(g["first"])), lambda g: g["rules"])), lambda r: there(r["second"]))
 
 
-def _has_marks(lowered: Column) -> Column:
-    def has(t):
-        hit = F.lit(False)
-        for marks in MARKS:
-            every = F.lit(True)
-            for m in marks:
-                every = every & F.contains(t, F.lit(m))
-            hit = hit | every
-        return hit
-
-    return F.exists(F.array(lowered), has)  # an array of one text: it is lower-cased once for all looks
-
-
 def words_of(text: Column) -> Column:
     """The text's words, each between two blanks; empty without words."""
     flat = F.trim(F.regexp_replace(ascii_lower(text), GAP, "  "))
     return F.when(flat == "", F.lit("")).otherwise(F.concat(F.lit(" "), flat, F.lit(" ")))
 
 
+def _may_match(text: Column) -> Column:
+    """Whether the text has the keywords of some rule: looser than :func:`_gated_rules`, from the same keywords.
+
+    A first look takes the single words of the keywords in the lower-cased text, which needs no splitting;
+    the second one the keywords themselves in the words of what is left.
+    """
+    seconds: dict[tuple, set] = {}
+    for r in rules():
+        seconds.setdefault(tuple(r["first"]) if r["first"] == r["second"] else (), set()).update(r["second"])
+    named = {k for r in rules() if r["first"] != r["second"] for k in r["first"]}
+    alone = {k for firsts, ks in seconds.items() if firsts for k in ks}
+
+    def look(held: Column, has) -> Column:
+        some = lambda ks: reduce(or_, [has(held, k) for k in sorted(ks)])
+        return some(alone) | (some(named) & some(seconds[()]))
+
+    every = lambda t, k: reduce(and_, [F.contains(t, F.lit(w)) for w in k.split()])
+    whole = lambda t, k: F.contains(t, F.lit(k))
+    # arrays of one text: it is lower-cased or split once for all looks
+    return F.exists(F.array(ascii_lower(text)), lambda t: look(t, every)) & F.exists(F.array(words_of(text)), lambda t: look(t, whole))
+
+
 def _count(words: Column) -> Column:
     return ((F.length(words) - F.length(F.replace(words, F.lit(" "), F.lit("")))) / 2).cast("long")
 
@@ -187,7 +196,7 @@ def detections(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     count once; null and empty texts have none.
     """
     rows = docs.select(F.col(id_col).alias("doc_id"), text_of(F.col(text_col)).alias("_text"))
-    near = rows.filter(_has_marks(ascii_lower(F.col("_text")))).withColumn("text_hash", F.xxhash64("_text"))
+    near = rows.filter(_may_match(F.col("_text"))).withColumn("text_hash", F.xxhash64("_text"))
     words = near.dropDuplicates(["doc_id", "text_hash"]).select("doc_id", "text_hash", words_of(F.col("_text")).alias("_words"))
     # the prefilter: only rules whose keywords are in the text are tried (explode_outer keeps Spark from trying them twice)
     tried = words.withColumn("_r", F.explode_outer(_gated_rules(F.col("_words"))))

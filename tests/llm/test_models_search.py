@@ -253,3 +253,11 @@ def test_folds(spark):
 
     df = spark.createDataFrame([(i,) for i in range(50)], "doc_id long")
     assert all(r.f == zlib.crc32(str(r.doc_id).encode()) % 3 for r in df.select("doc_id", crc_fold(F.col("doc_id"), 3).alias("f")).collect())
+
+
+# ------------------------------------------------------------------ licence prefilter
+def test_license_prefilter_keeps_what_rules_match(spark):
+    texts = ["This code is under GPL v2.", "Use is subject to the MPL 2.0.",
+             "permission is hereby granted. Permission to use copy modify and or distribute this\nsoftware for any purpose", "under the sun we discuss examples"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert {r.doc_id: r.labels for r in licenses.scan(docs).collect()} == {0: "gpl-2", 1: "mpl-2", 2: "isc", 3: ""}
