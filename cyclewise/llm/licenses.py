@@ -23,76 +23,77 @@ GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 #: Phrase -> label.  Every place of these counts as a base place, whatever other rules say.
 BASE = {"under the mit license": "mit", "apache license version 2": "apache-2", "cc by nc": "cc-by-nc"}
 
-#: label, keywords (one of them must be there), pattern of the licence's name (lower-case words, one blank between them).
+#: label, keywords (every match of the pattern holds one of them; a blank at an end is the end of a word), pattern of the licence's name (lower-case words, one blank between them).
 NAMES = [
-    ("mit", "the mit|mit licen|identifier mit|license mit|under mit|mit expat|per mit|to mit|by mit", r"(?:the )?mit(?: expat)?"),
+    ("mit", " mit ", r"(?:the )?mit(?: expat)?"),
     ("apache-2", "apache", r"(?:the )?apache(?: software)?(?: license)?(?: version| v)? ?2(?: 0)?"),
     ("apache-1.1", "apache", r"(?:the )?apache(?: software)?(?: license)?(?: version| v)? ?1 1"),
-    ("gpl-2", "gpl|general public", r"(?:the )?(?:gnu )?(?:general public license|gpl)(?: version| v)? ?2(?: 0)?(?: only)?"),
-    ("gpl-2-or-later", "gpl|general public", r"(?:the )?(?:gnu )?(?:general public license|gpl)(?: version| v)? ?2(?: 0)? or (?:at your option )?(?:any )?later(?: version)?"),
-    ("gpl-3", "gpl|general public", r"(?:the )?(?:gnu )?(?:general public license|gpl)(?: version| v)? ?3(?: 0)?(?: only)?"),
-    ("gpl-3-or-later", "gpl|general public", r"(?:the )?(?:gnu )?(?:general public license|gpl)(?: version| v)? ?3(?: 0)? or (?:at your option )?(?:any )?later(?: version)?"),
-    ("gpl", "gpl|general public", r"(?:the )?(?:gnu (?:general public license|gpl)|gpl)"),
-    ("lgpl-2.1", "lgpl|lesser general|library general", r"(?:the )?(?:gnu )?(?:(?:lesser|library) general public license|lgpl)(?: version| v)? ?2 1"),
-    ("lgpl-3", "lgpl|lesser general|library general", r"(?:the )?(?:gnu )?(?:lesser general public license|lgpl)(?: version| v)? ?3(?: 0)?"),
-    ("lgpl", "lgpl|lesser general|library general", r"(?:the )?(?:gnu )?(?:(?:lesser|library) general public license|lgpl)"),
-    ("agpl-3", "agpl|affero", r"(?:the )?(?:gnu )?(?:affero general public license|agpl)(?: version| v)? ?3(?: 0)?"),
-    ("agpl", "agpl|affero", r"(?:the )?(?:gnu )?(?:affero general public license|agpl)"),
+    ("gpl-2", " gpl|general public", r"(?:the )?(?:gnu )?(?:general public license|gpl)(?: version| v)? ?2(?: 0)?(?: only)?"),
+    ("gpl-2-or-later", " gpl|general public", r"(?:the )?(?:gnu )?(?:general public license|gpl)(?: version| v)? ?2(?: 0)? or (?:at your option )?(?:any )?later(?: version)?"),
+    ("gpl-3", " gpl|general public", r"(?:the )?(?:gnu )?(?:general public license|gpl)(?: version| v)? ?3(?: 0)?(?: only)?"),
+    ("gpl-3-or-later", " gpl|general public", r"(?:the )?(?:gnu )?(?:general public license|gpl)(?: version| v)? ?3(?: 0)? or (?:at your option )?(?:any )?later(?: version)?"),
+    ("gpl", " gpl|general public", r"(?:the )?(?:gnu (?:general public license|gpl)|gpl)"),
+    ("lgpl-2.1", " lgpl|lesser general|library general", r"(?:the )?(?:gnu )?(?:(?:lesser|library) general public license|lgpl)(?: version| v)? ?2 1"),
+    ("lgpl-3", " lgpl|lesser general|library general", r"(?:the )?(?:gnu )?(?:lesser general public license|lgpl)(?: version| v)? ?3(?: 0)?"),
+    ("lgpl", " lgpl|lesser general|library general", r"(?:the )?(?:gnu )?(?:(?:lesser|library) general public license|lgpl)"),
+    ("agpl-3", " agpl|affero", r"(?:the )?(?:gnu )?(?:affero general public license|agpl)(?: version| v)? ?3(?: 0)?"),
+    ("agpl", " agpl|affero", r"(?:the )?(?:gnu )?(?:affero general public license|agpl)"),
     ("gfdl", "gnu f", r"(?:the )?gnu (?:free documentation license|fdl)(?: version| v)?(?: 1(?: [123])?)?"),
     ("bsd-2-clause", "bsd", r"(?:the )?(?:bsd 2 clause|2 clause bsd|two clause bsd|simplified bsd|freebsd)"),
     ("bsd-3-clause", "bsd", r"(?:the )?(?:bsd 3 clause|3 clause bsd|three clause bsd|new bsd|modified bsd|revised bsd)"),
     ("bsd-4-clause", "bsd", r"(?:the )?(?:bsd 4 clause|4 clause bsd|four clause bsd|original bsd)"),
     ("bsd-0-clause", "bsd", r"(?:the )?(?:bsd 0 clause|0bsd|zero clause bsd)"),
     ("bsd", "bsd", r"(?:the |a )?bsd(?: style)?"),
-    ("isc", "isc", r"(?:the )?isc"),
-    ("mpl-2", "mozilla|mpl", r"(?:the )?(?:mozilla public license|mpl)(?: version| v)? ?2(?: 0)?"),
-    ("mpl-1.1", "mozilla|mpl", r"(?:the )?(?:mozilla public license|mpl)(?: version| v)? ?1 1"),
-    ("mpl", "mozilla|mpl", r"(?:the )?(?:mozilla public license|mpl)"),
-    ("epl-2", "eclipse|epl", r"(?:the )?(?:eclipse public license|epl)(?: version| v)? ?2(?: 0)?"),
-    ("epl-1", "eclipse|epl", r"(?:the )?(?:eclipse public license|epl)(?: version| v)? ?1(?: 0)?"),
+    ("isc", " isc ", r"(?:the )?isc"),
+    ("mpl-2", "mozilla| mpl", r"(?:the )?(?:mozilla public license|mpl)(?: version| v)? ?2(?: 0)?"),
+    ("mpl-1.1", "mozilla| mpl", r"(?:the )?(?:mozilla public license|mpl)(?: version| v)? ?1 1"),
+    ("mpl", "mozilla| mpl", r"(?:the )?(?:mozilla public license|mpl)"),
+    ("epl-2", "eclipse| epl", r"(?:the )?(?:eclipse public license|epl)(?: version| v)? ?2(?: 0)?"),
+    ("epl-1", "eclipse| epl", r"(?:the )?(?:eclipse public license|epl)(?: version| v)? ?1(?: 0)?"),
     ("eupl-1.2", "european union public|eupl", r"(?:the )?(?:european union public licen[cs]e|eupl)(?: version| v)?(?: 1 2)?"),
     ("cddl", "common development|cddl", r"(?:the )?(?:common development and distribution license|cddl)(?: version| v)?(?: 1 [01])?"),
     ("cpl", "common public", r"(?:the )?common public license(?: version| v)?(?: 1(?: 0)?)?"),
     ("artistic-2", "artistic", r"(?:the )?artistic(?: license)?(?: version| v)? ?2(?: 0)?"),
     ("artistic", "artistic", r"(?:the )?(?:perl )?artistic"),
-    ("boost-1", "boost", r"(?:the )?boost(?: software)?(?: license)?(?: version| v)?(?: 1(?: 0)?)?"),
-    ("zlib", "zlib", r"(?:the )?zlib(?: libpng)?"),
-    ("wtfpl", "wtf|what the", r"(?:the )?(?:do what the fuck you want to public license|wtfpl)(?: version| v)?(?: 2)?"),
+    ("boost-1", " boost ", r"(?:the )?boost(?: software)?(?: license)?(?: version| v)?(?: 1(?: 0)?)?"),
+    ("zlib", " zlib ", r"(?:the )?zlib(?: libpng)?"),
+    ("wtfpl", " wtfpl |what the fuck", r"(?:the )?(?:do what the fuck you want to public license|wtfpl)(?: version| v)?(?: 2)?"),
     ("unlicense", "unlicense", r"(?:the )?unlicense"),
     ("ms-pl", "microsoft|ms pl", r"(?:the )?(?:microsoft public license|ms pl)"),
     ("ms-rl", "microsoft|ms rl", r"(?:the )?(?:microsoft reciprocal license|ms rl)"),
-    ("python-2", "python|psf", r"(?:the )?(?:python(?: software foundation)?|psf)(?: license)?(?: version| v)?(?: 2(?: 0)?)?"),
-    ("php-3", "php", r"(?:the )?php(?: license)?(?: version| v)?(?: 3(?: 01)?)?"),
-    ("ruby", "ruby", r"(?:the )?ruby"),
+    ("python-2", " python | psf ", r"(?:the )?(?:python(?: software foundation)?|psf)(?: license)?(?: version| v)?(?: 2(?: 0)?)?"),
+    ("php-3", " php ", r"(?:the )?php(?: license)?(?: version| v)?(?: 3(?: 01)?)?"),
+    ("ruby", " ruby ", r"(?:the )?ruby"),
     ("openssl", "openssl", r"(?:the )?openssl"),
     ("postgresql", "postgresql", r"(?:the )?postgresql"),
     ("ncsa", "ncsa", r"(?:the )?(?:university of illinois )?ncsa(?: open source)?"),
-    ("ofl-1.1", "ofl|open font", r"(?:the )?(?:sil open font license|ofl)(?: version| v)?(?: 1 1)?"),
+    ("ofl-1.1", " ofl |open font", r"(?:the )?(?:sil open font license|ofl)(?: version| v)?(?: 1 1)?"),
     ("odbl-1", "odbl|open database", r"(?:the )?(?:open database license|odbl)(?: version| v)?(?: 1(?: 0)?)?"),
     ("odc-by", "odc by|data commons", r"(?:the )?(?:open data commons attribution|odc by)(?: version| v)?(?: 1(?: 0)?)?"),
     ("pddl", "pddl|public domain dedication", r"(?:the )?(?:public domain dedication and license|pddl)"),
     ("cc0", "cc0|commons zero|commons 0", r"(?:the )?(?:creative commons zero|creative commons 0|cc0)(?: 1 0)?(?: universal)?"),
-    ("cc-by", "cc by|commons by", r"(?:the )?(?:creative commons(?: license)?(?: attribution)?|cc) by(?: [1-4] [05])?"),
+    ("cc-by", "creative commons| cc by ", r"(?:the )?(?:creative commons(?: license)?(?: attribution)?|cc) by(?: [1-4] [05])?"),
     ("cc-by", "creative commons", r"(?:the |a )?creative commons attribution(?: [1-4] [05])?(?: international| unported| generic)?"),
-    ("cc-by-sa", "cc by|commons by", r"(?:the |a )?(?:creative commons|cc) by sa(?: [1-4] [05])?"),
+    ("cc-by-sa", " cc by | commons by ", r"(?:the |a )?(?:creative commons|cc) by sa(?: [1-4] [05])?"),
     ("cc-by-sa", "creative commons", r"(?:the |a )?creative commons attribution share ?alike(?: [1-4] [05])?(?: international| unported| generic)?"),
-    ("cc-by-nd", "cc by|commons by", r"(?:the |a )?(?:creative commons|cc) by nd(?: [1-4] [05])?"),
+    ("cc-by-nd", " cc by | commons by ", r"(?:the |a )?(?:creative commons|cc) by nd(?: [1-4] [05])?"),
     ("cc-by-nd", "creative commons", r"(?:the |a )?creative commons attribution no ?deriv(?:ative)?s(?: [1-4] [05])?(?: international| unported| generic)?"),
-    ("cc-by-nc", "cc by|commons by", r"(?:the |a )?(?:creative commons|cc) by nc(?: [1-4] [05])?"),
+    ("cc-by-nc", " cc by | commons by ", r"(?:the |a )?(?:creative commons|cc) by nc(?: [1-4] [05])?"),
     ("cc-by-nc", "creative commons", r"(?:the |a )?creative commons attribution non ?commercial(?: [1-4] [05])?(?: international| unported| generic)?"),
-    ("cc-by-nc-sa", "cc by|commons by", r"(?:the |a )?(?:creative commons|cc) by nc sa(?: [1-4] [05])?"),
+    ("cc-by-nc-sa", " cc by | commons by ", r"(?:the |a )?(?:creative commons|cc) by nc sa(?: [1-4] [05])?"),
     ("cc-by-nc-sa", "creative commons", r"(?:the |a )?creative commons attribution non ?commercial share ?alike(?: [1-4] [05])?(?: international| unported| generic)?"),
-    ("cc-by-nc-nd", "cc by|commons by", r"(?:the |a )?(?:creative commons|cc) by nc nd(?: [1-4] [05])?"),
+    ("cc-by-nc-nd", " cc by | commons by ", r"(?:the |a )?(?:creative commons|cc) by nc nd(?: [1-4] [05])?"),
     ("cc-by-nc-nd", "creative commons", r"(?:the |a )?creative commons attribution non ?commercial no ?deriv(?:ative)?s(?: [1-4] [05])?(?: international| unported| generic)?"),
     ("proprietary", "proprietary", r"(?:a |the )?proprietary(?: software)?(?: license)?"),
 ]
 
-#: name of the wording, priority, keywords, words before and after the licence's name.
+#: name of the wording, priority, keywords (as above; for "named" the licence word may also stand elsewhere in the text:
+#: a bare name such as "Python 2" means a licence only in a text that speaks of one), words before and after the licence's name.
 WORDINGS = [
     ("notice", 5, "is licensed|is released|is distributed|is published|is available|is made available|is free software", r"is (?:free software )?(?:licensed|released|distributed|published|available|made available) under (?:the terms of )?", r"(?: licen[cs]e)?"),
     ("spdx", 5, "spdx", r"spdx license identifier ", r""),
     ("granted", 4, "ed under|available under|ed by|available by", r"(?:licensed|released|distributed|published|available|shared|offered|provided|covered) (?:under|by) (?:the )?(?:terms (?:and conditions )?of )?", r"(?: licen[cs]e)?"),
-    ("under", 3, "under|per|subject to", r"(?:under|per|subject to) (?:the )?(?:terms of )?", r" licen[cs]e"),
+    ("under", 3, " under | per | subject to ", r"(?:under|per|subject to) (?:the )?(?:terms of )?", r" licen[cs]e"),
     ("field", 3, "license|licence", r"licen[cs]e ", r"(?: licen[cs]e)?"),
     ("named", 2, "license|licence", r"", r" licen[cs]e"),
 ]
@@ -103,12 +104,12 @@ FREE = [
     ("public-domain", 3, "domain", r"(?:(?:released|dedicated|placed) (?:in)?to the public domain|(?:this work is )?in the public domain)"),
     ("mit", 5, "hereby", r"permission is hereby granted free of charge to any person obtaining a copy"),
     ("bsd", 5, "redistribution", r"redistribution and use in source and binary forms with or without modification"),
-    ("isc", 5, "hereby", r"permission to use copy modify and or distribute this software for any purpose"),
+    ("isc", 5, "permission to use", r"permission to use copy modify and or distribute this software for any purpose"),
     ("unlicense", 5, "unencumbered", r"this is free and unencumbered software released into the public domain"),
-    ("wtfpl", 5, "fuck", r"everyone is permitted to copy and distribute verbatim or modified copies"),
+    ("wtfpl", 5, "everyone is permitted", r"everyone is permitted to copy and distribute verbatim or modified copies"),
     ("cc0", 4, "waive", r"(?:has )?waived? all copyright and related (?:or|and) neighboring rights"),
     ("gfdl", 5, "invariant", r"with no invariant sections no front cover texts and no back cover texts"),
-    ("zlib", 5, "warrant", r"in no event will the authors be held liable for any damages arising from the use of this software"),
+    ("zlib", 5, "held liable", r"in no event will the authors be held liable for any damages arising from the use of this software"),
     ("boost-1", 5, "boost", r"distributed under the boost software license version 1 0"),
 ]
 

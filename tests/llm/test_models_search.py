@@ -261,3 +261,53 @@ def test_license_prefilter_keeps_what_rules_match(spark):
              "permission is hereby granted. Permission to use copy modify and or distribute this\nsoftware for any purpose", "under the sun we discuss examples"]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     assert {r.doc_id: r.labels for r in licenses.scan(docs).collect()} == {0: "gpl-2", 1: "mpl-2", 2: "isc", 3: ""}
+
+
+# ------------------------------------------------------------------ licence keywords
+def spellings(pattern):
+    """Every string that a pattern without repetition matches."""
+    def of(tokens):
+        out = [""]
+        for op, arg in tokens:
+            op = str(op)
+            if op == "LITERAL":
+                some = [chr(arg)]
+            elif op == "IN":
+                some = [chr(c) for kind, x in arg for c in (range(x[0], x[1] + 1) if str(kind) == "RANGE" else [x])]
+            elif op == "SUBPATTERN":
+                some = of(arg[-1])
+            elif op == "BRANCH":
+                some = [x for branch in arg[1] for x in of(branch)]
+            else:
+                assert op == "MAX_REPEAT" and arg[:2] == (0, 1), op
+                some = ["", *of(arg[2])]
+            out = [a + b for a in out for b in some]
+        return out
+
+    return of(re._parser.parse(pattern))
+
+
+def test_license_keywords_are_in_every_match():
+    for r in licenses.rules():
+        for text in spellings(r["pattern"]):
+            assert any(k in text for k in r["first"]), (r["label"], text)
+            assert any(k in text for k in r["second"]) or r["priority"] == 2, (r["label"], text)  # 2: a bare name
+
+
+def test_license_scan_agrees_without_its_prefilter(spark):
+    rules = licenses.rules()
+    texts = ["This code is under GPL v2.", "Use is subject to the MPL 2.0.", "Licence : MIT", "Released under terms of MIT", "see the Creative Commons License BY 4.0",
+             "permission to use copy modify and or distribute this\nsoftware for any purpose", "der Mann mit dem Hut", "under the sun we discuss examples"]
+    for r in rules:
+        some = spellings(r["pattern"])
+        texts += [("\n" if r["rule"] % 2 else "-").join(x.split()).capitalize() for x in {min(some, key=len), max(some, key=len)}]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {(r.doc_id, r.rule) for r in licenses.detections(docs).select("doc_id", "rule").distinct().collect()}
+    named = {r["rule"] for r in rules if r["second"] == ["license", "licence"]}
+    want = set()
+    for i, t in enumerate(texts):
+        words = "".join(f" {w} " for w in re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", t.translate(AZ)))
+        want |= {(i, r["rule"]) for r in rules if re.search(r["pattern"], words) and (r["rule"] not in named or "license" in words or "licence" in words)}
+    assert got == want
+    labels = {i: {rules[n]["label"] for d, n in got if d == i} for i in range(8)}
+    assert [sorted(labels[i]) for i in range(8)] == [["gpl", "gpl-2"], ["mpl", "mpl-2"], ["mit"], ["mit"], ["cc-by"], ["isc"], [], []]
