@@ -16,7 +16,7 @@ from cyclewise.llm.queries import tokenizer_file
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents in no learned language: without a letter, or without any n-gram that a language has."""
+    """Drops documents in no learned language: without a letter, or with few n-grams that a language has."""
     return langid.drop_unknown(docs, langid.fit(docs))
 
 

@@ -27,6 +27,23 @@ def test_language_id(corpus, corpus_rows, nothing):
     assert {r.lang_pred for r in langid.identify(corpus, langid.fit(nothing)).collect()} == {"und"}
 
 
+def test_foreign_texts_are_dropped_at_any_length(spark):
+    rng = np.random.default_rng(4)
+    word = lambda low, high: "".join(map(chr, rng.integers(low, high, rng.integers(2, 9))))
+    texts = [" ".join(word(0x430, 0x450) for _ in range(n)) for n in (50, 250, 1000, 5000) for _ in range(4)]
+    texts += [" ".join([word(0x5D0, 0x5EB) for _ in range(n)] + ["ana"]) for n in (50, 1000)]  # one known word
+    h = rng.integers(0, 2**64, 12000, dtype=np.uint64)
+    model = langid.LanguageFilter(["en"], np.array([9]), np.zeros(1 << 18, np.uint8), np.zeros(1))
+    low, owner, _ = ngrams.letters(["banana ananas"])
+    for part in (h, *(ngrams.hashes(low, owner, n)[0] for n in langid.SIZES)):
+        for p in model.positions(part):
+            model.slices[p] |= np.uint8(1)
+    model.false_rate[0] = (np.count_nonzero(model.slices) / len(model.slices)) ** langid.HASHES
+    rows = list(enumerate([*texts, "banana", "ananas banana " * 500, "banana " + word(0x430, 0x450)]))
+    kept = langid.drop_unknown(spark.createDataFrame(rows, "doc_id long, text string"), model).collect()
+    assert sorted(r.doc_id for r in kept) == [len(texts), len(texts) + 1, len(texts) + 2]
+
+
 def test_filter_holds_all_grams_and_few_others():
     rng = np.random.default_rng(2)
     h = rng.integers(0, 2**63, 3000, dtype=np.uint64)
