@@ -1,8 +1,8 @@
 """Mixing sources to target weights by Efraimidis-Spirakis sampling.
 
 Every document draws an exponential key scaled by its quality weight.  Complete epochs of a source come
-first; what is left of its target goes to the documents in key order, by a prefix sum of sizes, and one
-closing document fills the last gap.
+first; what is left of its target goes to the documents in key order, by a prefix sum of sizes.  The gap behind
+the prefix goes to the later documents that still fit, in key order, and one closing document takes what is left.
 """
 
 from __future__ import annotations
@@ -18,6 +18,8 @@ WEIGHTS = (5.0, 2.0, 1.0)
 MAX_EPOCHS = 3
 #: Rows of a source that one window of the prefix sum takes on average.
 BUCKET_ROWS = 4096
+#: Parts into which documents of one source and size are dealt before they are ranked.
+SALTS = 64
 
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -79,14 +81,54 @@ def source_targets(spark: SparkSession, sources: DataFrame, weights=WEIGHTS, max
     )
 
 
+def _closings(later: DataFrame) -> DataFrame:
+    """Of each source the one later document that comes nearest to the gap, if it is nearer than none."""
+    miss = F.abs(F.col("size") - F.col("_gap"))
+    return later.filter(miss < F.col("_gap")).groupBy("_src").agg(
+        F.min(F.struct(miss.alias("m"), F.col("key").alias("k"), F.col("doc_id").alias("d"), F.col("size").alias("s"), F.col("_until").alias("u"))).alias("_c")
+    ).select(F.col("_src").alias("_cs"), F.col("_c.u").alias("_cu"))
+
+
+def _refills(later: DataFrame) -> DataFrame:
+    """The later documents that close the gap of each source: all that still fit, in key order, then the nearest one.
+
+    Where the nearest one alone comes nearer, it is that one.  Of the documents of one size no more than fit into
+    the gap, and one, can be taken; only these are gathered, so that a source's list depends on its longest
+    document and not on its rows.
+    """
+    fits = F.col("_rank") <= F.floor(F.col("_gap") / F.col("size")) + 1
+    near = later.filter(F.col("size") < 2 * F.col("_gap")).select("_src", "_gap", "size", "_until", F.pmod(F.xxhash64("_until"), F.lit(SALTS)).alias("_salt"))
+    for keys in (["_src", "size", "_salt"], ["_src", "size"]):  # salted first: many documents may have one size
+        near = near.withColumn("_rank", F.row_number().over(Window.partitionBy(*keys).orderBy("_until"))).filter(fits)
+    listed = near.groupBy("_src").agg(F.max("_gap").alias("_gap"), F.array_sort(F.collect_list(F.struct(F.col("_until").alias("u"), F.col("size").alias("s")))).alias("_l"))
+
+    def step(held, doc):
+        taken = F.struct((held["rest"] - doc["s"]).alias("rest"), F.concat(held["got"], F.array(doc["u"])).alias("got"))
+        return F.when(doc["s"] <= held["rest"], taken).otherwise(held)
+
+    def nearest(gap, docs):
+        some = F.filter(F.transform(docs, lambda d: F.struct(F.abs(d["s"] - gap).alias("m"), d["u"].alias("u"))), lambda d: d["m"] < gap)
+        return F.array_min(some)
+
+    start = F.struct(F.col("_gap").cast("double").alias("rest"), F.array().cast("array<bigint>").alias("got"))
+    filled = listed.withColumn("_f", F.aggregate("_l", start, step)).withColumn("_one", nearest(F.col("_gap"), F.col("_l")))
+    left = F.filter("_l", lambda d: (d["s"] < 2 * F.col("_f.rest")) & ~F.array_contains(F.col("_f.got"), d["u"]))
+    filled = filled.withColumn("_last", nearest(F.col("_f.rest"), left))
+    ends = F.coalesce(F.col("_last.m"), F.col("_f.rest"))
+    many = F.concat(F.col("_f.got"), F.when(F.col("_last").isNull(), F.array().cast("array<bigint>")).otherwise(F.array("_last.u")))
+    picks = F.when(F.col("_one.m") < ends, F.array("_one.u")).otherwise(many)
+    return filled.select(F.col("_src").alias("_cs"), F.explode(picks).alias("_cu"))
+
+
 def mix(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text",
-        weights=WEIGHTS, max_epochs: int = MAX_EPOCHS, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
+        weights=WEIGHTS, max_epochs: int = MAX_EPOCHS, bucket_rows: int = BUCKET_ROWS, refill: bool = True) -> DataFrame:
     """One row per input row: ``doc_id, size, source_size, target, taken, epochs, weight, key``.
 
     ``size`` is the number of words (null text: 0) and ``taken`` the words the mix takes from the document,
     repeats counted: a whole multiple of ``size``, at most ``max_epochs`` times.  Order in a source: key,
     then id, then size; a null id orders first.  Repeated rows are taken or left each for itself.  Empty texts and
-    sources of size 0 take 0.  An empty table gives an empty result.
+    sources of size 0 take 0.  An empty table gives an empty result.  Without ``refill`` the gap behind the prefix
+    gets the closing document only, which leaves up to half the longest document of the source.
     """
     spark = docs.sparkSession
     text = text_of(F.col(text_col))
@@ -120,17 +162,15 @@ def mix(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", tex
     summed = cut_lineage(
         summed.select("doc_id", "_src", "size", "weight", "key", "source_size", "target", "_epochs", "_rest", "_until"), "mix-sums"
     )
-    # the gap that the prefix leaves, and the one later document that comes nearest to it
+    # the gap that the prefix leaves, and the later documents that close it
     prefix = F.col("_until") <= F.col("_rest")
     gaps = summed.groupBy("_src").agg(F.max("_rest").alias("_r"), F.coalesce(F.max(F.when(prefix, F.col("_until"))), F.lit(0)).alias("_p"))
     gaps = gaps.select(F.col("_src").alias("_gs"), (F.col("_r") - F.col("_p")).alias("_gap"))
-    later = summed.filter(~prefix).join(gaps, F.col("_src").eqNullSafe(F.col("_gs")))
-    miss = F.abs(F.col("size") - F.col("_gap"))
-    closing = later.filter(miss < F.col("_gap")).groupBy("_src").agg(
-        F.min(F.struct(miss.alias("m"), F.col("key").alias("k"), F.col("doc_id").alias("d"), F.col("size").alias("s"), F.col("_until").alias("u"))).alias("_c")
-    ).select(F.col("_src").alias("_cs"), F.col("_c.d").alias("_cd"), F.col("_c.u").alias("_cu"))
-    out = summed.join(closing, F.col("_src").eqNullSafe(F.col("_cs")), "left")
-    closes = F.col("_cu").isNotNull() & (F.col("_until") == F.col("_cu")) & F.col("doc_id").eqNullSafe(F.col("_cd")) & (F.col("size") > 0)
+    later = summed.filter(~prefix & (F.col("size") > 0)).join(gaps, F.col("_src").eqNullSafe(F.col("_gs")))
+    closing = (_refills if refill else _closings)(later)
+    # without its empty texts, a source has each prefix sum once
+    out = summed.join(closing, F.col("_src").eqNullSafe(F.col("_cs")) & (F.col("_until") == F.col("_cu")), "left")
+    closes = F.col("_cu").isNotNull() & (F.col("size") > 0)
     epochs = F.col("_epochs") + F.when(prefix | closes, 1).otherwise(0)
     return out.withColumn("epochs", F.when(F.col("size") > 0, epochs).otherwise(F.lit(0)).cast("long")).select(
         "doc_id", "size", "source_size", "target", (F.col("size") * F.col("epochs")).alias("taken"), "epochs", "weight", "key"

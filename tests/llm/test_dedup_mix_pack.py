@@ -116,6 +116,48 @@ def test_mix(corpus, corpus_rows, nothing):
     assert sum(size(r.text) for r in rows.collect()) >= 0.9 * sum(taken.values())
 
 
+def test_mix_fills_the_gap_behind_a_long_document(spark):
+    rng = np.random.default_rng(5)
+    rows = []
+    for s in ("a", "b", "c", None):
+        sizes = [int(n) for n in rng.integers(1, 40, 150)]
+        sizes[20 if s else 60:30 if s else 70] = [900] * 10 if s != "c" else [700, 40, 3000] + [2] * 7
+        rows += [(len(rows) + i, " ".join(["ab"] * n), s) for i, n in enumerate(sizes)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    source = {r[0]: r[2] for r in rows}
+    got, one = mixing.mix(docs, bucket_rows=16).collect(), mixing.mix(docs, bucket_rows=16, refill=False).collect()
+    wide = 0
+    for s in ("a", "b", "c", None):
+        mine = sorted((r for r in got if source[r.doc_id] == s), key=lambda r: (r.key, r.doc_id))
+        size, target = mine[0].source_size, mine[0].target
+        rest = target - target // size * size
+        took, open_, taken = 0, False, set()
+        for r in mine:
+            open_ = open_ or took + r.size > rest
+            if not open_:
+                took += r.size
+                taken.add(r.doc_id)
+        gap, later = rest - took, [r for r in mine if r.doc_id not in taken]
+        single = min((abs(r.size - gap) for r in later), default=gap)
+        left, more = gap, set()
+        for r in later:
+            if r.size <= left:
+                left -= r.size
+                more.add(r.doc_id)
+        last = min(((abs(r.size - left), r.key, r.doc_id) for r in later if r.doc_id not in more), default=(left,))
+        if last[0] < left:
+            more.add(last[2])
+        end = min(left, last[0])
+        miss = abs(sum(r.taken for r in mine) - target)
+        assert abs(miss - min(end, single, gap)) < 1e-6
+        if not single < end:
+            assert {r.doc_id for r in mine if r.epochs > target // size} == taken | more
+        before = abs(sum(r.taken for r in one if source[r.doc_id] == s) - target)
+        assert miss <= before + 1e-6
+        wide += before > 20 and miss <= 2
+    assert wide
+
+
 def test_knapsack_and_plan_against_counts():
     rng = np.random.default_rng(3)
     for case in range(4):
