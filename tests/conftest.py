@@ -1,17 +1,17 @@
-"""Shared fixtures: one local session, small seeded sensor tables (test-only data)."""
+"""Shared fixtures: one local session, small seeded sensor tables."""
 
 from __future__ import annotations
 
 import sys
 from pathlib import Path
 
-import numpy as np
-import pandas as pd
 import pytest
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
+sys.path.insert(0, str(Path(__file__).resolve().parent))
+
+from frames import sensor_frame  # noqa: E402
 
-from cyclewise.config import RAW_COLUMNS  # noqa: E402
 from cyclewise.session import local_session  # noqa: E402
 
 
@@ -21,20 +21,6 @@ def spark():
     yield s
 
 
-def sensor_frame(lengths=(60, 70, 80), seed=42) -> pd.DataFrame:
-    """Engines 1..k with the given lengths; s_i = 500 + 10 i + 0.01 i t + N(0, 1)."""
-    rng = np.random.default_rng(seed)
-    rows = []
-    for u, n in enumerate(lengths, start=1):
-        for t in range(1, n + 1):
-            r = {"unit_number": u, "time_cycles": t, "setting_1": rng.uniform(-0.01, 0.01),
-                 "setting_2": rng.uniform(-0.01, 0.01), "setting_3": 100.0}
-            for i in range(1, 22):
-                r[f"s_{i}"] = 500 + 10 * i + 0.01 * i * t + rng.normal()
-            rows.append(r)
-    return pd.DataFrame(rows)[RAW_COLUMNS]
-
-
 @pytest.fixture(scope="session")
 def sensors_pd():
     return sensor_frame()
@@ -43,18 +29,3 @@ def sensors_pd():
 @pytest.fixture(scope="session")
 def sensors(spark, sensors_pd):
     return spark.createDataFrame(sensors_pd).repartition(3)
-
-
-def plausible_frame(n_engines=2, n_cycles=25, seed=42) -> pd.DataFrame:
-    """Readings inside the plausible sensor ranges (gate fixtures)."""
-    from cyclewise.config import SENSOR_BOUNDS
-
-    rng = np.random.default_rng(seed)
-    rows = []
-    for u in range(1, n_engines + 1):
-        for t in range(1, n_cycles + 1):
-            r = {"unit_number": u, "time_cycles": t, "setting_1": 0.0, "setting_2": 0.0, "setting_3": 100.0}
-            for s, (lo, hi) in SENSOR_BOUNDS.items():
-                r[s] = float(rng.uniform(lo, hi))
-            rows.append(r)
-    return pd.DataFrame(rows)[RAW_COLUMNS]

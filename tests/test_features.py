@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from cyclewise.operators import features as fe
 
-from conftest import sensor_frame
+from frames import sensor_frame
 
 CFG = {"rul_cap": 125, "drop_sensors": [1, 5, 10, 16, 18, 19], "rolling_window_sizes": [5, 10], "lag_steps": [1, 3]}
 

@@ -11,7 +11,7 @@ from cyclewise.operators import scoring as sc
 from cyclewise.session import scratch_path
 from cyclewise.streaming import streams
 
-from conftest import plausible_frame, sensor_frame
+from frames import plausible_frame, sensor_frame
 
 
 def _rows(df, order):
