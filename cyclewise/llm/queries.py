@@ -1,4 +1,4 @@
-"""The ten text queries (opN_<name>) and the pipeline, with their DuckDB oracles where SQL can express them."""
+"""The text queries (opN_<name>) and the pipeline, with their DuckDB oracles where SQL can express them."""
 
 from __future__ import annotations
 
@@ -8,7 +8,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cyclewise.llm import exact_dedup, html_text, langid, licenses, mixing, packing, rpforest, setsketch, toxicity, wavelet
+from cyclewise.llm import (
+    conversation_trie,
+    exact_dedup,
+    html_text,
+    langid,
+    licenses,
+    mixing,
+    packing,
+    periodic,
+    quality,
+    rpforest,
+    setsketch,
+    toxicity,
+    wavelet,
+)
 from cyclewise.llm.common import table
 
 #: Folder of the tokenizer files; the public_tokenizers package's own unless the environment names another.
@@ -68,6 +82,18 @@ def op10_nearest_vectors(spark: SparkSession, sf: str) -> DataFrame:
     return rpforest.search(table(spark, sf, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
 
 
+def op11_prefix_trie(spark: SparkSession, sf: str) -> DataFrame:
+    return conversation_trie.prefix_trie(table(spark, sf, "conversations"))
+
+
+def op12_quality(spark: SparkSession, sf: str) -> DataFrame:
+    return quality.learn_and_score(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf: str) -> DataFrame:
+    return periodic.run_digest(table(spark, sf, "documents"), periodic.planted)
+
+
 QUERIES: dict[str, QueryFn] = {
     "op1_near_dedup": op1_near_dedup,
     "op2_mix_sources": op2_mix_sources,
@@ -79,9 +105,39 @@ QUERIES: dict[str, QueryFn] = {
     "op8_license_scan": op8_license_scan,
     "op9_language_id": op9_language_id,
     "op10_nearest_vectors": op10_nearest_vectors,
+    "op11_prefix_trie": op11_prefix_trie,
+    "op12_quality": op12_quality,
+    "op13_periodic_runs": op13_periodic_runs,
 }
 
 ORACLES: dict[str, str] = {
+    "op11_prefix_trie": r"""
+WITH t0 AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL),
+t1 AS (SELECT conv_id, turn, sha256(octet_length(encode(role)) || ':' || role || text) AS k, octet_length(encode(text)) AS bytes FROM t0),
+t AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, k) AS pos FROM t1),
+ids AS (SELECT DISTINCT conv_id FROM t),
+c AS (  -- crc32 of the decimal id, bit by bit
+  SELECT conv_id, conv_id - conv_id % 5 AS head,
+         xor(list_reduce(list_concat([4294967295::BIGINT], list_transform(string_split(conv_id::VARCHAR, ''), lambda x: ascii(x)::BIGINT)),
+             lambda a, b: list_reduce([xor(a, b), 0::BIGINT, 0, 0, 0, 0, 0, 0, 0], lambda y, z: xor(y >> 1, (y & 1) * 3988292384::BIGINT))), 4294967295::BIGINT) % 9 AS h
+  FROM ids),
+r AS (
+  SELECT c.conv_id, 1 AS own, t.pos, t.k, t.bytes FROM c JOIN t ON t.conv_id = c.conv_id WHERE t.pos > c.h
+  UNION ALL SELECT c.conv_id, 0, t.pos, t.k, t.bytes FROM c JOIN t ON t.conv_id = c.head WHERE t.pos <= c.h),
+q AS (SELECT c.conv_id, coalesce(list(r.k ORDER BY own, pos) FILTER (r.k IS NOT NULL), []) AS ks,
+             coalesce(list(r.bytes ORDER BY own, pos) FILTER (r.k IS NOT NULL), []) AS bs FROM c LEFT JOIN r ON r.conv_id = c.conv_id GROUP BY c.conv_id),
+p AS (SELECT conv_id, ks, bs, unnest(range(0, len(ks) + 1)) AS d FROM q),
+n AS (
+  SELECT ks[1:d] AS node, d, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(CASE WHEN d > 0 THEN bs[d] ELSE 0 END) AS bytes,
+         sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (len(ks) = d), '')) AS ends_sha256
+  FROM p GROUP BY ks[1:d], d),
+k AS (SELECT node[1:d - 1] AS parent, count(*) AS n_children FROM n WHERE d > 0 GROUP BY 1),
+m AS (SELECT n.*, coalesce(k.n_children, 0) AS n_children FROM n LEFT JOIN k ON k.parent = n.node),
+up AS (SELECT node, n_children, (n_convs - 1) * bytes AS saved, unnest(range(0, d + 1)) AS j FROM m),
+s AS (SELECT node[1:j] AS top, sum((n_children = 0)::INT) AS n_leaves, sum(saved) AS saved_tokens FROM up GROUP BY 1)
+SELECT m.conv_id, m.d AS depth, a.conv_id AS parent_conv_id, m.n_convs, m.n_children, s.n_leaves::BIGINT AS n_leaves,
+       s.saved_tokens::BIGINT AS saved_tokens, m.ends_sha256
+FROM m JOIN s ON s.top = m.node LEFT JOIN n a ON m.d > 0 AND a.node = m.node[1:m.d - 1]""",
     "op5_exact_dedup": """
 WITH t AS (SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS x FROM documents)
 SELECT doc_id, max(doc_id) OVER (PARTITION BY x) AS keep_id, count(*) OVER (PARTITION BY x) AS group_size,
