@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from cyclewise.llm.common import bound_batches, crc_fold, cut_lineage, passes
 
 #: Labelled documents that vocabulary and network are fitted on, at most, in the order of a hash of their ids.
-SAMPLE_DOCS = 20_000
+SAMPLE_DOCS = 10_000
 #: Share of the sampled documents that a word of the vocabulary is in.
 MIN_SHARE = 0.01
 #: Length of index and context vectors, and how many entries of an index vector are not 0.
@@ -142,29 +142,38 @@ def word_vectors(words: list[str], sums: np.ndarray) -> np.ndarray:
     return np.hstack([unit(index), unit(sums)])
 
 
-def pool(docs: DataFrame, words: list[str], vectors: np.ndarray) -> DataFrame:
-    """``doc_id, held, pooled``: the mean of the words' vectors and the logarithm of their number."""
+#: Places of the table (documents x vocabulary) that is counted at once.
+COUNTED = 1 << 21
+
+
+def pooled(texts: list[str], reader: Reader, vectors: np.ndarray) -> np.ndarray:
+    """For each text the mean of its words' vectors, and the logarithm of their number."""
+    numbers, owner = reader.read(texts)
+    real = numbers >= 0
+    numbers, owner = numbers[real], owner[real]
+    size, block = len(reader.words), max(1, COUNTED // len(reader.words))
+    out = np.zeros((len(texts), vectors.shape[1] + 1), np.float32)
+    for lo in range(0, len(texts), block):
+        hi = min(lo + block, len(texts))
+        a, b = np.searchsorted(owner, (lo, hi))
+        counts = np.bincount((owner[a:b] - lo) * size + numbers[a:b], minlength=(hi - lo) * size).reshape(hi - lo, size)
+        total = counts.sum(axis=1)
+        out[lo:hi, :-1] = counts @ vectors / np.maximum(total, 1)[:, None]
+        out[lo:hi, -1] = np.log1p(total)
+    return out
+
+
+def on_pooled(docs: DataFrame, words: list[str], vectors: np.ndarray, make, schema: str) -> DataFrame:
+    """``doc_id`` and the columns that ``make`` gives for the pooled vectors of a batch of texts."""
     sent = docs.sparkSession.sparkContext.broadcast((words, vectors))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         names, table = sent.value
         reader = Reader(names)
         for pdf in passes(batches, "text"):
-            numbers, owner = reader.read(pdf["text"].tolist())
-            real = numbers >= 0
-            counts = np.bincount(owner[real], minlength=len(pdf))
-            # one row per (text, word): few words make up most of a text
-            pair, times = np.unique(owner[real] * len(names) + numbers[real], return_counts=True)
-            who, word = pair // len(names), pair % len(names)
-            sums = np.zeros((len(pdf), table.shape[1]))
-            first = np.flatnonzero(np.r_[True, who[1:] != who[:-1]]) if len(who) else who
-            if len(who):
-                sums[who[first]] = np.add.reduceat(table[word] * times[:, None], first, axis=0)
-            mean = sums / np.maximum(counts, 1)[:, None]
-            out = np.hstack([mean, np.log1p(counts)[:, None]]).astype(np.float32)
-            yield pd.DataFrame({"doc_id": pdf["doc_id"], "pooled": pd.Series(list(out), dtype=object)})
-
-    return docs.select("doc_id", "text").mapInPandas(run, "doc_id string, pooled array<float>")
+            yield pd.DataFrame({"doc_id": pdf["doc_id"], **make(pooled(pdf["text"].tolist(), reader, table))})
+
+    return docs.select("doc_id", "text").mapInPandas(run, f"doc_id string, {schema}")
 
 
 @dataclass
@@ -244,35 +253,30 @@ def temperature(logits: np.ndarray, y: np.ndarray) -> float:
 def learn_and_score(docs: DataFrame, labels: DataFrame, held_out_fold: int = 2, folds: int = 4, threshold: float = 0.7) -> DataFrame:
     """One row per input row: ``doc_id, held_out, score, predicted``.
 
-    Learns from labels outside one crc32 fold of the ids, from ``SAMPLE_DOCS`` rows at most; word vectors are of all
-    documents.  Null texts count as empty; texts without tokens have the score of an empty one.  Repeated rows are
+    Learns from labels outside one crc32 fold of the ids, from ``SAMPLE_DOCS`` documents at most; word vectors are of
+    all documents.  Null texts count as empty; texts without tokens have the score of an empty one.  Repeated rows are
     scored each; labels that are null, or of no document, are left out; a null id is in the fold of the empty text.
     """
     spark = docs.sparkSession
     bound_batches(spark)
     rows = docs.select(F.col("doc_id").cast("string").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    order = F.xxhash64("doc_id")
     known = labels.filter((crc_fold(F.col("doc_id"), folds) != held_out_fold) & F.col("quality").isNotNull())
     known = known.select(F.col("doc_id").cast("string").alias("_id"), F.col("quality").cast("int").alias("label"))
     ids = known.filter(F.col("_id").isNotNull()).groupBy("_id").agg(F.max("label").alias("label"))
     ids = cut_lineage(ids.orderBy(F.xxhash64("_id"), "_id").limit(SAMPLE_DOCS), "quality-ids")
-    chosen = rows.join(ids, F.col("doc_id") == F.col("_id"))
-    sample = cut_lineage(chosen.orderBy(order, "doc_id", F.xxhash64("text")).limit(SAMPLE_DOCS).select("doc_id", "text", "label"), "quality-sample")
+    # one text of an id: that with the smallest hash, where ids are taken twice
+    sample = rows.join(ids, F.col("doc_id") == F.col("_id")).groupBy("doc_id").agg(
+        F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text"), F.first("label").alias("label"))
+    sample = cut_lineage(sample.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "doc_id"), "quality-sample")
     words = vocabulary(sample, sample.count())
     vectors = word_vectors(words, context_sums(rows, words))
-    fitted = pool(sample, words, vectors).join(ids, F.col("doc_id") == F.col("_id")).select("doc_id", "pooled", "label").toPandas()
-    fitted["order"] = [(xxhash.xxh64_intdigest(d), np.asarray(p, np.float32).tobytes()) for d, p in zip(fitted["doc_id"], fitted["pooled"], strict=True)]
-    fitted = fitted.sort_values("order")
-    dim = 2 * DIM + 1
-    net = train(np.array(fitted["pooled"].tolist(), float).reshape(-1, dim), fitted["label"].to_numpy(float))
+    fitted = on_pooled(sample, words, vectors, lambda x: {"x": pd.Series(list(x), dtype=object)}, "x array<float>")
+    fitted = fitted.join(ids, F.col("doc_id") == F.col("_id")).select("doc_id", "x", "label").toPandas()
+    # in the order of a hash, so that the last part is as good as drawn
+    fitted = fitted.sort_values("doc_id", key=lambda c: [(xxhash.xxh64_intdigest(d), d) for d in c]) if len(fitted) else fitted
+    net = train(np.array(fitted["x"].tolist(), float).reshape(-1, 2 * DIM + 1), fitted["label"].to_numpy(float))
     sent = spark.sparkContext.broadcast(net)
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            x = np.array(pdf["pooled"].tolist(), float).reshape(-1, dim)
-            yield pd.DataFrame({"doc_id": pdf["doc_id"], "score": sent.value.score(x)})
-
-    scored = pool(rows, words, vectors).mapInPandas(run, "doc_id string, score double")
+    scored = on_pooled(rows, words, vectors, lambda x: {"score": sent.value.score(x.astype(float))}, "score double")
     return scored.select(
         F.col("doc_id").cast(docs.schema["doc_id"].dataType).alias("doc_id"), (crc_fold(F.col("doc_id"), folds) == held_out_fold).alias("held_out"),
         "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
