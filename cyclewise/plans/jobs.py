@@ -7,7 +7,6 @@ read it, and a lost executor must not recompute the window pass.
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -24,26 +23,20 @@ from cyclewise.session import cut_lineage, scratch_path
 from cyclewise.sources import files, text
 
 
-def spark_rows(df: DataFrame) -> DataFrame:
-    """A small result materialised as literal rows (so the inputs it came from can be released)."""
-    rows = df.collect()
-    return df.sparkSession.createDataFrame(rows, df.schema)
-
-
 def fit_model(feats: DataFrame, columns: list[str], model_cfg: dict):
-    if model_cfg.get("type", "gbt") == "ridge":
-        return md.ridge_fit(feats, columns, TARGET, float(model_cfg.get("ridge", {}).get("alpha", 1.0)))
-    return md.gbt_fit(feats, columns, TARGET, model_cfg.get("gbt", {}))
+    return md.fit_folds(feats, columns, model_cfg)[None]
 
 
 def train_evaluate(raw_train: DataFrame, raw_test: DataFrame, truth: DataFrame, feature_cfg: dict | None = None,
-                   model_cfg: dict | None = None, folds: int | None = None):
+                   model_cfg: dict | None = None, folds: int | None = None, model_columns: list[str] | None = None):
     """Gate -> featurize -> feature gate -> fit -> train / CV / hold-out metrics.
 
-    A table given as ``None`` is a failed dataset and stops the run at the gate.
+    A table given as ``None`` is a failed dataset and stops the run at the gate.  The final model and the fold models
+    are fitted together and score the feature table in one pass.  ``model_columns`` restricts the features that the
+    model reads.
 
-    Returns ``(metrics_row, model, state)``; ``metrics_row`` is one row with
-    the train, CV and test metric sets.
+    Returns ``(metrics_row, model, state)``; ``metrics_row`` is one row with the train, CV and test metric sets and
+    the feature gate's warnings.
     """
     model_cfg = {**MODEL_DEFAULTS, **(model_cfg or {})}
     folds = folds or TRAINING_DEFAULTS["cv_folds"]
@@ -58,20 +51,17 @@ def train_evaluate(raw_train: DataFrame, raw_test: DataFrame, truth: DataFrame,
     bad = va.feature_quality(feats, int(state.config["rul_cap"])).count()
     if bad:
         raise ValueError(f"feature gate failed: {bad} checks")
-    cols = state.feature_columns
-    # the final fit, its training metrics and the k fold fits all read one
-    # assembled, persisted copy of the feature table (memory, spilling to disk)
-    fold_tbl = md.group_kfold(feats, folds)
-    vec = md.assemble(md.with_folds(feats, fold_tbl), cols).select(UNIT, "fold", F.col(TARGET).cast("double").alias(TARGET), "features")
-    vec = vec.persist(StorageLevel.MEMORY_AND_DISK)
-    model = fit_model(vec, cols, model_cfg)
-    train_m = spark_rows(mt.regression_metrics(md.predict(model, vec, cols), TARGET, "predicted", "train_").select(
-        "train_rmse", "train_mae", "train_r2", "train_asymmetric_score"))
-    oof = md.cv_predictions(vec, cols, lambda d, c, y: fit_model(d, c, model_cfg), TARGET, folds)
-    cv = spark_rows(md.cv_rmse(oof).select("cv_rmse_mean", "cv_rmse_std"))
-    vec.unpersist()
-    test_m = md.last_cycle_eval(fe.last_row_features(raw_test, state), model, cols, truth)
-    return combine_rows(train_m, cv, test_m), model, state
+    cols = model_columns or state.feature_columns
+    rows = md.with_folds(feats.select(UNIT, CYCLE, TARGET, *cols), md.group_kfold(feats, folds))
+    models = md.fit_folds(rows, cols, model_cfg, TARGET, fold="fold")
+    scored = md.predict_folds(models, rows, "predicted", oof="oof")
+    scored = cut_lineage(scored.select("fold", TARGET, "predicted", "oof"), "train-scores")
+    train_m = mt.regression_metrics(scored, TARGET, "predicted", "train_").select(
+        "train_rmse", "train_mae", "train_r2", "train_asymmetric_score")
+    cv = md.cv_rmse(scored, TARGET, "oof").select("cv_rmse_mean", "cv_rmse_std")
+    test_m = md.last_cycle_eval(fe.last_row_features(raw_test, state), models[None], cols, truth)
+    warn = F.array(*[F.lit(w) for w in va.feature_warnings(feats)]).cast("array<string>")
+    return combine_rows(train_m, cv, test_m).withColumn("warnings", warn), models[None], state
 
 
 def monitor(feats: DataFrame, model, columns: list[str], sensor_cols: list[str], cfg: dict | None = None,

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from cyclewise.config import CYCLE, ERROR_HIST_BINS, RUL_HIST_BINS, TARGET, UNIT
+from cyclewise.operators import boosting
 from cyclewise.operators import features as fe
 from cyclewise.operators import metrics as mt
 from cyclewise.operators import model as md
@@ -232,9 +233,18 @@ def q_group_kfold(spark, sf):
     return md.group_kfold(train_split(fleet_lineitem(spark, sf)), FOLDS)
 
 
+# one engine after the other, by the greedy rule itself
 SQL_GROUP_FOLDS = f"""
-SELECT unit_number, n_rows, CAST((row_number() OVER (ORDER BY n_rows DESC, unit_number) - 1) % {FOLDS} AS INTEGER) AS fold
-FROM (SELECT unit_number, count(*) AS n_rows FROM li_train GROUP BY unit_number)"""
+WITH RECURSIVE eng AS (
+  SELECT unit_number, n_rows, row_number() OVER (ORDER BY n_rows DESC, unit_number) AS i
+  FROM (SELECT unit_number, count(*) AS n_rows FROM li_train GROUP BY unit_number)),
+deal AS (
+  SELECT 0::BIGINT AS i, 0::BIGINT AS fold, {[0] * FOLDS}::BIGINT[] AS loads
+  UNION ALL
+  SELECT e.i, list_position(loads, list_min(loads)) - 1,
+         list_transform(loads, lambda x, j: CASE WHEN j = list_position(loads, list_min(loads)) THEN x + e.n_rows ELSE x END)
+  FROM deal d JOIN eng e ON e.i = d.i + 1)
+SELECT eng.unit_number, eng.n_rows, CAST(deal.fold AS INTEGER) AS fold FROM eng JOIN deal USING (i)"""
 
 
 @oracle("group_kfold")
@@ -248,9 +258,9 @@ def q_cv_rmse(spark, sf):
     """Group folds, one-feature ridge per fold, out-of-fold RMSE mean and std."""
     feats, _ = fitted(spark, sf)
     folds = md.group_kfold(train_split(fleet_lineitem(spark, sf)), FOLDS)
-    # the window pass runs once; the folds read the two columns that they need
+    # the window pass runs once; the sums and the scores read the columns that they need
     data = cut_lineage(md.with_folds(feats.select(UNIT, CYCLE, RIDGE_FEATURE, TARGET), folds), "cv-data")
-    oof = md.cv_predictions(data, [RIDGE_FEATURE], lambda d, f, y: md.ridge_fit(d, f, y, 1.0), TARGET, FOLDS)
+    oof = md.cv_predictions(data, [RIDGE_FEATURE], {"type": "ridge", "ridge": {"alpha": 1.0}})
     return rnd(md.cv_rmse(oof), 4)
 
 
@@ -272,18 +282,15 @@ SELECT avg(rmse) AS cv_rmse_mean, stddev_pop(rmse) AS cv_rmse_std, count(*) AS n
 
 
 # ---------------------------------------------------------------- L1 / L6 / L7 / K1 (rows-only)
-GBT_QUERY_PARAMS = {"n_estimators": 10, "max_depth": 4}
-
-
 def _gbt(spark, sf):
     feats, state = fitted(spark, sf)
     feats = cut_lineage(fe.feature_matrix(feats, state), "gbt-features")
-    model = md.gbt_fit(feats, state.feature_columns, TARGET, GBT_QUERY_PARAMS)
-    return model, state
+    return md.gbt_fit(feats, state.feature_columns), state
 
 
 @query("gbt_train_predict")
 def q_gbt(spark, sf):
+    """200 trees of depth 6; scores of the hold-out engines' last rows."""
     model, state = _gbt(spark, sf)
     hold, _ = holdout_split(fleet_lineitem(spark, sf))
     last = fe.last_row_features(hold, state)
@@ -292,5 +299,60 @@ def q_gbt(spark, sf):
 
 @query("feature_importance_topk")
 def q_importance(spark, sf):
+    """Top features of the 200 trees by mean split gain."""
     model, state = _gbt(spark, sf)
     return md.importance_topk(spark, model, state.feature_columns)
+
+
+# a linear model has the same report with an oracle: two features, ranked by absolute coefficient
+TWO_FEATURES = ["s_3_roll_mean_5", "s_2_roll_max_20"]
+
+
+@query("linear_importance_topk")
+def q_linear_importance(spark, sf):
+    feats, _ = fitted(spark, sf)
+    model = md.ridge_fit(feats, TWO_FEATURES, TARGET, alpha=1.0)
+    return rnd(md.importance_topk(spark, model, TWO_FEATURES), 4)
+
+
+@oracle("linear_importance_topk")
+def o_linear_importance():
+    sql, _ = sql_fitted_features()
+    a, b = TWO_FEATURES
+    body = f"""
+WITH d AS (SELECT {a} AS a, {b} AS b, CAST(rul AS DOUBLE) AS y FROM ({sql})),
+m AS (SELECT avg(a) AS ma, avg(b) AS mb, avg(y) AS my FROM d),
+s AS (SELECT sum((a - ma) * (a - ma)) + 1.0 AS aa, sum((b - mb) * (b - mb)) + 1.0 AS bb, sum((a - ma) * (b - mb)) AS ab,
+             sum((a - ma) * (y - my)) AS ay, sum((b - mb) * (y - my)) AS yb FROM d, m),
+w AS (SELECT '{a}' AS feature, abs((ay * bb - yb * ab) / (aa * bb - ab * ab)) AS importance FROM s
+      UNION ALL SELECT '{b}', abs((yb * aa - ay * ab) / (aa * bb - ab * ab)) FROM s)
+SELECT feature, importance, CAST(row_number() OVER (ORDER BY importance DESC, feature) AS INTEGER) AS rank FROM w"""
+    return with_views(["li_train"], sql_round(body, ["importance"], 4))
+
+
+# stump: one tree of one split over one feature of few values, against the best split by SQL
+@query("gbt_stump")
+def q_stump(spark, sf):
+    """The first split of boosted trees on two sensors of few distinct values: feature, limit, gain and both leaves."""
+    train = fe.rul_label(train_split(fleet_lineitem(spark, sf)), 125)
+    model = boosting.fit_distributed(train, ["s_2", "s_4"], TARGET, {
+        "n_estimators": 1, "max_depth": 1, "learning_rate": 1.0, "subsample": 1.0, "colsample_bytree": 1.0})
+    tree = model.trees[0]
+    k = int(tree.feature[0])
+    row = (model.features[k], float(model.limits[k][tree.limit[0]]), float(tree.gain[0]), float(model.start + tree.value[1]), float(model.start + tree.value[2]))
+    return rnd(spark.createDataFrame([row], "feature string, split double, gain double, left_value double, right_value double"), 3)
+
+
+@oracle("gbt_stump")
+def o_stump():
+    body = """
+WITH d AS (SELECT *, CAST(least(max(time_cycles) OVER (PARTITION BY unit_number) - time_cycles, 125) AS DOUBLE) AS y FROM li_train),
+t AS (SELECT avg(y) AS my, count(*) AS n FROM d),
+x AS (SELECT 's_2' AS feature, s_2 AS v, y FROM d UNION ALL SELECT 's_4', s_4, y FROM d),
+c AS (SELECT feature, v, count(*) AS n, sum(my - y) AS g FROM x, t GROUP BY feature, v),
+l AS (SELECT feature, v AS split, sum(n) OVER w AS ln, sum(g) OVER w AS lg, sum(n) OVER (PARTITION BY feature) AS tn,
+             sum(g) OVER (PARTITION BY feature) AS tg FROM c WINDOW w AS (PARTITION BY feature ORDER BY v)),
+b AS (SELECT *, lg * lg / (ln + 1) + (tg - lg) * (tg - lg) / (tn - ln + 1) - tg * tg / (tn + 1) AS gain FROM l WHERE ln < tn)
+SELECT feature, split, gain, my - lg / (ln + 1) AS left_value, my - (tg - lg) / (tn - ln + 1) AS right_value
+FROM b, t ORDER BY gain DESC, feature, split LIMIT 1"""
+    return with_views(["li_train"], sql_round(body, ["split", "gain", "left_value", "right_value"], 3))
