@@ -47,7 +47,7 @@ def train_evaluate(raw_train: DataFrame, raw_test: DataFrame, truth: DataFrame,
         va.gate_report("test", "RawSensorSchema", raw_test),
     ]))
     feats, state = fe.fit_transform(raw_train, feature_cfg)
-    feats = cut_lineage(fe.feature_matrix(feats, state))
+    feats = fe.feature_matrix(feats, state)
     bad = va.feature_quality(feats, int(state.config["rul_cap"])).count()
     if bad:
         raise ValueError(f"feature gate failed: {bad} checks")

@@ -249,7 +249,7 @@ SELECT eng.unit_number, eng.n_rows, CAST(deal.fold AS INTEGER) AS fold FROM eng
 
 @oracle("group_kfold")
 def o_group_kfold():
-    return with_views(["li_train"], SQL_GROUP_FOLDS)
+    return with_views(["li_train"], f"SELECT * FROM ({SQL_GROUP_FOLDS})")
 
 
 # ---------------------------------------------------------------- L3 / A7
@@ -284,7 +284,7 @@ SELECT avg(rmse) AS cv_rmse_mean, stddev_pop(rmse) AS cv_rmse_std, count(*) AS n
 # ---------------------------------------------------------------- L1 / L6 / L7 / K1 (rows-only)
 def _gbt(spark, sf):
     feats, state = fitted(spark, sf)
-    feats = cut_lineage(fe.feature_matrix(feats, state), "gbt-features")
+    feats = fe.feature_matrix(feats, state)
     return md.gbt_fit(feats, state.feature_columns), state
 
 

@@ -149,3 +149,38 @@ def test_features_depend_on_own_rows_only(spark):
                 assert got[f"s_2_lag_{k}"].fillna(-1).tolist() == want.fillna(-1).tolist(), (unit, k, rows)
     filled = fe.window_features(everyone, ["s_2"], [3], [1, 3]).filter(F.col("s_2_lag_1").isNull()).count()
     assert filled == 0
+
+
+def test_windows_far_from_zero_and_odd_sizes(spark):
+    pdf = sensor_frame((40, 1, 25, 2))
+    pdf["s_2"] = 1e9 + pdf["s_2"]
+    pdf.loc[pdf.index % 6 == 2, "s_3"] = np.nan
+    pdf.loc[pdf["unit_number"] == 2, "s_3"] = np.nan
+    sens, windows = ["s_2", "s_3"], [1, 2, 6, 7, 13, 20]
+    df = spark.createDataFrame(pdf).withColumn("s_3", fe.nan_to_null("s_3")).withColumn("note", F.lit("x")).repartition(5)
+    for seg in (fe.DEFAULT_SEGMENT_ROWS, 11):
+        got = fe.window_features(df, sens, windows, [2], segment_rows=seg, lag_fill=False).toPandas()
+        got = got.sort_values(["unit_number", "time_cycles"]).reset_index(drop=True)
+        want = _pandas_windows(pdf, sens, windows, [2])
+        exact = pdf.assign(s_2=pdf["s_2"] - 1e9)
+        near = _pandas_windows(exact, ["s_2"], windows, [])
+        for c in want.columns:
+            if "_lag_" in c:
+                continue
+            scale = near[c] if c in near and "std" in c else want[c]
+            np.testing.assert_allclose(got[c].to_numpy(dtype=float), scale.to_numpy(dtype=float), rtol=1e-6 if "std" in c else 1e-9, atol=1e-6, err_msg=c)
+        assert set(got["note"]) == {"x"} and len(got) == len(pdf)
+
+
+def test_windows_carry_beyond_segments(spark):
+    """A reading that is missing to the end of its segment takes the next known one, segments away."""
+    rows = [(1, t, None if 5 <= t <= 40 else float(t)) for t in range(1, 61)]
+    df = spark.createDataFrame(rows, "unit_number int, time_cycles int, s_2 double").repartition(4)
+    whole, cut = ({r.time_cycles: r.s_2_lag_3 for r in fe.window_features(df, ["s_2"], [5], [3], segment_rows=s, lag_fill=False).collect()} for s in (1000, 7))
+    assert whole == cut
+    assert cut[10] == 41.0 and cut[60] == 57.0 and cut[1] == 1.0
+
+
+def test_windows_of_an_empty_table(spark):
+    df = spark.createDataFrame([], "unit_number int, time_cycles int, s_2 double")
+    assert fe.window_features(df, ["s_2"], [5], [1]).count() == 0
