@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from cyclewise.config import MONITORING_DEFAULTS, PERTURB_DEFAULTS
 from cyclewise.operators.ordering import running_totals
+from cyclewise.session import cut_lineage
 
 REF, CUR = "reference", "current"
 
@@ -47,7 +48,7 @@ def value_counts(stacked: DataFrame, part: list[str] | None = None) -> DataFrame
     )
 
 
-def _ks_pvalue(d: Column, n: Column, m: Column) -> Column:
+def ks_pvalue(d: Column, n: Column, m: Column) -> Column:
     """Asymptotic two-sample KS p-value with Stephens' small-sample correction; 1 when λ < 0.2."""
     # an empty side has no test: try_divide yields NULL instead of an ANSI error
     en = F.sqrt(F.try_divide(n * m, n + m))
@@ -100,7 +101,7 @@ def feature_stats(counts: DataFrame, part: list[str] | None = None) -> DataFrame
         F.col("n_cur").cast("long").alias("n_cur"),
         F.col("n_unique_ref").cast("long").alias("n_unique_ref"),
         "ks_d",
-        _ks_pvalue(F.col("ks_d"), F.col("n_ref").cast("double"), F.col("n_cur").cast("double")).alias("ks_p"),
+        ks_pvalue(F.col("ks_d"), F.col("n_ref").cast("double"), F.col("n_cur").cast("double")).alias("ks_p"),
         (F.col("wasserstein") / F.greatest(std_pop, F.lit(0.001))).alias("wasserstein_norm"),
         F.sqrt(F.greatest(F.col("_js2") / 2, F.lit(0.0))).alias("jensenshannon"),
     )
@@ -267,39 +268,44 @@ def perturb(df: DataFrame, cols: list[str], keys: list[str], noise_factor: float
 
 
 # ------------------------------------------------------------------ impact (M11, A8)
-def exact_rank_value(df: DataFrame, col: str, k: int, buckets: int = 1024) -> float | None:
-    """The ``k``-th smallest (1-based) value of ``col``, exactly, without one task holding the column.
+#: Relative accuracy of the quantiles that bracket a rank.
+RANK_ACCURACY = 10_000
 
-    ``percentile_approx`` names values of the column as bounds.  A bound and the open range below it are
-    ranges of their own; counts tell which range holds rank ``k``.  If it is a bound, that is the answer; else the range,
-    which has fewer values as its bounds are outside, is narrowed again.  One plan for any size and any
-    repetition.
+
+def exact_ranks(df: DataFrame, col: str, ranks: list[int]) -> dict[int, float | None]:
+    """The values of the given ranks (1-based, ascending), exactly, without one task holding the column.
+
+    Two approximate quantiles bracket all ranks; one aggregate counts the rows below, at, between and above them.  A
+    rank on a bracket is answered; the others go on in the open region that holds them, which is a few
+    ten-thousandths of the rows as a rule and always smaller, as its brackets are left out.
     """
     x = df.select(F.col(col).cast("double").alias("v")).filter(F.col("v").isNotNull())
-    probs = [i / buckets for i in range(buckets + 1)]
-    while True:
-        bounds = x.agg(F.percentile_approx("v", probs, 10 * buckets).alias("b")).first()["b"]
-        if not bounds or k < 1:
-            return None
-        bounds = sorted(set(bounds))
-        below = F.size(F.filter(F.array(*[F.lit(float(b)) for b in bounds]), lambda b: b < F.col("v")))
-        ranges = x.groupBy(below.alias("_i"), F.col("v").isin([float(b) for b in bounds]).alias("_at")).agg(F.count(F.lit(1)).alias("n"))
-        counts = {(r["_i"], r["_at"]): r["n"] for r in ranges.collect()}  # at most two per bound
-        for i in range(len(bounds) + 1):
-            inside = counts.get((i, False), 0)
-            if k <= inside:
-                if i > 0:
-                    x = x.filter(F.col("v") > F.lit(float(bounds[i - 1])))
-                if i < len(bounds):
-                    x = x.filter(F.col("v") < F.lit(float(bounds[i])))
-                break
-            k -= inside
-            if i < len(bounds):
-                if k <= counts.get((i, True), 0):
-                    return float(bounds[i])
-                k -= counts.get((i, True), 0)
-        else:
-            return None
+    n = x.count()
+    out: dict[int, float | None] = {k: None for k in ranks if not 1 <= k <= n}
+    todo = [(x, n, 0, sorted({k for k in ranks if 1 <= k <= n}))]  # rows, how many, how many below them, ranks
+    while todo:
+        x, n, skip, wanted = todo.pop()
+        if not wanted:
+            continue
+        slack = 2.0 / RANK_ACCURACY
+        probs = [max(0.0, (wanted[0] - skip - 1) / n - slack), min(1.0, (wanted[-1] - skip) / n + slack)]
+        lo, hi = x.agg(F.percentile_approx("v", probs, RANK_ACCURACY).alias("q")).first()["q"]
+        v = F.col("v")
+        tests = [v < lo, v == lo, (v > lo) & (v < hi), (v == hi) & (v > lo), v > hi]
+        counts = x.agg(*[F.count_if(t).alias(f"c{i}") for i, t in enumerate(tests)]).first()
+        for i, (test, size) in enumerate(zip(tests, counts, strict=True)):
+            mine = [k for k in wanted if skip < k <= skip + size]
+            if i in (1, 3):
+                out |= {k: float(lo if i == 1 else hi) for k in mine}
+            elif mine:
+                todo.append((x.filter(test), size, skip, mine))
+            skip += size
+    return out
+
+
+def exact_rank_value(df: DataFrame, col: str, k: int) -> float | None:
+    """The ``k``-th smallest value, None beyond the rows."""
+    return exact_ranks(df, col, [k])[k]
 
 
 def exact_median(df: DataFrame, col: str) -> float | None:
@@ -307,19 +313,16 @@ def exact_median(df: DataFrame, col: str) -> float | None:
     n = df.filter(F.col(col).isNotNull()).count()
     if n == 0:
         return None
-    low = exact_rank_value(df, col, (n + 1) // 2)
-    if n % 2:
-        return low
-    # the upper middle value is the same one if enough rows have it, else the next larger
-    v = F.col(col).cast("double")
-    upto, above = df.agg(F.count(F.when(v <= low, 1)), F.min(F.when(v > low, v))).first()
-    return low if upto >= n // 2 + 1 else (low + above) / 2
+    middle = sorted({(n + 1) // 2, n // 2 + 1})
+    found = exact_ranks(df, col, middle)
+    return sum(found[k] for k in middle) / len(middle)
 
 
 def drift_impact(pairs: DataFrame, ref: str = "ref_pred", drifted: str = "drift_pred",
                  limit: float = 10.0) -> DataFrame:
     """Mean, max and median absolute change, share of changes above ``limit`` (%), and both means."""
-    d = pairs.select(F.abs(F.col(drifted) - F.col(ref)).alias("_d"), ref, drifted)
+    # the pairs are scored once; the median's passes read one narrow column
+    d = cut_lineage(pairs.select(F.abs(F.col(drifted) - F.col(ref)).alias("_d"), ref, drifted), "impact-pairs")
     med = exact_median(d, "_d")
     return d.agg(
         F.avg("_d").alias("mean_prediction_change"),

@@ -91,9 +91,7 @@ def running_totals(
     """
     probs = [i / buckets for i in range(1, buckets)]
     bounds = df.groupBy(part).agg(F.percentile_approx(order, probs, accuracy).alias("_bounds"))
-    x = df.join(bounds, part).withColumn(
-        "_rb", F.size(F.filter("_bounds", lambda b: b < F.col(order)))
-    ).drop("_bounds")
+    x = df.join(bounds, part).withColumn("_rb", count_upto(F.col("_bounds"), F.col(order), buckets)).drop("_bounds")
 
     aggs = [F.sum(c).alias(f"_t_{c}") for c in cols]
     if with_next:
@@ -132,3 +130,14 @@ def key_group(unit: str, units: int = 1024) -> Column:
 def position_segments(pos: Column, segment_rows: int) -> Column:
     """0-based segment number of a 1-based dense position."""
     return F.floor((pos - F.lit(1)) / F.lit(segment_rows)).cast("long")
+
+
+def count_upto(bounds: Column, value: Column, most: int) -> Column:
+    """How many elements of an ascending array of at most ``most`` elements are <= ``value``, by binary search."""
+    steps = F.array(*[F.lit(1 << k) for k in range(max(int(most), 1).bit_length() - 1, -1, -1)])
+
+    def forward(at: Column, step: Column) -> Column:
+        # beyond the end the element is null and the step is not taken
+        return F.when(F.get(bounds, at + step - 1) <= value, at + step).otherwise(at)
+
+    return F.aggregate(steps, F.lit(0), forward)

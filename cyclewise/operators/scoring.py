@@ -13,12 +13,14 @@ from cyclewise.config import (
     CYCLE,
     DRIFT_MIN_READINGS,
     DRIFT_MIN_SHARED_COLUMNS,
+    MONITORING_DEFAULTS,
     PREDICT_MIN_READINGS,
     SHORT_REQUEST_WARN,
 )
 from cyclewise.operators import drift as dr
 from cyclewise.operators import features as fe
 from cyclewise.operators import model as md
+from cyclewise.operators.baseline import BaselineIndex, build, ks_table, tall
 from cyclewise.operators.validate import inference_violations
 
 REQ = "request_id"
@@ -110,13 +112,26 @@ def shared_columns(batch: DataFrame, baseline: DataFrame, feature_columns: list[
     return shared
 
 
-def drift_check(batch: DataFrame, baseline: DataFrame, state: fe.FeatureState, stattest: str = "ks") -> DataFrame:
-    """Readings (raw) vs the scaled training baseline: scale the readings with the
-    frozen scaler first, then test each shared column.  At least 10 readings.
+def drift_check(rows: DataFrame, baseline: DataFrame | BaselineIndex, state: fe.FeatureState, req: str = REQ,
+                columns: list[str] | None = None, cfg: dict | None = None) -> DataFrame:
+    """Per request and shared column: KS test of its readings, scaled with the frozen scaler, against the training baseline.
+
+    Requests of fewer than ``DRIFT_MIN_READINGS`` readings are left out.  ``baseline`` is the scaled training table or
+    its index (then with ``columns``, the shared ones).  Output ``(request_id, feature, stattest, drift_score,
+    threshold, drifted)``.
     """
-    cols = shared_columns(batch, baseline, state.feature_columns)
-    scaled = fe.minmax_transform(batch.select(*cols), {c: state.scaler[c] for c in cols if c in state.scaler})
-    n = scaled.count()
-    if n < DRIFT_MIN_READINGS:
-        raise ValueError(f"{n} readings; at least {DRIFT_MIN_READINGS} needed for a drift check")
-    return dr.data_drift(baseline.select(*cols), scaled, cols, stattest)
+    if isinstance(baseline, DataFrame):
+        columns = shared_columns(rows, baseline, state.feature_columns)
+        baseline = build(baseline, columns)
+    enough = rows.groupBy(req).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") >= DRIFT_MIN_READINGS).select(req)
+    good = rows.select(req, *columns).join(enough, req, "left_semi")
+    scaled = fe.minmax_transform(good, {c: state.scaler[c] for c in columns if c in state.scaler})
+    counts = tall(scaled, [req], columns).groupBy(req, "feature", "value").agg(F.count(F.lit(1)).alias("c"))
+    return ks_table(counts, baseline, [req], cfg)
+
+
+def drift_verdicts(rows: DataFrame, baseline: DataFrame | BaselineIndex, state: fe.FeatureState, req: str = REQ,
+                   columns: list[str] | None = None, cfg: dict | None = None) -> DataFrame:
+    """The drift endpoint's answer per request: ``(request_id, n_features, n_drifted, share_drifted, dataset_drift)``."""
+    share = {**MONITORING_DEFAULTS, **(cfg or {})}["dataset_drift_share"]
+    return dr.dataset_drift(drift_check(rows, baseline, state, req, columns, cfg), share, [req])

@@ -11,7 +11,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cyclewise.config import CYCLE, MODEL_DEFAULTS, TARGET, TRAINING_DEFAULTS, UNIT
+from cyclewise.config import CYCLE, MODEL_DEFAULTS, MONITORING_DEFAULTS, TARGET, TRAINING_DEFAULTS, UNIT
 from cyclewise.functions.rows import combine_rows
 from cyclewise.operators import drift as dr
 from cyclewise.operators import features as fe
@@ -79,7 +79,10 @@ def monitor(feats: DataFrame, model, columns: list[str], sensor_cols: list[str],
     ref = halves.filter(F.col("side") == dr.REF)
     cur = halves.filter(F.col("side") == dr.CUR)
     stats = cut_lineage(dr.feature_stats(dr.value_counts(dr.stack_sides(ref, cur, columns))), "monitor-stats")
-    table = dr.drift_table(stats, cfg.get("drift_stattest", "ks"), cfg)
+    test = cfg.get("drift_stattest", MONITORING_DEFAULTS["drift_stattest"])
+    # psi bins the values; the other tests are all in the statistics
+    table = dr.data_drift(ref, cur, columns, test, cfg) if test == "psi" else dr.drift_table(stats, test, cfg)
+    table = cut_lineage(table, "monitor-table")
     pdrift = dr.prediction_drift(md.predict(model, ref, columns), md.predict(model, cur, columns))
     pert = [c for c in sensor_cols if c in columns]
     both = dr.perturb(ref, pert, [UNIT, CYCLE], suffix="__drifted")

@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 from cyclewise.config import SENSORS, SETTINGS
 from cyclewise.operators import features as fe
 from cyclewise.operators import scoring as sc
-from cyclewise.plans.q_drift import sql_stacked, sql_stats, sql_table
 from cyclewise.plans.q_features import sql_window_features
 from cyclewise.plans.q_metrics import SQL_WINDOW_PRED, WINDOW_SCORER
 from cyclewise.plans.registry import oracle, query, rnd, sql_round
@@ -102,21 +101,57 @@ def o_score():
 # ---------------------------------------------------------------- M2 / P8
 @query("drift_check_batch")
 def q_drift_check(spark, sf):
+    """Every request's share of drifted columns and flag; requests with too few readings have no row."""
+    state = full_state(spark, sf)
+    return rnd(sc.drift_verdicts(request_rows(spark, sf), baseline(spark, sf, state), state))
+
+
+@query("drift_check_details")
+def q_drift_details(spark, sf):
+    """Every request's test per column."""
     state = full_state(spark, sf)
     return rnd(sc.drift_check(request_rows(spark, sf), baseline(spark, sf, state), state))
 
 
-def sql_drift_check(group: str | None = None) -> str:
+def sql_sample_ks(cur: str, keys: str) -> str:
+    """KS of each sample (``keys``, sensors; a subquery) against the baseline by ASOF joins at the sample's values."""
     ref = _sql_scaled_full("SELECT * FROM full_train", ACTIVE)
-    cur = _sql_scaled_full(f"SELECT *{', request_id % 3 AS split' if group else ''} FROM request_rows", ACTIVE)
-    if group:
-        ref = f"SELECT s.split, r.* FROM ({ref}) r, (SELECT DISTINCT request_id % 3 AS split FROM request_rows) s"
-    return sql_table(sql_stats(sql_stacked(ref, cur, ACTIVE, group), group), "ks", group)
+    tall = lambda src, k: "\nUNION ALL\n".join(f"SELECT {k}'{f}' AS feature, CAST({f} AS DOUBLE) AS value FROM ({src})" for f in ACTIVE)
+    fine = "value IS NOT NULL AND NOT isnan(value) AND NOT isinf(value)"
+    return f"""
+WITH rc AS (SELECT feature, value, count(*) AS r FROM ({tall(ref, '')}) WHERE {fine} GROUP BY ALL),
+rr AS (SELECT feature, value, sum(r) OVER (PARTITION BY feature ORDER BY value) AS upto, sum(r) OVER (PARTITION BY feature) AS n_ref FROM rc),
+cc AS (SELECT {keys}, feature, value, count(*) AS c FROM ({tall(cur, keys + ', ')}) WHERE {fine} GROUP BY ALL),
+cr AS (SELECT *, sum(c) OVER (PARTITION BY {keys}, feature ORDER BY value) AS cum, sum(c) OVER (PARTITION BY {keys}, feature) AS n_cur FROM cc),
+le AS (SELECT cr.*, coalesce(rr.upto, 0) AS upto FROM cr ASOF LEFT JOIN rr ON cr.feature = rr.feature AND cr.value >= rr.value),
+lt AS (SELECT le.*, coalesce(rr.upto, 0) AS before FROM le ASOF LEFT JOIN rr ON le.feature = rr.feature AND le.value > rr.value),
+d AS (SELECT {keys}, feature, any_value(n_ref) AS n, any_value(n_cur) AS m,
+             max(greatest(abs(upto / n_ref - cum / n_cur), abs(before / n_ref - (cum - c) / n_cur))) AS ks_d
+      FROM lt JOIN (SELECT feature, any_value(n_ref) AS n_ref FROM rr GROUP BY feature) t USING (feature) GROUP BY ALL),
+l AS (SELECT *, (sqrt(n * m / (n + m)) + 0.12 + 0.11 / sqrt(n * m / (n + m))) * ks_d AS lam FROM d),
+s AS (SELECT {keys}, feature, CASE WHEN lam < 0.2 THEN 1.0 ELSE least(greatest(2.0 * list_sum(list_transform(range(1, 101),
+        lambda j: pow(-1.0, j - 1) * exp(-2.0 * j * j * lam * lam))), 0.0), 1.0) END AS p FROM l)
+SELECT {keys}, feature, 'ks' AS stattest, CAST(p AS DOUBLE) AS drift_score, CAST(0.05 AS DOUBLE) AS threshold, p <= 0.05 AS drifted FROM s"""
+
+
+SQL_ENOUGH = "(SELECT * FROM request_rows WHERE request_id IN (SELECT request_id FROM request_rows GROUP BY request_id HAVING count(*) >= 10))"
+
+
+def sql_drift_check() -> str:
+    return sql_sample_ks(_sql_scaled_full(f"SELECT * FROM {SQL_ENOUGH}", ACTIVE), "request_id")
 
 
 @oracle("drift_check_batch")
 def o_drift_check():
-    return with_views(["request_rows", "full_train"], sql_round(sql_drift_check(), ["drift_score", "threshold"]))
+    return with_views(["request_rows", "full_train"], sql_round(f"""
+SELECT request_id, count(*) AS n_features, CAST(sum(CAST(drifted AS INTEGER)) AS BIGINT) AS n_drifted,
+       sum(CAST(drifted AS INTEGER)) / count(*) AS share_drifted, sum(CAST(drifted AS INTEGER)) / count(*) >= 0.5 AS dataset_drift
+FROM ({sql_drift_check()}) GROUP BY request_id""", ["share_drifted"]))
+
+
+@oracle("drift_check_details")
+def o_drift_details():
+    return with_views(["request_rows", "full_train"], sql_round(f"SELECT * FROM ({sql_drift_check()})", ["drift_score", "threshold"]))
 
 
 # ---------------------------------------------------------------- R2 / R3
@@ -148,15 +183,25 @@ def o_stream_score():
     return o_score()
 
 
+def _arrivals(spark, sf) -> str:
+    """Request rows as three files that arrive one after the other, by ``request_id % 3``; ``split`` is ``request_id % 2``."""
+    path = scratch_path(spark, "arrivals")
+    rows = request_rows(spark, sf).withColumn("split", F.pmod(F.col("request_id"), F.lit(2)).cast("int"))
+    for k in range(3):
+        rows.filter(F.pmod(F.col("request_id"), F.lit(3)) == k).coalesce(1).write.mode("append").parquet(path)
+    return path
+
+
 @query("stream_drift")
 def q_stream_drift(spark, sf):
+    """A row per batch, split and column: the drift of all readings up to that batch."""
     state = full_state(spark, sf)
-    src = _stream_source(spark, sf)
-    out = streams.stream_drift(spark, src, STREAM_SCHEMA, baseline(spark, sf, state), state,
-                               scratch_path(spark, "stream-drift-sink"), max_files_per_trigger=4)
-    return rnd(out)
+    out = streams.stream_drift(spark, _arrivals(spark, sf), STREAM_SCHEMA, baseline(spark, sf, state), state, scratch_path(spark, "stream-drift-sink"))
+    return rnd(out.withColumn("batch_id", F.col("batch_id").cast("long")))
 
 
 @oracle("stream_drift")
 def o_stream_drift():
-    return with_views(["request_rows", "full_train"], sql_round(sql_drift_check("split"), ["drift_score", "threshold"]))
+    cur = _sql_scaled_full("SELECT b.batch_id, request_id % 2 AS split, q.* FROM request_rows q JOIN (SELECT unnest([0, 1, 2]) AS batch_id) b ON q.request_id % 3 <= b.batch_id", ACTIVE)
+    body = f"SELECT * REPLACE (CAST(batch_id AS BIGINT) AS batch_id, CAST(split AS INTEGER) AS split) FROM ({sql_sample_ks(cur, 'batch_id, split')})"
+    return with_views(["request_rows", "full_train"], sql_round(body, ["drift_score", "threshold"]))

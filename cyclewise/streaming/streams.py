@@ -12,10 +12,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cyclewise.config import DRIFT_MIN_READINGS
-from cyclewise.operators import drift as dr
 from cyclewise.operators import features as fe
 from cyclewise.operators import scoring as sc
-from cyclewise.session import scratch_path
+from cyclewise.operators.baseline import build, ks_table, tall
+from cyclewise.session import cut_lineage, scratch_path
 
 
 def _run(stream: DataFrame, handler, name: str, spark: SparkSession, checkpoint: str | None) -> None:
@@ -48,36 +48,34 @@ def stream_score(spark: SparkSession, source_dir: str, schema, state: fe.Feature
 
 
 def stream_drift(spark: SparkSession, source_dir: str, schema, baseline: DataFrame, state: fe.FeatureState,
-                 sink: str, split: str = "split", stattest: str = "ks", max_files_per_trigger: int = 1,
-                 checkpoint: str | None = None) -> DataFrame:
-    """Readings arriving as files, checked per ``split`` against the stored baseline.
-
-    Each micro-batch is scaled with the frozen scaler and reduced to value
-    counts per ``(split, feature, value)``, appended to ``sink``.  Counts add
-    up, so the drift table computed from the sink after the stream is the
-    same whatever files each micro-batch happened to hold, and a restarted
-    query only adds the batches it had not committed.  The baseline is
-    counted once.  Output ``(split, feature, stattest, drift_score, threshold, drifted)``.
+                 sink: str, split: str = "split", max_files_per_trigger: int = 1, checkpoint: str | None = None,
+                 cfg: dict | None = None) -> DataFrame:
+    """Readings arriving as files, checked per ``split`` against the stored baseline; each batch gives its own rows.
+
+    The state is the value counts per ``(split, feature)`` of all readings so far, one folder per batch: a batch adds its
+    counts to the state of the batch before and tests the splits that it brought readings of, if they have
+    enough by then.  A batch that is played again starts from the same state and replaces its folders.
+    The baseline is indexed once and looked up by the readings.  Output ``(batch_id, split, feature, stattest,
+    drift_score, threshold, drifted)``.
     """
     cols = sc.shared_columns(spark.createDataFrame([], schema), baseline, state.feature_columns)
     scaler = {c: state.scaler[c] for c in cols if c in state.scaler}
+    index = build(baseline, cols)
     src = spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files_per_trigger).parquet(source_dir)
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        scaled = fe.minmax_transform(batch.select(split, *cols), scaler)
-        tall = scaled.select(
-            split, F.explode(F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("value")) for c in cols])).alias("_x")
-        ).select(split, "_x.feature", "_x.value").filter(dr.finite(F.col("value")))
-        counts = tall.groupBy(split, "feature", "value").agg(F.count(F.lit(1)).alias("c"))
-        counts.write.mode("overwrite").parquet(f"{sink}/batch_id={batch_id}")
+        rows = cut_lineage(fe.minmax_transform(batch.select(split, *cols), scaler), "stream-batch")
+        new = tall(rows, [split], cols).groupBy(split, "feature", "value").agg(F.count(F.lit(1)).alias("c"))
+        sizes = rows.groupBy(split).agg(F.count(F.lit(1)).alias("n"))
+        if batch_id > 0:
+            new = new.unionByName(spark.read.parquet(f"{sink}/state/{batch_id - 1}/counts"))
+            sizes = sizes.unionByName(spark.read.parquet(f"{sink}/state/{batch_id - 1}/sizes"))
+        own = f"{sink}/state/{batch_id}"
+        new.groupBy(split, "feature", "value").agg(F.sum("c").alias("c")).write.mode("overwrite").parquet(f"{own}/counts")
+        sizes.groupBy(split).agg(F.sum("n").alias("n")).write.mode("overwrite").parquet(f"{own}/sizes")
+        ready = spark.read.parquet(f"{own}/sizes").filter(F.col("n") >= DRIFT_MIN_READINGS).join(rows.select(split).distinct(), split, "left_semi")
+        counts = spark.read.parquet(f"{own}/counts").join(ready, split, "left_semi")
+        ks_table(counts, index, [split], cfg).write.mode("overwrite").parquet(f"{sink}/rows/batch_id={batch_id}")
 
     _run(src, handle, "stream-drift", spark, checkpoint)
-    cur = spark.read.parquet(sink).groupBy(split, "feature", "value").agg(F.sum("c").alias("c"))
-    sizes = cur.groupBy(split).agg((F.sum("c") / F.lit(len(cols))).alias("_n")).filter(F.col("_n") >= DRIFT_MIN_READINGS).select(split)
-    ref = dr.value_counts(dr.stack_sides(baseline.select(*cols), baseline.select(*cols).limit(0), cols))
-    # the baseline's counts go to every split; both sides of all splits are one table and one plan
-    tags = sizes.withColumn("_all", F.lit(1))
-    both = ref.select("feature", "value", "r", F.lit(0).cast("long").alias("c"), F.lit(1).alias("_all")).join(tags, "_all").drop("_all")
-    mine = cur.join(sizes, split, "left_semi").select("feature", "value", F.lit(0).cast("long").alias("r"), F.col("c").cast("long"), split)
-    counts = both.unionByName(mine).groupBy(split, "feature", "value").agg(F.sum("r").alias("r"), F.sum("c").alias("c"))
-    return dr.drift_table(dr.feature_stats(counts, [split]), stattest, part=[split])
+    return spark.read.parquet(f"{sink}/rows")
