@@ -15,8 +15,11 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 from cyclewise.config import MONITORING_DEFAULTS, PERTURB_DEFAULTS
 from cyclewise.operators.ordering import running_totals
@@ -48,7 +51,46 @@ def value_counts(stacked: DataFrame, part: list[str] | None = None) -> DataFrame
     )
 
 
+#: Samples of at most so many values have an exact KS p-value.
+EXACT_KS_ROWS = 10_000
+
+
+def exact_ks_p(d: float, n: int, m: int) -> float:
+    """P(D >= d) for two samples of a common continuous distribution, exactly.
+
+    The pooled values in order are a draw without replacement: a walk from (0, 0) to (n, m).  The probability of all
+    walks that are still closer than ``d`` is carried from diagonal to diagonal, what gets ``d`` apart is added up, so
+    that small p-values keep their digits.
+    """
+    i = np.arange(n + 1)
+    p, gone = np.zeros(n + 1), 0.0
+    p[0] = 1.0
+    for s in range(n + m):
+        j = s - i
+        right = np.where((j >= 0) & (j <= m), p * (n - i) / (n + m - s), 0.0)
+        stay = np.where((j >= 0) & (j <= m), p * (m - j) / (n + m - s), 0.0)
+        p = stay
+        p[1:] += right[:-1]
+        j = s + 1 - i
+        apart = np.abs(i / n - j / m) >= d - 1e-9
+        gone += p[apart].sum()
+        p[apart] = 0.0
+    return float(min(max(gone, 0.0), 1.0))
+
+
+@F.pandas_udf(DoubleType())
+def _exact_ks(d: pd.Series, n: pd.Series, m: pd.Series) -> pd.Series:
+    # one row per test: the walk's table lives in numpy, null marks rows that take the asymptotic value
+    return pd.Series([None if pd.isna(x) else exact_ks_p(x, int(a), int(b)) for x, a, b in zip(d, n, m)], dtype="float64")
+
+
 def ks_pvalue(d: Column, n: Column, m: Column) -> Column:
+    """Two-sample KS p-value: exact for samples of at most ``EXACT_KS_ROWS`` values, else asymptotic."""
+    small = F.greatest(n, m).between(1, EXACT_KS_ROWS) & (F.least(n, m) >= 1)
+    return F.coalesce(_exact_ks(F.when(small, d), n, m), _asymptotic_ks_p(d, n, m))
+
+
+def _asymptotic_ks_p(d: Column, n: Column, m: Column) -> Column:
     """Asymptotic two-sample KS p-value with Stephens' small-sample correction; 1 when λ < 0.2."""
     # an empty side has no test: try_divide yields NULL instead of an ANSI error
     en = F.sqrt(F.try_divide(n * m, n + m))

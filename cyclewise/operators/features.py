@@ -161,6 +161,8 @@ def window_features(
 
 def lag_means(features: DataFrame, lag_cols: list[str]) -> dict[str, float]:
     """Mean of each lag column: one aggregate over the lag windows alone (the other features are pruned)."""
+    if not lag_cols:
+        return {}
     row = features.agg(*[F.avg(c).alias(c) for c in lag_cols]).first()
     return {c: row[c] for c in lag_cols if row[c] is not None}
 

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cyclewise.config import CYCLE, MODEL_DEFAULTS, MONITORING_DEFAULTS, TARGET, TRAINING_DEFAULTS, UNIT
+from cyclewise.functions import lineage
 from cyclewise.functions.rows import combine_rows
 from cyclewise.operators import drift as dr
 from cyclewise.operators import features as fe
@@ -28,12 +29,14 @@ def fit_model(feats: DataFrame, columns: list[str], model_cfg: dict):
 
 
 def train_evaluate(raw_train: DataFrame, raw_test: DataFrame, truth: DataFrame, feature_cfg: dict | None = None,
-                   model_cfg: dict | None = None, folds: int | None = None, model_columns: list[str] | None = None):
+                   model_cfg: dict | None = None, folds: int | None = None, model_columns: list[str] | None = None,
+                   audit_path: str | None = None):
     """Gate -> featurize -> feature gate -> fit -> train / CV / hold-out metrics.
 
     A table given as ``None`` is a failed dataset and stops the run at the gate.  The final model and the fold models
     are fitted together and score the feature table in one pass.  ``model_columns`` restricts the features that the
-    model reads.
+    model reads.  With ``audit_path`` the training table's fingerprint and the gate's result are added to the audit log
+    there, also when the gate stops the run.
 
     Returns ``(metrics_row, model, state)``; ``metrics_row`` is one row with the train, CV and test metric sets and
     the feature gate's warnings.
@@ -42,10 +45,13 @@ def train_evaluate(raw_train: DataFrame, raw_test: DataFrame, truth: DataFrame,
     folds = folds or TRAINING_DEFAULTS["cv_folds"]
     if raw_train is not None:
         text.require_integrity(text.raw_integrity(raw_train))
-    va.require_passed(va.validation_report([
+    report = cut_lineage(va.validation_report([
         va.gate_report("train", "RawSensorSchema", raw_train),
         va.gate_report("test", "RawSensorSchema", raw_test),
-    ]))
+    ]), "gate-report")
+    if audit_path and raw_train is not None:
+        lineage.append_audit(lineage.audit_row(raw_train, report, "train_raw", with_time=True), audit_path)
+    va.require_passed(report)
     feats, state = fe.fit_transform(raw_train, feature_cfg)
     feats = fe.feature_matrix(feats, state)
     bad = va.feature_quality(feats, int(state.config["rul_cap"])).count()

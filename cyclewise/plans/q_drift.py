@@ -16,7 +16,7 @@ from cyclewise.operators import retrain as rt
 from cyclewise.plans.q_features import LI_SENSORS, sql_scaled
 from cyclewise.plans.q_metrics import SCORER, SQL_PRED
 from cyclewise.plans.registry import oracle, query, rnd, sql_round
-from cyclewise.sources.views import fleet_events, fleet_lineitem, reference_current, train_split, with_views
+from cyclewise.sources.views import fleet_events, fleet_lineitem, reference_current, train_split, with_engine_max, with_views
 
 EV_FEATURES = ["s_2", "s_3", "s_band"]
 REPORT_BINS = 20
@@ -277,7 +277,7 @@ def sql_perturbed(src: str, cols: list[str], noise: bool, shift: bool, keys=(UNI
     if shift:
         repl += [f"CASE WHEN rg_{c} > 0 THEN {c} + 0.1 * rg_{c} * {sql_sign(c)} ELSE {c} END AS {c}" for c in g2]
     rep = f" REPLACE ({', '.join(repl)})" if repl else ""
-    return f"SELECT t.*{rep} FROM ({src}) t, (SELECT {stats} FROM ({src})) st"
+    return f"WITH src AS MATERIALIZED ({src}) SELECT t.*{rep} FROM src t, (SELECT {stats} FROM src) st"
 
 
 @oracle("perturb_noise")
@@ -380,13 +380,11 @@ def q_retrain(spark, sf):
     return dec.select("should_retrain", F.array_join("reasons", "\n").alias("reasons"), "exit_code")
 
 
-@oracle("retrain_decision")
-def o_retrain():
-    ks = sql_table(sql_li_stats(), "ks")
+def sql_decision(ks: str, prediction: str, impact: str, gate: str) -> tuple[list[tuple[str, str]], str]:
+    """CTEs and body of the retrain decision from the four layers' queries."""
     extra = [("ks", ks), ("share", sql_share("SELECT * FROM ks")),
              ("top", "SELECT list(feature ORDER BY drift_score, feature)[1:5] AS top FROM ks WHERE drifted"),
-             ("pd", sql_prediction_drift()), ("im", sql_impact()),
-             ("gt", f"SELECT test_suite_passed FROM ({sql_gate()})")]
+             ("pd", prediction), ("im", impact), ("gt", f"SELECT test_suite_passed FROM ({gate})")]
     extra.append(("flags", """SELECT share_drifted > 0.3 AS h1, drift_detected AS h2, mean_prediction_change > 10.0 AS h3,
                  NOT test_suite_passed AS h4, * FROM share, top, pd, im, gt"""))
     body = f"""
@@ -403,4 +401,44 @@ SELECT h1 OR h2 OR h3 OR h4 AS should_retrain,
        ], lambda x: x IS NOT NULL), chr(10)) AS reasons,
        CASE WHEN h1 OR h2 OR h3 OR h4 THEN 1 ELSE 0 END AS exit_code
 FROM flags"""
+    return extra, body
+
+
+@oracle("retrain_decision")
+def o_retrain():
+    extra, body = sql_decision(sql_table(sql_li_stats(), "ks"), sql_prediction_drift(), sql_impact(), sql_gate())
     return with_views(["li_refcur", "li_train"], body, extra)
+
+
+# ---------------------------------------------------------------- M1, small samples
+def engine_halves(df, unit=UNIT, cycle=CYCLE):
+    """Rows with ``side`` by the half of their engine's life."""
+    m = with_engine_max(df)
+    return m.withColumn("side", F.when(F.col(cycle) * 2 <= F.col("max_cycle"), F.lit(dr.REF)).otherwise(F.lit(dr.CUR)))
+
+
+@query("ks_drift_small")
+def q_ks_small(spark, sf):
+    """Each engine's first half of life against its second: samples this small have an exact p-value."""
+    halves = engine_halves(fleet_events(spark, sf)).select(UNIT, F.lit("s_2").alias("feature"), F.col("s_2").alias("value"), "side")
+    st = dr.feature_stats(dr.value_counts(halves.filter(dr.finite(F.col("value"))), [UNIT]), [UNIT])
+    return rnd(st.select(UNIT, "n_ref", "n_cur", "ks_d", "ks_p", (F.col("ks_p") <= 0.05).alias("drifted")))
+
+
+@oracle("ks_drift_small")
+def o_ks_small():
+    """Paths from (0, 0) to (n, m) of a draw without replacement, step by step; the share that ever gets d apart."""
+    st = sql_stats("SELECT unit_number, 's_2' AS feature, s_2 AS value, side FROM ev_refcur", "unit_number")
+    body = """
+, z AS (SELECT unit_number, n_ref AS n, n_cur AS m, ks_d FROM st),
+w AS (
+  SELECT unit_number, 0 AS s, 0 AS i, 1.0::DOUBLE AS p, 0.0::DOUBLE AS gone, n, m, ks_d FROM z
+  UNION ALL
+  SELECT unit_number, s, i, sum(CASE WHEN abs(i / n - (s - i) / m) < ks_d - 1e-9 THEN q ELSE 0 END),
+         sum(CASE WHEN abs(i / n - (s - i) / m) < ks_d - 1e-9 THEN 0 ELSE q END), n, m, ks_d
+  FROM (SELECT unit_number, s + 1 AS s, i + g AS i, p * (CASE WHEN g = 1 THEN n - i ELSE m - (s - i) END) / (n + m - s) AS q, n, m, ks_d
+        FROM w, (SELECT unnest([0, 1]) AS g) WHERE s < n + m AND p > 0) GROUP BY ALL)
+SELECT unit_number, any_value(n)::BIGINT AS n_ref, any_value(m)::BIGINT AS n_cur, any_value(ks_d) AS ks_d, sum(gone) AS ks_p,
+       round(sum(gone), 6) <= 0.05 AS drifted FROM w GROUP BY unit_number"""
+    views = with_views(["ev_refcur"], "", [("st", st)]).replace("WITH ", "WITH RECURSIVE ", 1)
+    return f"SELECT * REPLACE (round(ks_d, 6) AS ks_d, round(ks_p, 6) AS ks_p) FROM (\n{views}{body}\n) q"

@@ -9,7 +9,8 @@ from cyclewise.functions import lineage as lg
 from cyclewise.operators import validate as va
 from cyclewise.plans.registry import oracle, query
 from cyclewise.plans.q_validate import sql_violations
-from cyclewise.sources.views import fleet_full, fleet_lineitem, train_split, with_views
+from cyclewise.session import scratch_path
+from cyclewise.sources.views import fleet_full, fleet_lineitem, table, train_split, with_views
 
 
 def sql_fingerprint(src: str, cols: list[str], doubles: set[str]) -> str:
@@ -78,3 +79,72 @@ def o_audit():
 SELECT 'train_raw' AS dataset, fingerprint AS data_hash, n_rows, {len(RAW_COLUMNS)} AS n_columns,
        (SELECT count(*) FROM ({viol})) = 0 AS validation_passed
 FROM ({fp})""")
+
+
+# ---------------------------------------------------------------- G1, exact form
+EXACT_COLUMNS = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_returnflag", "l_linestatus"]
+
+
+@query("table_fingerprint_exact")
+def q_fingerprint_exact(spark, sf):
+    """Integer and text columns, whose canonical text another engine shares without rounding."""
+    return lg.table_fingerprint(table(spark, sf, "lineitem").select(*EXACT_COLUMNS))
+
+
+@oracle("table_fingerprint_exact")
+def o_fingerprint_exact():
+    return sql_fingerprint("SELECT * FROM lineitem", EXACT_COLUMNS, set())
+
+
+# ---------------------------------------------------------------- G1, tree over two versions
+def _version(spark, sf, second: bool) -> str:
+    """The integer columns of lineitem by ``grp = l_suppkey % 8``; the second version has other rows in group 3, none in
+    group 6 and a group 9."""
+    rows = table(spark, sf, "lineitem").select(*EXACT_COLUMNS[:4], F.pmod("l_suppkey", F.lit(8)).cast("int").alias("grp"))
+    if second:
+        rows = rows.filter("grp <> 6").withColumn("l_partkey", F.when((F.col("grp") == 3) & (F.col("l_linenumber") == 7), F.lit(0)).otherwise(F.col("l_partkey")))
+        rows = rows.withColumn("grp", F.when((F.col("grp") == 1) & (F.col("l_linenumber") == 1), F.lit(9)).otherwise(F.col("grp")))
+    path = scratch_path(spark, "versions")
+    rows.repartition(4).write.partitionBy("grp").parquet(path)
+    return path
+
+
+@query("fingerprint_changes")
+def q_changes(spark, sf):
+    """The partitions that differ between two versions of a table, by their fingerprint trees."""
+    trees = [lg.fingerprint_tree(lg.file_fingerprints(spark, _version(spark, sf, second))) for second in (False, True)]
+    return lg.changed_parts(*trees)
+
+
+@oracle("fingerprint_changes")
+def o_changes():
+    return """
+WITH a AS (SELECT l_suppkey % 8 AS g, * FROM lineitem),
+b AS (SELECT CASE WHEN g = 1 AND l_linenumber = 1 THEN 9 ELSE g END AS g, l_orderkey,
+             CASE WHEN g = 3 AND l_linenumber = 7 THEN 0 ELSE l_partkey END AS l_partkey, l_suppkey, l_linenumber FROM a WHERE g <> 6),
+x AS (SELECT g, count(*) AS n, sum(hash(l_orderkey, l_partkey, l_suppkey, l_linenumber)) AS h FROM a GROUP BY g),
+y AS (SELECT g, count(*) AS n, sum(hash(l_orderkey, l_partkey, l_suppkey, l_linenumber)) AS h FROM b GROUP BY g)
+SELECT 'grp=' || coalesce(x.g, y.g) AS part, CASE WHEN x.g IS NULL THEN 'added' WHEN y.g IS NULL THEN 'removed' ELSE 'changed' END AS change,
+       x.n AS rows_before, y.n AS rows_after
+FROM x FULL JOIN y ON x.g = y.g WHERE x.h IS DISTINCT FROM y.h"""
+
+
+# ---------------------------------------------------------------- G3, the log
+@query("audit_log")
+def q_audit_log(spark, sf):
+    """Two records appended to an audit log and read back: the table with its gate's result, then its training part."""
+    path, full = scratch_path(spark, "audit-log"), fleet_full(spark, sf)
+    for name, rows in (("all", full), ("train", train_split(full))):
+        report = va.gate_report(name, "RawSensorSchema", rows)
+        lg.append_audit(lg.audit_row(lg.fixed_point(rows), report, name, with_time=True), path)
+    log = lg.read_audit(spark, path)
+    return log.withColumn("timed", F.col("logged_at").rlike("^[0-9]{8}-[0-9]{6}$")).drop("logged_at")
+
+
+@oracle("audit_log")
+def o_audit_log():
+    one = lambda name, src: f"""
+SELECT '{name}' AS dataset, fingerprint AS data_hash, n_rows, CAST({len(RAW_COLUMNS)} AS INTEGER) AS n_columns,
+       (SELECT count(*) FROM ({sql_violations(src, va.RAW_RULES)})) = 0 AS validation_passed, true AS timed
+FROM ({sql_fingerprint(f'SELECT * FROM {src}', RAW_COLUMNS, DOUBLES)})"""
+    return with_views(["fleet_full", "full_train"], one("all", "fleet_full") + "\nUNION ALL" + one("train", "full_train"))

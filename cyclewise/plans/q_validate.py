@@ -165,6 +165,23 @@ def o_validation_report():
     return with_views(["full_defects"], body, ctes)
 
 
+@query("validation_missing_table")
+def q_missing_table(spark, sf):
+    """The gate over a table that is there and one that is not: the missing one is a failed dataset."""
+    parts = [va.gate_report("suppliers", "KeySchema", files.table_or_none(spark, f"{sf}/supplier.parquet"), [va.Rule("not_nullable", "s_suppkey", "not_null")]),
+             va.gate_report("engines", "RawSensorSchema", files.table_or_none(spark, f"{sf}/engines.parquet"))]
+    return va.validation_report(parts).withColumn("warnings", F.array_join("warnings", "\n"))
+
+
+@oracle("validation_missing_table")
+def o_missing_table():
+    return """
+SELECT *, min(CAST(passed AS INTEGER)) OVER () = 1 AS overall_passed FROM (
+  SELECT 'suppliers' AS dataset, 'KeySchema' AS schema_name, count(*) FILTER (s_suppkey IS NULL) = 0 AS passed, count(*) AS n_rows,
+         (SELECT CAST(count(*) AS INTEGER) FROM (DESCRIBE supplier)) AS n_columns, count(*) FILTER (s_suppkey IS NULL) AS error_count, '' AS warnings FROM supplier
+  UNION ALL SELECT 'engines', 'RawSensorSchema', false, 0, 0, 1, 'dataset not found: engines')"""
+
+
 @query("validation_errors")
 def q_validation_errors(spark, sf):
     _, errs = _report(spark, sf)
