@@ -17,12 +17,12 @@ import math
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
 from cyclewise.config import MONITORING_DEFAULTS, PERTURB_DEFAULTS
-from cyclewise.operators.ordering import running_totals
+from cyclewise.operators.ordering import count_upto, running_totals
 from cyclewise.session import cut_lineage
 
 REF, CUR = "reference", "current"
@@ -149,6 +149,52 @@ def feature_stats(counts: DataFrame, part: list[str] | None = None) -> DataFrame
     )
 
 
+#: Value ranges per feature of the pruned KS test.
+KS_RANGES = 256
+
+
+def ks_ranges(stacked: DataFrame, ranges: int = KS_RANGES) -> tuple[DataFrame, DataFrame]:
+    """``stacked`` with the ``range`` of each value, and per feature and range what bounds the KS distance in it.
+
+    Ranges start at approximate quantiles of both sides together.  ``rs, cs`` are the counts below a range, ``re, ce`` those
+    up to its end.  Both CDFs only rise, so inside a range they are at most ``upper`` apart; ``lower`` is the largest
+    distance at the end of any range of the feature.
+    """
+    probs = [i / ranges for i in range(1, ranges)]
+    bounds = stacked.groupBy("feature").agg(F.percentile_approx("value", probs, 10 * ranges).alias("_bounds"))
+    x = stacked.join(bounds, "feature").withColumn("range", count_upto(F.col("_bounds"), F.col("value"), ranges)).drop("_bounds")
+    hist = x.groupBy("feature", "range").agg(
+        F.sum((F.col("side") == REF).cast("long")).alias("r"), F.sum((F.col("side") == CUR).cast("long")).alias("c"))
+    hist = cut_lineage(hist, "ks-ranges")  # features x ranges rows
+    upto, whole = Window.partitionBy("feature").orderBy("range").rowsBetween(Window.unboundedPreceding, 0), Window.partitionBy("feature")
+    hist = hist.select("feature", "range", "r", "c", F.sum("r").over(upto).alias("re"), F.sum("c").over(upto).alias("ce"),
+                       F.sum("r").over(whole).alias("n_ref"), F.sum("c").over(whole).alias("n_cur"))
+    share = lambda k, n: F.try_divide(k, F.col(n))
+    rs, cs = F.col("re") - F.col("r"), F.col("ce") - F.col("c")
+    hist = hist.withColumn("rs", rs).withColumn("cs", cs)
+    upper = F.greatest(share(F.col("re"), "n_ref") - share(cs, "n_cur"), share(F.col("ce"), "n_cur") - share(rs, "n_ref"))
+    lower = F.max(F.abs(share(F.col("re"), "n_ref") - share(F.col("ce"), "n_cur"))).over(whole)
+    return x, hist.withColumn("upper", upper).withColumn("lower", lower)
+
+
+def ks_stats(stacked: DataFrame, ranges: int = KS_RANGES) -> DataFrame:
+    """``(feature, n_ref, n_cur, ks_d, ks_p)``: as :func:`feature_stats`, but only values of the ranges that can hold the
+    largest distance are shuffled."""
+    x, hist = ks_ranges(stacked, ranges)
+    open_ranges = hist.filter(F.col("upper") > F.col("lower")).select("feature", "range", "rs", "cs", "n_ref", "n_cur")
+    inside = x.join(open_ranges, ["feature", "range"]).groupBy("feature", "range", "value").agg(
+        F.sum((F.col("side") == REF).cast("long")).alias("r"), F.sum((F.col("side") == CUR).cast("long")).alias("c"),
+        *[F.first(k).alias(k) for k in ("rs", "cs", "n_ref", "n_cur")])
+    run = Window.partitionBy("feature", "range").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
+    fr = F.try_divide(F.col("rs") + F.sum("r").over(run), F.col("n_ref"))
+    fc = F.try_divide(F.col("cs") + F.sum("c").over(run), F.col("n_cur"))
+    found = inside.select("feature", F.abs(fr - fc).alias("_d")).groupBy("feature").agg(F.max("_d").alias("_d"))
+    per = hist.groupBy("feature").agg(F.max("n_ref").alias("n_ref"), F.max("n_cur").alias("n_cur"), F.max("lower").alias("_low"))
+    out = per.join(found, "feature", "left").withColumn("ks_d", F.greatest("_low", "_d"))
+    p = ks_pvalue(F.col("ks_d"), F.col("n_ref").cast("double"), F.col("n_cur").cast("double"))
+    return out.select("feature", "n_ref", "n_cur", "ks_d", p.alias("ks_p"))
+
+
 def drift_table(stats: DataFrame, stattest: str = "ks", cfg: dict | None = None, part: list[str] | None = None) -> DataFrame:
     """``(feature, stattest, drift_score, threshold, drifted)`` for a fixed test or ``auto``.
 
@@ -158,21 +204,19 @@ def drift_table(stats: DataFrame, stattest: str = "ks", cfg: dict | None = None,
     """
     m = dict(MONITORING_DEFAULTS)
     m.update(cfg or {})
-    ks = (F.lit("ks"), F.col("ks_p"), F.lit(m["ks_p_threshold"]), F.col("ks_p") <= F.lit(m["ks_p_threshold"]))
-    wd = (F.lit("wasserstein"), F.col("wasserstein_norm"), F.lit(m["wasserstein_threshold"]),
-          F.col("wasserstein_norm") >= F.lit(m["wasserstein_threshold"]))
-    js = (F.lit("jensenshannon"), F.col("jensenshannon"), F.lit(m["jensenshannon_threshold"]),
-          F.col("jensenshannon") >= F.lit(m["jensenshannon_threshold"]))
-    if stattest == "ks":
-        pick = ks
-    elif stattest == "wasserstein":
-        pick = wd
-    elif stattest == "jensenshannon":
-        pick = js
-    elif stattest == "auto":
+    row = lambda name, column, limit, hit: (F.lit(name), F.col(column), F.lit(m[limit]), hit(F.col(column), F.lit(m[limit])))
+    tests = {
+        "ks": lambda: row("ks", "ks_p", "ks_p_threshold", lambda x, t: x <= t),
+        "wasserstein": lambda: row("wasserstein", "wasserstein_norm", "wasserstein_threshold", lambda x, t: x >= t),
+        "jensenshannon": lambda: row("jensenshannon", "jensenshannon", "jensenshannon_threshold", lambda x, t: x >= t),
+    }
+    if stattest == "auto":
         small = F.col("n_ref") <= F.lit(m["auto_small_sample"])
         low = F.col("n_unique_ref") <= F.lit(m["auto_low_cardinality"])
-        pick = tuple(F.when(small, a).when(low, b).otherwise(c) for a, b, c in zip(ks, js, wd))
+        three = zip(tests["ks"](), tests["jensenshannon"](), tests["wasserstein"](), strict=True)
+        pick = tuple(F.when(small, a).when(low, b).otherwise(c) for a, b, c in three)
+    elif stattest in tests:
+        pick = tests[stattest]()
     else:
         raise ValueError(f"unknown stattest {stattest!r}")
     names = ("stattest", "drift_score", "threshold", "drifted")
@@ -183,6 +227,8 @@ def data_drift(ref: DataFrame, cur: DataFrame, features: list[str], stattest: st
     """Layer 1: per-feature drift between two tables; ``psi`` bins the values, the other tests compare distributions."""
     if stattest == "psi":
         return psi(ref, cur, features, {**MONITORING_DEFAULTS, **(cfg or {})}["psi_threshold"])
+    if stattest == "ks":
+        return drift_table(ks_stats(stack_sides(ref, cur, features)), stattest, cfg)
     return drift_table(feature_stats(value_counts(stack_sides(ref, cur, features))), stattest, cfg)
 
 

@@ -106,7 +106,7 @@ def sql_li_stats() -> str:
 @query("ks_drift")
 def q_ks(spark, sf):
     ref, cur = li_sides(spark, sf)
-    st = dr.feature_stats(dr.value_counts(dr.stack_sides(ref, cur, LI_SENSORS)))
+    st = dr.ks_stats(dr.stack_sides(ref, cur, LI_SENSORS))
     return rnd(st.select("feature", "n_ref", "n_cur", "ks_d", "ks_p", (F.col("ks_p") <= 0.05).alias("drifted")))
 
 

@@ -119,3 +119,20 @@ def test_monitor_job_with_each_test(spark, test):
     summary = spark.read.json(path).first()
     assert {f["stattest"] for f in summary["data_drift"]["features"]} == {test}
     assert row["exit_code"] in (0, 1) and row["should_retrain"] == (row["exit_code"] == 1)
+
+
+def test_pruned_ks_equals_whole_ks_and_shuffles_less(spark):
+    rng = np.random.default_rng(12)
+    a = {"x": rng.normal(size=6000), "y": rng.normal(size=6000), "z": rng.integers(0, 3, 6000).astype(float), "w": np.full(6000, 2.0), "t": rng.random(6000)}
+    b = {"x": rng.normal(0.3, 1, 5000), "y": rng.normal(size=5000), "z": rng.integers(0, 3, 5000).astype(float), "w": np.full(5000, 2.0), "t": rng.random(5000) + 5}
+    ref, cur = (spark.createDataFrame([tuple(map(float, r)) for r in zip(*s.values())], ", ".join(f"{c} double" for c in s)).repartition(4) for s in (a, b))
+    st = dr.stack_sides(ref, cur, list(a))
+    got = {r["feature"]: r for r in dr.ks_stats(st).collect()}
+    for f in a:
+        assert got[f]["ks_d"] == pytest.approx(brute_ks(a[f], b[f]), abs=1e-12) and (got[f]["n_ref"], got[f]["n_cur"]) == (6000, 5000)
+    whole = {r["feature"]: r["ks_d"] for r in dr.feature_stats(dr.value_counts(st)).collect()}
+    assert {f: r["ks_d"] for f, r in got.items()} == pytest.approx(whole)
+    x, hist = dr.ks_ranges(st)
+    shuffled = x.join(hist.filter("upper > lower"), ["feature", "range"], "left_semi").groupBy("feature").count().collect()
+    rows = {r["feature"]: r["count"] for r in shuffled}
+    assert rows["x"] < 2200 and rows.get("t", 0) < 100  # of 11,000
