@@ -44,8 +44,7 @@ def op1_near_dedup(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def op2_mix_sources(spark: SparkSession, sf: str) -> DataFrame:
-    # as its oracle: the gap behind the prefix gets one closing document (the pipeline fills it)
-    return mixing.mix(table(spark, sf, "documents"), refill=False).select("doc_id", "size", "source_size", "target", "taken")
+    return mixing.mix(table(spark, sf, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
 def op3_toxicity(spark: SparkSession, sf: str) -> DataFrame:
@@ -144,7 +143,7 @@ SELECT doc_id, max(doc_id) OVER (PARTITION BY x) AS keep_id, count(*) OVER (PART
        doc_id = max(doc_id) OVER (PARTITION BY x) AS kept, sha256(x) AS text_sha256
 FROM t""",
     "op2_mix_sources": r"""
-WITH d AS (
+WITH RECURSIVE d AS (
   SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size,
          0.25 + coalesce(length(regexp_replace(coalesce(text, ''), '[^\p{L}]+', '', 'g')) / nullif(length(text), 0), 0.0) AS w,
          ((('0x' || substr(md5(coalesce(doc_id::VARCHAR, '')), 1, 13))::BIGINT)::DOUBLE + 0.5) / 4503599627370496.0 AS u
@@ -156,17 +155,32 @@ s1 AS (SELECT *, 3 * source_size AS cap,
 lv AS (  -- water level with the k sources of the smallest cap / weight full
   SELECT cap / sw AS own, (sum(source_size) OVER () - coalesce(sum(cap) OVER (ORDER BY cap / sw, source IS NULL, source ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
          / (sum(sw) OVER () - coalesce(sum(sw) OVER (ORDER BY cap / sw, source IS NULL, source ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)) AS level FROM s1),
-l AS (SELECT arg_min(level, own) AS level FROM lv WHERE level <= own),
-s AS (SELECT source, source_size, CASE WHEN cap <= level * sw THEN cap::DOUBLE ELSE level * sw END AS target FROM s1, l),
+v AS (SELECT arg_min(level, own) AS level FROM lv WHERE level <= own),
+s AS (SELECT source, source_size, CASE WHEN cap <= level * sw THEN cap::DOUBLE ELSE level * sw END AS target FROM s1, v),
 r AS (SELECT *, coalesce(floor(target / nullif(source_size, 0)), 0)::BIGINT AS e FROM s),
 q AS (SELECT *, target - e * source_size AS rest FROM r),
 c AS (SELECT k.*, q.source_size, q.target, q.e, q.rest,
              sum(size) OVER (PARTITION BY k.source ORDER BY key, doc_id, size ROWS UNBOUNDED PRECEDING) AS upto
       FROM k JOIN q ON k.source IS NOT DISTINCT FROM q.source),
 g AS (SELECT source, max(rest) - coalesce(max(CASE WHEN upto <= rest THEN upto END), 0) AS gap FROM c GROUP BY source),
-z AS (SELECT c.source, arg_min(doc_id, (abs(size - gap), key, doc_id)) AS closing
-      FROM c JOIN g ON c.source IS NOT DISTINCT FROM g.source WHERE upto > rest AND abs(size - gap) < gap GROUP BY c.source)
+l AS (SELECT c.source, c.size, c.upto, g.gap, row_number() OVER (PARTITION BY c.source ORDER BY upto) AS i
+      FROM c JOIN g ON c.source IS NOT DISTINCT FROM g.source WHERE upto > rest AND size > 0),
+f AS (  -- the later documents one after the other: what still fits is taken
+  SELECT source, 0::BIGINT AS i, gap AS rest, NULL::BIGINT AS got FROM g
+  UNION ALL
+  SELECT l.source, l.i, CASE WHEN l.size <= f.rest THEN f.rest - l.size ELSE f.rest END, CASE WHEN l.size <= f.rest THEN l.upto::BIGINT END
+  FROM f JOIN l ON l.source IS NOT DISTINCT FROM f.source AND l.i = f.i + 1),
+h AS (SELECT source, min(rest) AS rest FROM f GROUP BY source),
+n AS (SELECT l.source, min(abs(l.size - h.rest)) AS m, arg_min(l.upto, (abs(l.size - h.rest), l.upto)) AS upto
+      FROM l JOIN h ON l.source IS NOT DISTINCT FROM h.source
+      WHERE abs(l.size - h.rest) < h.rest AND NOT EXISTS (SELECT 1 FROM f WHERE f.source IS NOT DISTINCT FROM l.source AND f.got = l.upto) GROUP BY l.source),
+o AS (SELECT source, min(abs(size - gap)) AS m, arg_min(upto, (abs(size - gap), upto)) AS upto FROM l WHERE abs(size - gap) < gap GROUP BY source),
+b AS (SELECT h.source, coalesce(o.m < coalesce(n.m, h.rest), false) AS alone, o.upto AS one, n.upto AS last
+      FROM h LEFT JOIN n ON n.source IS NOT DISTINCT FROM h.source LEFT JOIN o ON o.source IS NOT DISTINCT FROM h.source),
+z AS (SELECT source, one AS upto FROM b WHERE alone
+      UNION ALL SELECT source, last FROM b WHERE NOT alone AND last IS NOT NULL
+      UNION ALL SELECT f.source, f.got FROM f JOIN b ON b.source IS NOT DISTINCT FROM f.source WHERE NOT b.alone AND f.got IS NOT NULL)
 SELECT c.doc_id, c.size, c.source_size, c.target,
-       (c.size * (c.e + CASE WHEN c.upto <= c.rest OR c.doc_id = z.closing THEN 1 ELSE 0 END))::BIGINT AS taken
-FROM c LEFT JOIN z ON c.source IS NOT DISTINCT FROM z.source""",
+       (c.size * (c.e + CASE WHEN c.upto <= c.rest OR (z.upto IS NOT NULL AND c.size > 0) THEN 1 ELSE 0 END))::BIGINT AS taken
+FROM c LEFT JOIN z ON c.source IS NOT DISTINCT FROM z.source AND c.upto = z.upto""",
 }
