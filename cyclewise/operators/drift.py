@@ -356,17 +356,14 @@ def perturb(df: DataFrame, cols: list[str], keys: list[str], noise_factor: float
 
 
 # ------------------------------------------------------------------ impact (M11, A8)
-#: Relative accuracy of the quantiles that bracket a rank.
-RANK_ACCURACY = 10_000
-
-
-def exact_ranks(df: DataFrame, col: str, ranks: list[int]) -> dict[int, float | None]:
+def exact_ranks(df: DataFrame, col: str, ranks: list[int], buckets: int = 1024) -> dict[int, float | None]:
     """The values of the given ranks (1-based, ascending), exactly, without one task holding the column.
 
     Two approximate quantiles bracket all ranks; one aggregate counts the rows below, at, between and above them.  A
-    rank on a bracket is answered; the others go on in the open region that holds them, which is a few
-    ten-thousandths of the rows as a rule and always smaller, as its brackets are left out.
+    rank on a bracket is answered; the others go on in the open region that holds them, as a rule half of a
+    ``buckets``-th of the rows and always smaller, as its brackets are left out.
     """
+    accuracy = 10 * buckets
     x = df.select(F.col(col).cast("double").alias("v")).filter(F.col("v").isNotNull())
     n = x.count()
     out: dict[int, float | None] = {k: None for k in ranks if not 1 <= k <= n}
@@ -375,9 +372,9 @@ def exact_ranks(df: DataFrame, col: str, ranks: list[int]) -> dict[int, float |
         x, n, skip, wanted = todo.pop()
         if not wanted:
             continue
-        slack = 2.0 / RANK_ACCURACY
+        slack = 2.0 / accuracy
         probs = [max(0.0, (wanted[0] - skip - 1) / n - slack), min(1.0, (wanted[-1] - skip) / n + slack)]
-        lo, hi = x.agg(F.percentile_approx("v", probs, RANK_ACCURACY).alias("q")).first()["q"]
+        lo, hi = x.agg(F.percentile_approx("v", probs, accuracy).alias("q")).first()["q"]
         v = F.col("v")
         tests = [v < lo, v == lo, (v > lo) & (v < hi), (v == hi) & (v > lo), v > hi]
         counts = x.agg(*[F.count_if(t).alias(f"c{i}") for i, t in enumerate(tests)]).first()
@@ -391,9 +388,9 @@ def exact_ranks(df: DataFrame, col: str, ranks: list[int]) -> dict[int, float |
     return out
 
 
-def exact_rank_value(df: DataFrame, col: str, k: int) -> float | None:
+def exact_rank_value(df: DataFrame, col: str, k: int, buckets: int = 1024) -> float | None:
     """The ``k``-th smallest value, None beyond the rows."""
-    return exact_ranks(df, col, [k])[k]
+    return exact_ranks(df, col, [k], buckets)[k]
 
 
 def exact_median(df: DataFrame, col: str) -> float | None:

@@ -310,6 +310,7 @@ def fit_state(df: DataFrame, config: dict | None = None, with_lag_means: bool =
     feats = feature_names(sensors, cfg["rolling_window_sizes"], cfg["lag_steps"])
     means = {}
     if with_lag_means:
-        windows = window_features(minmax_transform(kept, scaler), sensors, [], cfg["lag_steps"], lag_fill=False)
+        narrow = minmax_transform(kept.select(*KEYS, *sensors), scaler)
+        windows = window_features(narrow, sensors, [], cfg["lag_steps"], lag_fill=False)
         means = lag_means(windows, _lag_columns(sensors, cfg))
     return FeatureState(cfg, sensors, scaler, feats, means)

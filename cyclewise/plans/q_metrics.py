@@ -16,7 +16,6 @@ from cyclewise.operators import metrics as mt
 from cyclewise.operators import model as md
 from cyclewise.plans.q_features import LI_SENSORS, fitted, sql_fitted_features, sql_scaled, sql_window_features
 from cyclewise.plans.registry import oracle, query, rnd, sql_round
-from cyclewise.session import cut_lineage
 from cyclewise.sources.views import fleet_lineitem, holdout_split, train_split, with_views
 
 SCORER = md.LinearModel(["s_3", "s_2"], [-40.0, 10.0], 60.0)
@@ -201,9 +200,13 @@ SELECT slope, my - slope * mx AS intercept FROM (
   FROM (SELECT {x} AS x, CAST({y} AS DOUBLE) AS y, avg({x}) OVER () AS mx, avg(CAST({y} AS DOUBLE)) OVER () AS my FROM ({src})))"""
 
 
+#: The one-feature queries compute the windows that the feature needs.
+RIDGE_CONFIG = {"rolling_window_sizes": [5], "lag_steps": []}
+
+
 @query("ridge_fit")
 def q_ridge(spark, sf):
-    feats, _ = fitted(spark, sf)
+    feats, _ = fe.fit_transform(train_split(fleet_lineitem(spark, sf)), RIDGE_CONFIG)
     m = md.ridge_fit(feats, [RIDGE_FEATURE], TARGET, alpha=1.0)
     return rnd(spark.createDataFrame([(RIDGE_FEATURE, m.coefficients[0], m.intercept)], "feature string, coefficient double, intercept double"), 4)
 
@@ -256,10 +259,9 @@ def o_group_kfold():
 @query("cv_rmse")
 def q_cv_rmse(spark, sf):
     """Group folds, one-feature ridge per fold, out-of-fold RMSE mean and std."""
-    feats, _ = fitted(spark, sf)
-    folds = md.group_kfold(train_split(fleet_lineitem(spark, sf)), FOLDS)
-    # the window pass runs once; the sums and the scores read the columns that they need
-    data = cut_lineage(md.with_folds(feats.select(UNIT, CYCLE, RIDGE_FEATURE, TARGET), folds), "cv-data")
+    train = train_split(fleet_lineitem(spark, sf))
+    feats, _ = fe.fit_transform(train, RIDGE_CONFIG)  # written once; the sums and the scores read the columns they need
+    data = md.with_folds(feats.select(UNIT, CYCLE, RIDGE_FEATURE, TARGET), md.group_kfold(train, FOLDS))
     oof = md.cv_predictions(data, [RIDGE_FEATURE], {"type": "ridge", "ridge": {"alpha": 1.0}})
     return rnd(md.cv_rmse(oof), 4)
 
