@@ -137,13 +137,15 @@ def search(vectors: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_
     """The ``k`` nearest rows found of each query row: ``query_id, rank, vec_id, score``; rank counts from 1.
 
     Every usable row but the query's own is a candidate; nearness is the cosine, ties go to the smaller id.  With
-    at most ``k`` candidates all are found.  Unusable vectors and null ids take no part.  Vectors must have one
-    length; of several vectors of one id the smallest counts.  Equal vectors are one entry of the index with the ``k + 1`` smallest of their ids, which is all
-    that a result can hold of them.
+    at most ``k`` candidates all are found.  Unusable vectors and null ids take no part, nor do vectors of another
+    length than the commonest (ties: the longer); of several vectors of one id the smallest counts.  Equal vectors are
+    one entry of the index with the ``k + 1`` smallest of their ids, which is all that a result can hold of them.
     """
     spark = vectors.sparkSession
     rows = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<double>").alias("v"), is_query.alias("is_query"))
-    rows = rows.filter(F.col("id").isNotNull() & usable(F.col("v"))).groupBy("id").agg(F.min("v").alias("v"), F.max("is_query").alias("is_query"))
+    rows = rows.filter(F.col("id").isNotNull() & usable(F.col("v")))
+    lengths = rows.groupBy(F.size("v").alias("n")).count().orderBy(F.desc("count"), F.desc("n")).first()
+    rows = rows.filter(F.size("v") == F.lit(lengths["n"] if lengths else 0)).groupBy("id").agg(F.min("v").alias("v"), F.max("is_query").alias("is_query"))
     rows = cut_lineage(rows, "ann-rows")
     # equal vectors: first in hashed sub-groups, then together, each keeping its k + 1 smallest ids
     salted = rows.withColumn("_s", F.pmod(F.xxhash64("id"), F.lit(64)))

@@ -258,3 +258,16 @@ def test_network_gradients_and_temperature():
     logits = rng.normal(size=20000)
     seen = (rng.random(20000) < 1 / (1 + np.exp(-logits / 3))).astype(float)
     assert abs(quality.temperature(logits, seen) - 3) < 0.3
+
+
+# ------------------------------------------------------------------ nearest vectors of different length
+def test_vectors_of_another_length_take_no_part(spark):
+    from cyclewise.llm import rpforest
+
+    rng = np.random.default_rng(6)
+    good = {i: rng.normal(size=4).tolist() for i in range(30)}
+    rows = [*good.items(), (100, [1.0, 2.0]), (101, [1.0] * 7), (102, []), (103, None), (104, [3.0] * 7)]
+    found = rpforest.search(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("vec_id") % 10 == 0, k=3).collect()
+    assert {r.query_id for r in found} == {0, 10, 20} and {r.vec_id for r in found} <= set(good)
+    alone = rpforest.search(spark.createDataFrame(list(good.items()), "vec_id long, embedding array<double>"), F.col("vec_id") % 10 == 0, k=3).collect()
+    assert sorted(map(tuple, found)) == sorted(map(tuple, alone))
