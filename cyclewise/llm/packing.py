@@ -1,9 +1,11 @@
 """Best-fit packing of token pieces into sequences of one length.
 
 The lengths' histogram is all that the plan needs.  A configuration linear program over it is solved by
-multiplicative weights: each round a knapsack dynamic program prices the best filling of a sequence under the
-current weights.  The fractional solution is rounded down, best fit packs what remains, and the configurations
-become ranges of ranks, by which the pieces find their places in parallel.
+multiplicative weights: a knapsack dynamic program prices, under the current weights, the best filling of a
+sequence around every length at once, and lengths that were handed out lose weight.  The fractional solution is
+rounded to whole sequences, the program is solved again for what rounding left, and best fit packs the few pieces
+that no rounded configuration takes.  The configurations become ranges of ranks, by which the pieces find their
+places in parallel.
 """
 
 from __future__ import annotations
@@ -21,52 +23,141 @@ from cyclewise.llm.common import bound_batches, cut_lineage
 from cyclewise.llm.tokens import encoder
 
 CAPACITY = 2048
-#: Rounds of multiplicative weights, and how strongly a round's coverage lowers a length's weight.
-ROUNDS, RATE = 400, 4.0
-#: Share of a length's pieces that one round hands out at most.
-STEP = 1 / 8
+#: Rounds of pricing at most, and the phases that they are spread over: after each, no length has been handed out beyond
+#: the same share of its pieces.
+ROUNDS, PHASES = 60, 6
+#: How strongly the share of a length that was handed out lowers its weight.
+RATE = 1.0
+#: A filling is used if its price, under the current or the starting weights, is within this share of the best.
+SLACK = 0.0003
+#: A phase ends early with a round that hands out less than this share of the pieces.
+LEAST = 0.0002
+#: Times that the program is solved again for what rounding left.
+PASSES = 3
+#: Parts of the rounded sequences that are kept while best fit packs the rest.
+KEEP = (1.0, 0.9, 0.75, 0.5, 0.25, 0.1)
 #: Pieces of one length that a window ranks on average.
-BUCKET_ROWS = 20_000
+BUCKET_ROWS = 1_000
+
+
+class Prices:
+    """The highest total value of lengths (repeats allowed) that fit, for every capacity up to the given one."""
+
+    def __init__(self, value: np.ndarray, lengths: np.ndarray, capacity: int):
+        self.lengths, self.best = lengths, np.zeros(capacity + 1)
+        # the length that ends the best filling, and the last capacity at which one was added
+        self.pick, self.last = [0] * (capacity + 1), [0] * (capacity + 1)
+        fits = np.searchsorted(lengths, np.arange(capacity + 1), side="right").tolist()
+        best, low = self.best, 0.0
+        for c in range(1, capacity + 1):
+            self.last[c] = self.last[c - 1]
+            if fits[c]:
+                got = best[c - lengths[: fits[c]]] + value[: fits[c]]
+                k = int(got.argmax())
+                if got[k] > low:
+                    low, self.pick[c], self.last[c] = float(got[k]), int(lengths[k]), c
+            best[c] = low
+
+    def filling(self, capacity: int) -> dict[int, int]:
+        """The best filling of a capacity: how many of each length."""
+        out: dict[int, int] = {}
+        c = self.last[capacity]
+        while c:
+            x = self.pick[c]
+            out[x] = out.get(x, 0) + 1
+            c = self.last[c - x]
+        return out
 
 
 def knapsack(value: np.ndarray, lengths: np.ndarray, capacity: int) -> dict[int, int]:
     """The multiset of lengths (repeats allowed) of the highest total value that fits."""
-    best = np.zeros(capacity + 1)
-    pick = np.zeros(capacity + 1, dtype=np.int64)
-    for c in range(1, capacity + 1):
-        n = int(np.searchsorted(lengths, c, side="right"))
-        best[c], pick[c] = best[c - 1], 0
-        if n:
-            got = best[c - lengths[:n]] + value[:n]
-            k = int(np.argmax(got))
-            if got[k] > best[c]:
-                best[c], pick[c] = got[k], lengths[k]
-    out: dict[int, int] = {}
-    c = capacity
-    while c > 0:
-        if pick[c]:
-            out[int(pick[c])] = out.get(int(pick[c]), 0) + 1
-            c -= int(pick[c])
-        else:
-            c -= 1
-    return out
+    return Prices(value, lengths, capacity).filling(capacity)
+
+
+def starting_weights(lengths: np.ndarray, total: np.ndarray, capacity: int) -> np.ndarray:
+    """Weights from which the program starts: those of the best simple lower bound.
 
+    With a limit e of up to half the capacity, pieces longer than ``capacity - e`` weigh a whole sequence, those
+    shorter than e nothing, others their length; no sequence holds more than its capacity of that.  A little of
+    the length itself is added, so that fillings of equal worth prefer a smaller gap.
+    """
+    best, most = lengths.astype(np.float64), float(total @ lengths)
+    for e in np.unique(np.minimum(lengths, capacity + 1 - lengths)):
+        if 1 < e <= capacity // 2:
+            weight = np.where(lengths > capacity - e, capacity, np.where(lengths < e, 0, lengths)).astype(np.float64)
+            if float(total @ weight) > most:
+                best, most = weight, float(total @ weight)
+    return 0.95 * best + 0.05 * lengths
 
-def solve_configurations(counts: dict[int, int], capacity: int = CAPACITY, rounds: int = ROUNDS) -> list[tuple[dict[int, int], float]]:
-    """Fractional configurations (pieces per sequence, how many sequences) that hand out no length beyond its count."""
-    lengths = np.array(sorted(counts), dtype=np.int64)
-    need = np.array([counts[int(x)] for x in lengths], dtype=np.float64)
-    at = {int(x): i for i, x in enumerate(lengths)}
-    used, found = np.zeros(len(lengths)), {}
-    for _ in range(rounds if len(lengths) else 0):
-        config = knapsack(lengths * np.exp(-RATE * used), lengths, capacity)
-        step = min(max(STEP * need[at[x]], 1.0) / n for x, n in config.items())
-        for x, n in config.items():
-            used[at[x]] += step * n / need[at[x]]
-        key = tuple(sorted(config.items(), reverse=True))
-        found[key] = found.get(key, 0.0) + step
-    scale = 1.0 / max(1.0, used.max(initial=0.0))
-    return [(dict(k), x * scale) for k, x in found.items()]
+
+def solve_configurations(counts: dict[int, int], capacity: int = CAPACITY, rounds: int = ROUNDS) -> tuple[dict[tuple, float], float]:
+    """Fractional configurations ((length, pieces), ...) -> how many sequences, which hand out no length beyond its count.
+
+    Also returns a lower bound on the sequences that any packing needs: the weights of all pieces over the
+    price of the best filling under them.
+    """
+    need = {x: n for x, n in sorted(counts.items()) if n}
+    lengths, total = np.array(list(need), dtype=np.int64), np.array(list(need.values()), dtype=np.float64)
+    used = np.zeros(len(lengths))
+    at = {x: i for i, x in enumerate(need)}
+    found: dict[tuple, float] = {}
+    bound = 0.0
+    phases = min(PHASES, rounds)
+    start = starting_weights(lengths, total, capacity)
+    first = Prices(start, lengths, capacity).best[capacity]
+    for phase in range(phases if need else 0):
+        room = (phase + 1) / phases * total - used * total
+        top = 0.0
+        for _ in range(rounds // phases):
+            open_ = np.flatnonzero(room > 1e-9)
+            if not len(open_):
+                break
+            weight = start * np.exp(-RATE * used)
+            prices = Prices(weight[open_], lengths[open_], capacity)
+            if len(open_) == len(lengths):
+                top = prices.best[capacity]
+                bound = max(bound, float(total @ weight) / top)
+            worth = weight[open_] + prices.best[capacity - lengths[open_]]
+            moved = 0.0
+            for k in np.lexsort((-lengths[open_], -worth)).tolist():
+                x = int(lengths[open_[k]])
+                if room[open_[k]] <= 1e-9:
+                    continue
+                config = prices.filling(capacity - x)
+                config[x] = config.get(x, 0) + 1
+                if worth[k] < (1 - SLACK) * top and sum(start[at[y]] * n for y, n in config.items()) < (1 - SLACK) * first:
+                    continue
+                many = min(room[at[y]] / n for y, n in config.items())
+                if many <= 1e-9:
+                    continue
+                for y, n in config.items():
+                    room[at[y]] -= many * n
+                    used[at[y]] += many * n / need[y]
+                    moved += many * n
+                key = tuple(sorted(config.items(), reverse=True))
+                found[key] = found.get(key, 0.0) + many
+            if moved < LEAST * total.sum():
+                break
+    return found, bound
+
+
+def round_configurations(found: dict[tuple, float], left: dict[int, int]) -> dict[tuple, int]:
+    """Whole sequences out of fractional ones; takes their pieces out of ``left``.
+
+    The largest uses come first; what one loses to rounding the next ones get, as long as pieces are left.
+    """
+    chosen: dict[tuple, int] = {}
+    due, given = 0.0, 0
+    for config, x in sorted(found.items(), key=lambda c: (-c[1], c[0])):
+        due += x
+        whole = int(due + 1e-6) - given
+        given += whole
+        many = min([whole, *(left[k] // n for k, n in config)])
+        if many > 0:
+            chosen[config] = many
+            for k, n in config:
+                left[k] -= n * many
+    return chosen
 
 
 def best_fit(counts: dict[int, int], capacity: int = CAPACITY) -> dict[tuple, int]:
@@ -107,6 +198,18 @@ def best_fit(counts: dict[int, int], capacity: int = CAPACITY) -> dict[tuple, in
     return out
 
 
+def take_share(chosen: dict[tuple, int], share: float) -> dict[tuple, int]:
+    """About that share of the sequences of every configuration, evenly over all of them."""
+    out, due, given = {}, 0.0, 0
+    for config, many in sorted(chosen.items()):
+        due += many * share
+        keep = min(many, int(due + 1e-9) - given)
+        given += keep
+        if keep:
+            out[config] = keep
+    return out
+
+
 @dataclass
 class Plan:
     """Ranges of ranks of each length, sorted by (length, first rank): where the pieces of a range go."""
@@ -116,6 +219,8 @@ class Plan:
     each: np.ndarray  # pieces of the length in one sequence
     place: np.ndarray  # place of the first of them
     sequences: int
+    placed: int  # pieces in rounded configurations; best fit placed the others
+    bound: float  # sequences that no packing can do without
 
     def locate(self, length: np.ndarray, rank: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         i = np.searchsorted(self.key, (length << 40) + rank, side="right") - 1
@@ -124,25 +229,34 @@ class Plan:
 
 
 def plan_packing(counts: dict[int, int], capacity: int = CAPACITY, rounds: int = ROUNDS) -> Plan:
-    """Rounds the linear program's solution down, packs the rest by best fit, and lays out ranks.
+    """Rounds the linear program's solution, solves it again for the rest, packs what is then left by best fit, and
+    lays out ranks.
 
-    Where plain best fit needs fewer sequences, its configurations are taken.  The number of configurations
-    depends on the capacity and the rounds, not on how many pieces there are.
+    What rounding left may lack the short pieces that fill gaps.  So best fit is also tried with a part of every
+    rounded configuration's sequences taken back (``KEEP``); the fewest sequences win, then the larger part kept.
+    The number of configurations depends on the capacity and the rounds, not on how many pieces there are.
     """
     left = dict(counts)
-    chosen: dict[tuple, int] = {}
-    for config, x in sorted(solve_configurations(counts, capacity, rounds), key=lambda c: -c[1]):
-        many = min([int(x), *(left[k] // n for k, n in config.items())])
-        if many:
-            key = tuple(sorted(config.items(), reverse=True))
-            chosen[key] = chosen.get(key, 0) + many
-            for k, n in config.items():
-                left[k] -= n * many
-    for key, many in best_fit(left, capacity).items():
-        chosen[key] = chosen.get(key, 0) + many
-    plain = best_fit(counts, capacity)
-    if sum(plain.values()) < sum(chosen.values()):
-        chosen = plain
+    rounded: dict[tuple, int] = {}
+    bound = 0.0
+    for _ in range(PASSES):
+        found, least = solve_configurations(left, capacity, rounds)
+        bound = max(bound, least)
+        for config, many in round_configurations(found, left).items():
+            rounded[config] = rounded.get(config, 0) + many
+    chosen, placed = {}, 0
+    for share in KEEP:
+        kept, rest = take_share(rounded, share), dict(counts)
+        for config, many in kept.items():
+            for k, n in config:
+                rest[k] -= n * many
+        plan = dict(kept)
+        for config, many in best_fit(rest, capacity).items():
+            plan[config] = plan.get(config, 0) + many
+        if not chosen or sum(plan.values()) < sum(chosen.values()):
+            chosen, placed = plan, sum(counts.values()) - sum(rest.values())
+        if sum(chosen.values()) <= int(np.ceil(bound - 1e-6)):
+            break
     given = dict.fromkeys(counts, 0)
     rows, sequence = [], 0
     for config, many in sorted(chosen.items()):
@@ -154,7 +268,7 @@ def plan_packing(counts: dict[int, int], capacity: int = CAPACITY, rounds: int =
         sequence += many
     rows.sort()
     cols = np.array(rows, dtype=np.int64).reshape(-1, 4)
-    return Plan(cols[:, 0], cols[:, 1], cols[:, 2], cols[:, 3], sequence)
+    return Plan(cols[:, 0], cols[:, 1], cols[:, 2], cols[:, 3], sequence, placed, bound)
 
 
 def cut_pieces(docs: DataFrame, tokenizer: str, end_id: int, capacity: int = CAPACITY, id_col: str = "doc_id", text_col: str = "text",

@@ -179,6 +179,28 @@ def test_knapsack_and_plan_against_counts():
     assert sum({2: 3.0, 3: 4.0, 7: 9.0}[k] * v for k, v in best.items()) == 13.0
 
 
+def test_plan_where_best_fit_is_worse():
+    for times in (1, 1000):
+        counts = {k: v * times for k, v in {51: 6, 27: 6, 26: 6, 23: 12}.items()}
+        assert sum(packing.best_fit(counts, 100).values()) >= 11 * times
+        plan = packing.plan_packing(counts, 100)
+        assert plan.sequences == 9 * times and plan.placed == sum(counts.values())
+        assert plan.bound == pytest.approx(9 * times)
+
+
+def test_program_places_a_large_part():
+    rng = np.random.default_rng(0)
+    for low, high in ((1, 2048), (500, 1200)):
+        counts = {int(k): int(v) for k, v in zip(*np.unique(rng.integers(low, high, 10_000), return_counts=True), strict=True)}
+        found, bound = packing.solve_configurations(counts)
+        for k, v in counts.items():  # nothing is handed out beyond its count
+            assert sum(x * dict(c).get(k, 0) for c, x in found.items()) <= v + 1e-6
+        plan, plain = packing.plan_packing(counts), sum(packing.best_fit(counts).values())
+        assert bound <= plan.bound + 1e-6 and plan.bound <= plan.sequences + 1e-6
+        assert plan.sequences <= plain and plan.sequences <= 1.02 * plan.bound
+        assert plan.placed > 0.4 * sum(counts.values())
+
+
 @pytest.fixture(scope="module")
 def encoded(corpus_rows):
     def run(name, end):
