@@ -10,17 +10,19 @@ from __future__ import annotations
 
 import json
 import re
+import string
 import unicodedata
 from array import array
 
 from tokenizers import Tokenizer
 
 #: Entries of a generation of the caches of pieces and of pre-tokens, two generations each; about 200 bytes an entry:
-#: 150 MB a Python worker at most.
-CACHE_PIECES, CACHE_WORDS = 200_000, 150_000
+#: 250 MB a Python worker at most.
+CACHE_PIECES, CACHE_WORDS = 200_000, 350_000
 
 _PIECE = re.compile(rb"[ \t\n\r\x0b\f]*[^ \t\n\r\x0b\f]+|[ \t\n\r\x0b\f]+")
-_CORE = re.compile(r"( ?)([^\W\d_]+)([!-&(-/:-@\[-`{-~]*)")
+#: ASCII punctuation without the apostrophe, which takes letters behind it into its pre-token.
+_SIGNS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 _LOOSE = re.compile(rb" [ \t\n\r\x0b\f]")
 
 
@@ -53,14 +55,18 @@ class Encoder:
         #: white space never reaches a token: pieces need not carry it
         self.drops_space = "Removed" in json.dumps(spec.get("pre_tokenizer"))
         self.lowers = self._normal("ABC") == "abc"
-        self.words = _Kept(lambda word: array("I", [t.id for t in self.tokenizer.model.tokenize(word)]).tobytes(), CACHE_WORDS)
+        self.words = _Kept(self._word_ids, CACHE_WORDS)
+        self._tokenize = self.tokenizer.model.tokenize
         self.letters: dict[str, str | None] = {}
         self.tails: dict[str, bytes] = {"": b""}
         start = self.tokenizer.pre_tokenizer.pre_tokenize_str(" a")
         self.start = start[0][0][:-1] if len(start) == 1 and start[0][0].endswith("a") else None
+        #: ASCII letters are to the model what they are in the text, lower-cased where the tokenizer does so
+        letters = string.ascii_letters
+        self.same = "".join(self._letter(c) or "" for c in letters) == (letters.lower() if self.lowers else letters)
         # where white space is dropped all pieces are plain; else nearly all follow a blank
         self.plain = _Kept(lambda p: self.piece_ids(p.decode("utf-8", "surrogatepass")), CACHE_PIECES if self.drops_space else CACHE_PIECES // 4)
-        self.spaced = _Kept(lambda p: self.piece_ids(" " + p.decode("utf-8", "surrogatepass")), CACHE_PIECES)
+        self.spaced = _Kept(lambda p: self.piece_ids(p.decode("utf-8", "surrogatepass"), " "), CACHE_PIECES)
 
     def _normal(self, text: str) -> str:
         return self.tokenizer.normalizer.normalize_str(text) if self.tokenizer.normalizer is not None else text
@@ -72,15 +78,29 @@ class Encoder:
             self.letters[c] = parts[0][0] if len(parts) == 1 and self._normal(c).isalpha() else None
         return self.letters[c]
 
-    def piece_ids(self, piece: str) -> bytes:
-        m = _CORE.fullmatch(piece)
-        if m and self.start is not None and m[2].isalpha() and unicodedata.is_normalized("NFC", m[2]):
-            mapped = [self._letter(c) for c in m[2]]
-            if None not in mapped:
-                if m[3] not in self.tails:
-                    self.tails[m[3]] = self._whole(m[3])
-                return self.words[(self.start if m[1] else "") + "".join(mapped)] + self.tails[m[3]]
-        return self._whole(piece)
+    def _word_ids(self, word: str) -> bytes:
+        return array("I", [t.id for t in self._tokenize(word)]).tobytes()
+
+    def piece_ids(self, piece: str, blank: str = "") -> bytes:
+        """The ids of a piece, or of a blank and the piece behind it."""
+        word = piece.rstrip(_SIGNS)
+        if self.start is not None and word.isalpha():
+            tail = piece[len(word) :]
+            if self.same and word.isascii():
+                mapped = word.lower() if self.lowers else word
+            elif unicodedata.is_normalized("NFC", word):
+                parts = [self._letter(c) for c in word]
+                mapped = None if None in parts else "".join(parts)
+            else:
+                mapped = None
+            if mapped is not None:
+                ids = self.words[self.start + mapped if blank else mapped]
+                if not tail:
+                    return ids
+                if tail not in self.tails:
+                    self.tails[tail] = self._whole(tail)
+                return ids + self.tails[tail]
+        return self._whole(blank + piece)
 
     def _whole(self, piece: str) -> bytes:
         tok = self.tokenizer
