@@ -23,6 +23,8 @@ from cyclewise.llm.common import bound_batches
 
 #: Pages that the labeller is trained on, at most, in the order of a hash of their ids.
 SAMPLE_PAGES = 500
+#: Blocks of a page that it teaches with at most, half of them its first; reading is of whole pages.
+TRAIN_BLOCKS = 60
 PATH_DIMS, WORD_DIMS, HIDDEN = 96, 32, 16
 STEPS, BATCH, RATE = 260, 24, 0.02
 
@@ -140,7 +142,7 @@ def _path_vector(path: tuple[str, ...]) -> np.ndarray:
         if len(_PATHS) > 50_000:
             _PATHS.clear()
         got = np.zeros(PATH_DIMS, np.float32)
-        for part in path[-8:] if len(path) > 8 else path:
+        for part in path:
             for k, name in enumerate(part.split(".")):
                 # known names have a place of their own kind; a tag and a class of one name are the same word
                 if name in ("html", "body") and k == 0:
@@ -330,22 +332,39 @@ def _varied(blocks: list[Block], labels: list[int], rng) -> tuple[list[Block], l
     return out, marks
 
 
-def fit(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", sample_pages: int = SAMPLE_PAGES, seed: int = 11) -> Labeller:
-    """Trains on a bounded sample of pages: those whose names say of every block what it is."""
+def likely_label(block: Block) -> int:
+    """The label by names; where these do not say, by form: running text of a few words that is not mostly links is main text."""
+    named = named_label(block.path)
+    if named is not None:
+        return named
+    return int(len(block.text.split()) >= 5 and block.linked <= 0.5 * len(block.text))
+
+
+def fit(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", sample_pages: int = SAMPLE_PAGES, seed: int = 11,
+        page_blocks: int = TRAIN_BLOCKS) -> Labeller:
+    """Trains on a bounded sample of pages: those whose names say of every block what it is.
+
+    If there is no such page in the sample, its blocks are labelled by ``likely_label``, and the pages' parts take the
+    varied names all the same.  A page teaches with its first and last blocks, ``page_blocks`` at most.  Rows repeated or of
+    one id are sampled each, ``sample_pages`` in all; without any page that has text the model stays untrained.
+    """
     bound_batches(pages.sparkSession)
     sample = pages.filter(F.col(html_col).isNotNull()).select(F.col(id_col).alias("i"), F.col(html_col).cast("string").alias("h"))
     ids = sample.select("i").orderBy(F.xxhash64("i"), "i").limit(sample_pages)
     texts = [r["h"] for r in sample.join(ids.distinct(), "i", "left_semi").orderBy(F.xxhash64("i"), "i", F.xxhash64("h")).limit(sample_pages).toLocalIterator()]
-    known = []
+    known, guessed = [], []
     for t in texts:
         blocks = blocks_of(t)
-        # a long page teaches with its first and last blocks; reading is of whole pages
-        if len(blocks) > 60:
-            blocks = blocks[:30] + blocks[-30:]
+        if len(blocks) > page_blocks:
+            blocks = blocks[: page_blocks // 2] + blocks[-(page_blocks // 2) :]
         marks = [named_label(b.path) for b in blocks]
         if blocks and 1 in marks and None not in marks:
             known.append((blocks, marks))
+        marks = [likely_label(b) for b in blocks]
+        if 1 in marks:
+            guessed.append((blocks, marks))
     model, rng = Labeller(seed), np.random.default_rng(seed)
+    known = known or guessed
     if known:
 
         def make(batch):

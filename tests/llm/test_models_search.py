@@ -247,6 +247,25 @@ def test_gradient():
         assert abs((loss[0] - loss[1]) / 0.02 - g[k][at]) < 0.02 * abs(g[k][at]) + 1e-4
 
 
+def test_whole_tag_path_is_read():
+    deep = ("html", "body", "section.comments", *["ul", "li"] * 6, "p")
+    plain = ("html", "body", "section", *["ul", "li"] * 6, "p")
+    assert (html_text._path_vector(deep) != html_text._path_vector(plain)).any()
+    assert html_text.named_label(deep) == 0
+
+
+def test_pages_without_names_keep_their_article(spark):
+    words = "the river runs past old mills and quiet fields where people walk on long warm days".split()
+    rows = []
+    for i in range(40):
+        paragraphs = "".join(f"<p>{' '.join(words[(i + k + j) % len(words)] for j in range(25 + k))}.</p>" for k in range(5))
+        rows.append((i, f"u{i}", f"<html><body><div>{paragraphs}</div></body></html>"))
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    out = html_text.extract(pages, html_text.fit(pages)).collect()
+    assert len(out) == 40
+    assert all(r.n_kept == r.n_blocks == 5 for r in out)
+
+
 def test_extract(pages):
     model = html_text.fit(pages, sample_pages=40)
     out = {r.page_id: r for r in html_text.extract(pages, model).collect()}
