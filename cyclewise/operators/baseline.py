@@ -15,11 +15,13 @@ from pyspark.sql import functions as F
 
 from cyclewise.config import MONITORING_DEFAULTS
 from cyclewise.operators import drift as dr
-from cyclewise.operators.ordering import count_upto, running_totals
-from cyclewise.session import scratch_path
+from cyclewise.operators.ordering import running_totals, with_count_upto
+from cyclewise.session import cut_lineage, scratch_path
 
 #: Value ranges per feature.
 RANGES = 256
+#: A sample of at most so many distinct values of a feature is ordered in one task.
+WHOLE_VALUES = 1 << 16
 
 
 def tall(df: DataFrame, keys: list[str], features: list[str]) -> DataFrame:
@@ -50,7 +52,7 @@ class BaselineIndex:
 
         Points of a feature that the index does not know are dropped.
         """
-        at = points.join(self.ranges, "feature").withColumn("range", count_upto(F.col("bounds"), F.col("value"), RANGES + 1)).drop("bounds")
+        at = with_count_upto(points.join(F.broadcast(self.ranges), "feature"), "range", "bounds", "value", RANGES + 1).drop("bounds")
         touched = at.select("feature", "range").distinct()
         base = self.values.join(touched, ["feature", "range"], "left_semi").select(
             "feature", "range", "value", F.struct(F.col("value").alias("v"), "upto", "before").alias("_b"), F.lit(0).alias("_side"))
@@ -75,9 +77,9 @@ def build(baseline: DataFrame, features: list[str], path: str | None = None) ->
     bounds = counts.groupBy("feature").agg(
         F.sum("r").alias("n_ref"), F.array_sort(F.array_distinct(F.concat(F.array(F.min("value")), F.percentile_approx("value", probs)))).alias("bounds"))
     bounds.write.mode("overwrite").parquet(f"{path}/ranges")
-    run = running_totals(counts, "feature", "value", ["r"]).select("feature", "value", F.col("cum_r").alias("upto"), (F.col("cum_r") - F.col("r")).alias("before"))
+    run = running_totals(counts, "feature", "value", ["r"], few_parts=True).select("feature", "value", F.col("cum_r").alias("upto"), (F.col("cum_r") - F.col("r")).alias("before"))
     index = BaselineIndex(spark, path)
-    run = run.join(index.ranges.select("feature", "bounds"), "feature").withColumn("range", count_upto(F.col("bounds"), F.col("value"), RANGES + 1)).drop("bounds")
+    run = with_count_upto(run.join(F.broadcast(index.ranges.select("feature", "bounds")), "feature"), "range", "bounds", "value", RANGES + 1).drop("bounds")
     # a range's rows together and ranges in order, so that a lookup skips row groups
     run.repartition("feature", "range").sortWithinPartitions("feature", "range", "value").write.mode("overwrite").parquet(f"{path}/values")
     return index
@@ -86,18 +88,32 @@ def build(baseline: DataFrame, features: list[str], path: str | None = None) ->
 def sample_ks(counts: DataFrame, index: BaselineIndex, keys: list[str]) -> DataFrame:
     """KS distance and p of each sample against the baseline.
 
-    ``counts``: (keys, feature, value, c).  Output ``keys, feature, n_ref, n_cur, ks_d, ks_p``.  A sample's running
-    counts go by value ranges, so a sample that holds most readings is many tasks.
+    ``counts``: (keys, feature, value, c).  Output ``keys, feature, n_ref, n_cur, ks_d, ks_p``.  The baseline is looked
+    up once per distinct value.  A sample's running counts are one window over its values; of a sample of more than
+    ``WHOLE_VALUES`` values they go by value ranges, so a sample that holds most readings is many tasks.
     """
     whole = [*keys, "feature"]
-    c = counts.withColumn("pkey", F.to_json(F.struct(*whole)))
-    totals = c.groupBy("pkey").agg(F.sum("c").alias("n_cur"))
-    run = running_totals(c, "pkey", "value", ["c"]).join(totals, "pkey")
-    met = index.lookup(run)
+    counts = cut_lineage(counts, "sample-counts")
+    points = counts.select("feature", "value").distinct()
+    met = counts.join(index.lookup(points), ["feature", "value"])
+    # never more rows than values / WHOLE_VALUES
+    large = counts.groupBy(*whole).agg(F.count(F.lit(1)).alias("_v"), F.sum("c").alias("n_cur")).filter(F.col("_v") > F.lit(WHOLE_VALUES))
+    large = F.broadcast(cut_lineage(large.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(whole)], "n_cur"), "large-samples"))
+    same = F.lit(True)
+    for i, k in enumerate(whole):
+        same = same & F.col(k).eqNullSafe(F.col(f"_k{i}"))
     n, m = F.col("n_ref"), F.col("n_cur")
     here = F.abs(F.col("upto") / n - F.col("cum_c") / m)
     below = F.abs(F.col("before") / n - (F.col("cum_c") - F.col("c")) / m)
-    per = met.groupBy(*whole).agg(F.max("n_ref").alias("n_ref"), F.max("n_cur").alias("n_cur"), F.max(F.greatest(here, below)).alias("ks_d"))
+
+    def distances(run: DataFrame) -> DataFrame:
+        return run.groupBy(*whole).agg(F.max("n_ref").alias("n_ref"), F.max("n_cur").alias("n_cur"), F.max(F.greatest(here, below)).alias("ks_d"))
+
+    own = Window.partitionBy(*whole)
+    run = met.join(large, same, "left_anti")
+    run = run.withColumn("n_cur", F.sum("c").over(own)).withColumn("cum_c", F.sum("c").over(own.orderBy("value").rowsBetween(Window.unboundedPreceding, 0)))
+    split = met.join(large, same).drop(*[f"_k{i}" for i in range(len(whole))]).withColumn("pkey", F.to_json(F.struct(*whole)))
+    per = distances(run).unionByName(distances(running_totals(split, "pkey", "value", ["c"])))
     p = dr.ks_pvalue(F.col("ks_d"), n.cast("double"), m.cast("double"))
     return per.select(*whole, n.cast("long").alias("n_ref"), m.cast("long").alias("n_cur"), "ks_d", p.alias("ks_p"))
 
