@@ -24,13 +24,15 @@ SELECT n_rows, checksum, substr(sha256(CAST(checksum AS VARCHAR) || ':' || CAST(
   FROM ({src}))"""
 
 
+#: Digits that the engines' fingerprints share.
+DIGITS = 4
 DOUBLES = {c for c in RAW_COLUMNS if c not in (UNIT, CYCLE)}
 
 
 # ---------------------------------------------------------------- G1
 @query("table_fingerprint")
 def q_fingerprint(spark, sf):
-    return lg.table_fingerprint(lg.fixed_point(fleet_full(spark, sf)))
+    return lg.table_fingerprint(fleet_full(spark, sf), digits=DIGITS)
 
 
 @oracle("table_fingerprint")
@@ -68,7 +70,7 @@ FROM fleet_lineitem GROUP BY unit_number""")
 def q_audit(spark, sf):
     train = train_split(fleet_full(spark, sf))
     rep = va.dataset_report("train", "RawSensorSchema", train, va.raw_violations(train))
-    return lg.audit_row(lg.fixed_point(train), rep, "train_raw")
+    return lg.audit_row(train, rep, "train_raw", digits=DIGITS)
 
 
 @oracle("audit_row")
@@ -105,7 +107,7 @@ def _version(spark, sf, second: bool) -> str:
         rows = rows.filter("grp <> 6").withColumn("l_partkey", F.when((F.col("grp") == 3) & (F.col("l_linenumber") == 7), F.lit(0)).otherwise(F.col("l_partkey")))
         rows = rows.withColumn("grp", F.when((F.col("grp") == 1) & (F.col("l_linenumber") == 1), F.lit(9)).otherwise(F.col("grp")))
     path = scratch_path(spark, "versions")
-    rows.repartition(4).write.partitionBy("grp").parquet(path)
+    rows.write.partitionBy("grp").parquet(path)
     return path
 
 
@@ -136,7 +138,7 @@ def q_audit_log(spark, sf):
     path, full = scratch_path(spark, "audit-log"), fleet_full(spark, sf)
     for name, rows in (("all", full), ("train", train_split(full))):
         report = va.gate_report(name, "RawSensorSchema", rows)
-        lg.append_audit(lg.audit_row(lg.fixed_point(rows), report, name, with_time=True), path)
+        lg.append_audit(lg.audit_row(rows, report, name, with_time=True, digits=DIGITS), path)
     log = lg.read_audit(spark, path)
     return log.withColumn("timed", F.col("logged_at").rlike("^[0-9]{8}-[0-9]{6}$")).drop("logged_at")
 

@@ -87,3 +87,64 @@ def test_ks_p_of_an_empty_side_and_of_large_samples(spark):
     lam = (en + 0.12 + 0.11 / en) * 0.01
     want = 2 * sum((-1) ** (j - 1) * np.exp(-2 * j * j * lam * lam) for j in range(1, 101))
     assert got[0] == pytest.approx(want, abs=1e-12) and got[1:] == [1.0, None, None]
+
+
+def test_half_up_and_fixed_point_as_decimals_round(spark):
+    from decimal import ROUND_HALF_UP, Decimal
+
+    from cyclewise.functions import lineage as lg
+
+    values = [0.0, -0.0, 0.5, -0.5, 1.5, 2.5, -2.5, 0.49999999999999994, -0.49999999999999994, 4503599627370495.5, 2.0**62, -(2.0**63), 1e300, float("nan"), float("inf"), 0.00005, 12.34565]
+    got, none = lg.half_up(np.array(values))
+    for v, g, n in zip(values, got, none):
+        want = int(Decimal(v).quantize(Decimal(1), ROUND_HALF_UP)) if abs(v) <= 2.0**63 else None
+        assert (None if n else g) == want, v
+    df = spark.createDataFrame([(1, v, "a|b") for v in values] + [(None, None, None)], "k int, x double, t string")
+    by_columns = [r[0] for r in df.select(F.round(F.col("x") * F.lit(10000.0)).try_cast("long")).collect()]
+    assert [r["x"] for r in lg.fixed_point(df).collect()] == by_columns
+    fused = lg.table_fingerprint(df, digits=4).first()
+    assert fused == lg.table_fingerprint(lg.fixed_point(df)).first()
+
+
+def test_wide_fingerprint_and_gate_leave_the_row_columns_to_batches(spark):
+    """One projection of 26 texts or 70 rules is a method that the JVM does not compile."""
+    import hashlib
+
+    from frames import plausible_frame
+
+    from cyclewise.functions import lineage as lg
+    from cyclewise.operators import validate as va
+
+    pdf = plausible_frame()
+    pdf.loc[3, "s_2"], pdf.loc[4, "s_3"] = np.nan, 1e6
+    df = spark.createDataFrame(pdf).repartition(3)
+    for plan in (lg.table_fingerprint(df, digits=4), va.violations(df, va.RAW_RULES), va.gate_report("d", "s", df)):
+        assert "MapInArrow" in physical(plan) and "md5" not in physical(plan)
+    found = {(r["check"], r["column"], r["unit_number"], r["time_cycles"], r["failure_value"]) for r in va.raw_violations(df).collect()}
+    assert found == {("not_nullable", "s_2", 1, 4, None), ("s_3 above physical maximum", "s_3", 1, 5, 1e6)}
+    assert va.gate_report("d", "s", df).first()["error_count"] == 2
+    empty = va.gate_report("d", "s", df.limit(0)).first()
+    assert (empty["n_rows"], empty["error_count"]) == (0, 0)
+
+    rows = [(1, -7, "é|x", 2.5, True), (None, 2**62, None, float("nan"), None)]
+    small = spark.createDataFrame(rows, "i int, l long, t string, d double, b boolean")
+    hexes = [r["h"] for r in small.select(F.hex(F.xxhash64("d")).alias("h")).collect()]
+    texts = [f"1:1|2:-7|3:é|x|{len(hexes[0])}:{hexes[0]}|4:true", f"~|19:{2**62}|~|{len(hexes[1])}:{hexes[1]}|~"]
+    want = sum(int(hashlib.md5(t.encode()).hexdigest()[:8], 16) for t in texts)
+    assert lg.table_fingerprint(small).first()[:2] == (2, want)
+    assert lg.table_fingerprint(small.limit(0)).first()[:2] == (0, 0)
+
+
+def test_versions_are_written_by_the_scan_s_tasks(spark, tmp_path, monkeypatch):
+    """No fixed number of tasks writes a table of any size."""
+    from cyclewise.plans import q_lineage as ql
+
+    rows = [(i, i % 7, i % 16, i % 3, "A", "O") for i in range(400)]
+    spark.createDataFrame(rows, ", ".join(f"{c} {'string' if 'status' in c or 'flag' in c else 'long'}" for c in ql.EXACT_COLUMNS)) \
+        .repartition(9).write.parquet(f"{tmp_path}/lineitem.parquet")
+    monkeypatch.setattr(ql, "scratch_path", lambda s, name: f"{tmp_path}/{name}")
+    path = ql._version(spark, str(tmp_path), False)
+    assert spark.read.parquet(path).count() == 400
+    written = {f.split("part-")[1][:5] for f in spark.read.parquet(path).inputFiles()}
+    tasks = spark.read.parquet(f"{tmp_path}/lineitem.parquet").rdd.getNumPartitions()
+    assert len(written) == tasks
