@@ -85,7 +85,7 @@ def score_requests(rows: DataFrame, state: fe.FeatureState, model, req: str = RE
     issues = inference_violations(good.withColumnRenamed(req, "unit_number")).groupBy(
         F.col("unit_number").alias(req)
     ).agg(F.count(F.lit(1)).alias("n_issues"))
-    last = fe.last_row_features(good, state, unit=req, pos="pos")
+    last = fe.last_row_features(good, state, unit=req, pos="pos", counted=rows)
     scored = md.predict(model, fe.align_features(last, state.feature_columns, [req]), state.feature_columns, "_p")
     # floored at 0, so half-up on the binary value (x*100 + 0.5); identical in any IEEE engine
     pred = F.floor(F.greatest(F.col("_p"), F.lit(0.0)) * F.lit(100.0) + F.lit(0.5)) / F.lit(100.0)
