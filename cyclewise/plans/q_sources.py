@@ -37,7 +37,7 @@ def o_parse():
 # ---------------------------------------------------------------- S3 / S2
 def _truth_file(spark, sf) -> str:
     """Hold-out truth written one value per line in engine order (the truth file's layout)."""
-    _, truth = holdout_split(fleet_lineitem(spark, sf))
+    _, truth = holdout_split(fleet_lineitem(spark, sf, ends=True))
     path = scratch_path(spark, "truth-text")
     truth.orderBy(UNIT).select(F.concat(F.col(TARGET).cast("string"), F.lit(" ")).alias("value")).write.text(path)
     return path
@@ -56,7 +56,7 @@ SELECT CAST(row_number() OVER (ORDER BY unit_number) AS INTEGER) AS unit_number,
 
 @query("truth_count_check")
 def q_truth_count(spark, sf):
-    series, _ = holdout_split(fleet_lineitem(spark, sf))
+    series, _ = holdout_split(fleet_lineitem(spark, sf, ends=True))
     return text.truth_count_check(series, text.read_truth(spark, _truth_file(spark, sf)))
 
 
@@ -71,9 +71,8 @@ SELECT n_engines, n_truth, n_engines = n_truth AS consistent FROM
 # ---------------------------------------------------------------- S8 / A1
 @query("load_summary")
 def q_load_summary(spark, sf):
-    df = fleet_lineitem(spark, sf)
-    _, truth = holdout_split(df)
-    return text.load_summary(df, truth)
+    _, truth = holdout_split(fleet_lineitem(spark, sf, ends=True))
+    return text.load_summary(fleet_lineitem(spark, sf), truth)
 
 
 @oracle("load_summary")
@@ -121,7 +120,7 @@ def o_parquet():
 # ---------------------------------------------------------------- S5
 @query("csv_roundtrip")
 def q_csv(spark, sf):
-    _, truth = holdout_split(fleet_lineitem(spark, sf))
+    _, truth = holdout_split(fleet_lineitem(spark, sf, ends=True))
     path = scratch_path(spark, "csv")
     files.write_csv(truth, path)
     return files.read_csv(spark, path, "unit_number int, rul int")
