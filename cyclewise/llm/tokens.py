@@ -3,7 +3,7 @@
 Both kinds of tokenizer used here split a text at every change from non-white to ASCII white space, so a
 text's ids are the ids of its pieces in order.  A piece that is not in the cache goes through the library's
 own normalizer, pre-tokenizer and model; for letters with punctuation behind them, which are two pre-tokens,
-what the first two make of each letter is kept, and only the model is asked again.
+the letters are a piece of their own, what the first two make of each letter is kept, and only the model is asked.
 """
 
 from __future__ import annotations
@@ -17,13 +17,17 @@ from array import array
 from tokenizers import Tokenizer
 
 #: Entries of a generation of the caches of pieces and of pre-tokens, two generations each; about 200 bytes an entry:
-#: 250 MB a Python worker at most.
-CACHE_PIECES, CACHE_WORDS = 200_000, 350_000
+#: 130 MB a Python worker at most.  Runs of signs behind words have a small cache of their own.
+CACHE_PIECES, CACHE_WORDS, CACHE_TAILS = 200_000, 50_000, 5_000
 
 _PIECE = re.compile(rb"[ \t\n\r\x0b\f]*[^ \t\n\r\x0b\f]+|[ \t\n\r\x0b\f]+")
 #: ASCII punctuation without the apostrophe, which takes letters behind it into its pre-token.
 _SIGNS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+_SIGN_BYTES = _SIGNS.encode()
 _LOOSE = re.compile(rb" [ \t\n\r\x0b\f]")
+#: A line's end that is not by itself between two other signs than ASCII white space.
+_LINES = re.compile(rb"\n(?:[ \t\n\r\x0b\f]|\Z)|[\t\r\x0b\f]\n")
+_NONE = "\0"
 
 
 class _Kept(dict):
@@ -44,6 +48,22 @@ class _Kept(dict):
         return value
 
 
+class _Spaced(Exception):
+    """White space beyond ASCII at a piece's end."""
+
+
+class _Letters(dict):
+    """For ``str.translate``: what a letter is to the model, or NUL if it is not one pre-token by itself."""
+
+    def __init__(self, make):
+        super().__init__()
+        self.make = make
+
+    def __missing__(self, code):
+        self[code] = value = self.make(chr(code)) or _NONE
+        return value
+
+
 class Encoder:
     """Encodes texts as the tokenizer file does with add_special_tokens=False."""
 
@@ -57,50 +77,65 @@ class Encoder:
         self.lowers = self._normal("ABC") == "abc"
         self.words = _Kept(self._word_ids, CACHE_WORDS)
         self._tokenize = self.tokenizer.model.tokenize
-        self.letters: dict[str, str | None] = {}
-        self.tails: dict[str, bytes] = {"": b""}
-        start = self.tokenizer.pre_tokenizer.pre_tokenize_str(" a")
+        self.letters = _Letters(self._letter)
+        self.tails = _Kept(self._whole, CACHE_TAILS)
+        cut = self.tokenizer.pre_tokenizer.pre_tokenize_str
+        start = cut(" a")
         self.start = start[0][0][:-1] if len(start) == 1 and start[0][0].endswith("a") else None
+        lines = [w for w, _ in cut("a\nb")]
+        #: the ids of a line's end between two words, if it is one pre-token there
+        self.line = self.words[lines[1]] if not self.drops_space and len(lines) == 3 and lines[::2] == ["a", "b"] else None
         #: ASCII letters are to the model what they are in the text, lower-cased where the tokenizer does so
         letters = string.ascii_letters
-        self.same = "".join(self._letter(c) or "" for c in letters) == (letters.lower() if self.lowers else letters)
+        self.same = letters.translate(self.letters) == (letters.lower() if self.lowers else letters)
         # where white space is dropped all pieces are plain; else nearly all follow a blank
-        self.plain = _Kept(lambda p: self.piece_ids(p.decode("utf-8", "surrogatepass")), CACHE_PIECES if self.drops_space else CACHE_PIECES // 4)
-        self.spaced = _Kept(lambda p: self.piece_ids(p.decode("utf-8", "surrogatepass"), " "), CACHE_PIECES)
+        self.plain = _Kept(self._maker(""), CACHE_PIECES if self.drops_space else CACHE_PIECES // 4)
+        self.spaced = _Kept(self._maker(" "), CACHE_PIECES)
 
     def _normal(self, text: str) -> str:
         return self.tokenizer.normalizer.normalize_str(text) if self.tokenizer.normalizer is not None else text
 
     def _letter(self, c: str) -> str | None:
         """What a letter is to the model, or None if it is not one pre-token by itself."""
-        if c not in self.letters:
-            parts = self.tokenizer.pre_tokenizer.pre_tokenize_str(self._normal(c))
-            self.letters[c] = parts[0][0] if len(parts) == 1 and self._normal(c).isalpha() else None
-        return self.letters[c]
+        parts = self.tokenizer.pre_tokenizer.pre_tokenize_str(self._normal(c))
+        return parts[0][0] if len(parts) == 1 and self._normal(c).isalpha() else None
 
     def _word_ids(self, word: str) -> bytes:
         return array("I", [t.id for t in self._tokenize(word)]).tobytes()
 
-    def piece_ids(self, piece: str, blank: str = "") -> bytes:
-        """The ids of a piece, or of a blank and the piece behind it."""
-        word = piece.rstrip(_SIGNS)
-        if self.start is not None and word.isalpha():
-            tail = piece[len(word) :]
-            if self.same and word.isascii():
-                mapped = word.lower() if self.lowers else word
-            elif unicodedata.is_normalized("NFC", word):
-                parts = [self._letter(c) for c in word]
-                mapped = None if None in parts else "".join(parts)
-            else:
-                mapped = None
-            if mapped is not None:
-                ids = self.words[self.start + mapped if blank else mapped]
-                if not tail:
-                    return ids
-                if tail not in self.tails:
-                    self.tails[tail] = self._whole(tail)
-                return ids + self.tails[tail]
-        return self._whole(blank + piece)
+    def _maker(self, blank: str):
+        """A function from a piece's bytes to its ids, or to those of a blank and the piece behind it.
+
+        Pieces behind a blank may begin with a line's end, which then stands for the blank.
+        """
+        tails, letters, lowers, word_ids = self.tails, self.letters, self.lowers, self._word_ids
+        lead = self.start if blank else ""
+        ascii_words, all_words = self.start is not None and self.same, self.start is not None
+        plain = self._maker("") if blank else None
+
+        def make(raw: bytes) -> bytes:
+            if blank and raw[:1] == b"\n":
+                return self.line + plain(raw[1:])
+            head = raw.rstrip(_SIGN_BYTES)
+            if ascii_words and raw.isascii():
+                if head.isalpha():
+                    if len(head) < len(raw):
+                        return (self.spaced if blank else self.plain)[head] + tails[raw[len(head) :].decode()]
+                    return word_ids(lead + (head.lower() if lowers else head).decode())
+            elif all_words:
+                word = head.decode("utf-8", "surrogatepass")
+                if word.isalpha() and unicodedata.is_normalized("NFC", word):
+                    word = word.translate(letters)
+                    if _NONE not in word:
+                        if len(head) < len(raw):
+                            return (self.spaced if blank else self.plain)[head] + tails[raw[len(head) :].decode()]
+                        return word_ids(lead + word)
+            piece = raw.decode("utf-8", "surrogatepass")
+            if not self.drops_space and not raw.isascii() and (piece[0].isspace() or piece[-1].isspace()):
+                raise _Spaced  # one run of white space with what is beyond the piece
+            return self._whole(blank + piece)
+
+        return make
 
     def _whole(self, piece: str) -> bytes:
         tok = self.tokenizer
@@ -110,11 +145,19 @@ class Encoder:
 
     def encode(self, text: str) -> bytes:
         """The ids as little-endian unsigned 32-bit integers."""
+        try:
+            return self._joined(text)
+        except _Spaced:
+            return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+
+    def _joined(self, text: str) -> bytes:
         raw = text.encode("utf-8", "surrogatepass")
         if self.drops_space:
             return b"".join(map(self.plain.__getitem__, (raw.lower() if self.lowers else raw).split()))
         if _LOOSE.search(raw):
             return b"".join(map(self.plain.__getitem__, _PIECE.findall(raw)))
+        if self.line is not None and b"\n" in raw and not _LINES.search(raw):
+            raw = raw.replace(b"\n", b" \n")
         first, *rest = raw.split(b" ")
         return self.plain[first] + b"".join(map(self.spaced.__getitem__, rest)) if first else b"".join(map(self.spaced.__getitem__, rest))
 
