@@ -54,7 +54,8 @@ def encode_shard(ids: np.ndarray, doc_ids: np.ndarray, lengths: np.ndarray, null
         counts = np.bitwise_count(padded.view("<u8")).reshape(-1, BLOCK // 64).sum(axis=1) if len(padded) else np.empty(0)
         before = np.concatenate([[0], np.cumsum(counts)]).astype("<u4")
         planes.append({"bits": put(packed.tobytes()), "rank": put(before.tobytes()), "zeros": int(len(level) - before[-1])})
-        level = np.concatenate([level[~ones], level[ones]])
+        # compress and flatnonzero take a tenth of the time of a mask as index
+        level = np.concatenate([np.compress(~ones, level), np.compress(ones, level)])
     head = json.dumps(meta | {"planes": planes}).encode()
     return MAGIC + struct.pack("<I", len(head)) + head + b"".join(parts)
 
@@ -167,8 +168,8 @@ class Shard:
                 below = level
                 below[self.zeros[k] :] |= kind(1 << (self.width - 1 - k))
             up = np.empty_like(below)
-            up[~ones] = below[: self.zeros[k]]
-            up[ones] = below[self.zeros[k] :]
+            up[np.flatnonzero(~ones)] = below[: self.zeros[k]]
+            up[np.flatnonzero(ones)] = below[self.zeros[k] :]
             level = up
         return level if level is not None else np.zeros(0, kind)
 
