@@ -16,9 +16,9 @@ from array import array
 
 from tokenizers import Tokenizer
 
-#: Entries of a generation of the caches of pieces and of pre-tokens, two generations each; about 200 bytes an entry:
-#: 130 MB a Python worker at most.  Runs of signs behind words have a small cache of their own.
-CACHE_PIECES, CACHE_WORDS, CACHE_TAILS = 200_000, 50_000, 5_000
+#: Entries of a generation of the caches of pieces and of pre-tokens, two generations each; about 190 bytes an entry:
+#: 210 MB a Python worker at most.  Runs of signs behind words have a small cache of their own.
+CACHE_PIECES, CACHE_WORDS, CACHE_TAILS = 400_000, 50_000, 5_000
 
 _PIECE = re.compile(rb"[ \t\n\r\x0b\f]*[^ \t\n\r\x0b\f]+|[ \t\n\r\x0b\f]+")
 #: ASCII punctuation without the apostrophe, which takes letters behind it into its pre-token.

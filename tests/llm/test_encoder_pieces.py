@@ -51,3 +51,18 @@ def test_word_behind_which_signs_change_is_asked_once(name, monkeypatch):
     signs = " ".join("a" + "!?.,"[i % 4] * (i + 1) for i in range(60))
     assert ids(enc, signs) == tok.encode(signs, add_special_tokens=False).ids
     assert len(enc.tails) + len(enc.tails.older) <= 20
+
+
+def test_pieces_stay_known(monkeypatch):
+    """450,000 different pieces later a piece is still in one of the cache's generations."""
+    tok, enc = Tokenizer.from_file(tokenizer_file(FILES[0])), Encoder(tokenizer_file(FILES[0]))
+    abc = "abcdefghijklmnopqrstuvwxyz"
+    words = [a + b + c + d for a in abc for b in abc for c in abc for d in abc][:450_000]
+    ids(enc, "x " + " ".join(words))
+
+    def asked(word):
+        raise AssertionError(f"{word} again")
+
+    monkeypatch.setattr(enc, "_tokenize", asked)
+    text = "x " + " ".join(words[:100])
+    assert ids(enc, text) == tok.encode(text, add_special_tokens=False).ids
