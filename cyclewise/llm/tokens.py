@@ -25,8 +25,11 @@ _PIECE = re.compile(rb"[ \t\n\r\x0b\f]*[^ \t\n\r\x0b\f]+|[ \t\n\r\x0b\f]+")
 _SIGNS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 _SIGN_BYTES = _SIGNS.encode()
 _LOOSE = re.compile(rb" [ \t\n\r\x0b\f]")
-#: A line's end that is not by itself between two other signs than ASCII white space.
+#: A line's end that is not by itself between two other signs than ASCII white space; and the same for texts that have
+#: only blanks and line ends, in which the search is for one sign.
 _LINES = re.compile(rb"\n(?:[ \t\n\r\x0b\f]|\Z)|[\t\r\x0b\f]\n")
+_PLAIN_LINES = re.compile(rb"\n(?:[ \n]|\Z)")
+_RARE_SPACE = b"\t\r\x0b\f"
 _NONE = "\0"
 
 
@@ -156,8 +159,10 @@ class Encoder:
             return b"".join(map(self.plain.__getitem__, (raw.lower() if self.lowers else raw).split()))
         if _LOOSE.search(raw):
             return b"".join(map(self.plain.__getitem__, _PIECE.findall(raw)))
-        if self.line is not None and b"\n" in raw and not _LINES.search(raw):
-            raw = raw.replace(b"\n", b" \n")
+        if self.line is not None and b"\n" in raw:
+            lines = _PLAIN_LINES if len(raw.translate(None, _RARE_SPACE)) == len(raw) else _LINES
+            if not lines.search(raw):
+                raw = raw.replace(b"\n", b" \n")
         first, *rest = raw.split(b" ")
         return self.plain[first] + b"".join(map(self.spaced.__getitem__, rest)) if first else b"".join(map(self.spaced.__getitem__, rest))
 

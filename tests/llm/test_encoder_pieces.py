@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 from tokenizers import Tokenizer
 
+from cyclewise.llm import tokens
 from cyclewise.llm.queries import tokenizer_file
 from cyclewise.llm.tokens import Encoder
 
@@ -66,3 +67,20 @@ def test_pieces_stay_known(monkeypatch):
     monkeypatch.setattr(enc, "_tokenize", asked)
     text = "x " + " ".join(words[:100])
     assert ids(enc, text) == tok.encode(text, add_special_tokens=False).ids
+
+
+def test_line_ends_beside_white_space(monkeypatch):
+    """Texts with only blanks and line ends need no search for the rarer white space; others get it."""
+    tok, enc = Tokenizer.from_file(tokenizer_file(FILES[0])), Encoder(tokenizer_file(FILES[0]))
+    space = ["\n", " ", "\t", "\r", "\x0b", "\f"]
+    for gap in [a + b + c for a in ["", *space] for b in ["", *space] for c in space]:
+        for t in (f"dos{gap}ado, été", f"dos ado{gap}", f"{gap}dos.\nado", f"dos\nado{gap}été\ndos"):
+            assert ids(enc, t) == tok.encode(t, add_special_tokens=False).ids, repr(t)
+
+    class Asked:
+        def search(self, raw):
+            raise AssertionError("searched for rare white space")
+
+    monkeypatch.setattr(tokens, "_LINES", Asked())
+    for t in ("dos ado.\nÉté, ado\ndos", "dos\n\nado", "dos\n ado", "dos ado\n"):
+        assert ids(enc, t) == tok.encode(t, add_special_tokens=False).ids, repr(t)
