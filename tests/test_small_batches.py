@@ -31,3 +31,22 @@ def test_last_rows_of_few_short_units(spark):
         assert got[u]["s_2_diff"] == pytest.approx(x[2] - x[1])
     alone = fe.transform(df.filter("unit_number = 7").coalesce(1), state, lag_fill=False).orderBy(F.desc("time_cycles")).first()
     assert alone["s_2_roll_mean_20"] == pytest.approx(got[7]["s_2_roll_mean_20"])
+
+
+def test_stream_of_short_requests(spark, tmp_path):
+    """A micro-batch may be one request of three readings."""
+    from cyclewise.operators.model import LinearModel
+    from cyclewise.streaming import streams
+    from frames import plausible_frame
+
+    pdf = plausible_frame(30, 3)
+    df = spark.createDataFrame(pdf)
+    state = fe.fit_state(df, with_lag_means=True)
+    requests = df.withColumnRenamed("unit_number", "request_id").withColumn("pos", F.col("time_cycles"))
+    requests.filter("request_id = 4").coalesce(1).write.parquet(f"{tmp_path}/in")
+    model = LinearModel(["s_2_roll_mean_10"], [100.0], 0.0)
+    out = streams.stream_score(spark, f"{tmp_path}/in", requests.schema, state, model, f"{tmp_path}/sink")
+    got = {r["request_id"]: r["rul_prediction"] for r in out.collect()}
+    low, high = pdf["s_2"].min(), pdf["s_2"].max()
+    x = pdf.loc[pdf["unit_number"] == 4, "s_2"]
+    assert got == {4: pytest.approx(100.0 * ((x - low) / (high - low)).mean(), abs=0.0051)}
